@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The study is batch only: sessions arrive pre-assigned in the raw records
+(``ga_session_id``), so there is no gap sessionisation, watermark or
+stateful operator to reproduce. Daily shards are read as a date-partitioned
+batch table (``stepwise.sources.ga4``). No streaming operator is built.
+"""
