@@ -8,16 +8,17 @@ steps.
 
 Physical shape, chosen for skewed keys at scale:
 
-1. one aggregate over the funnel events gives ``t1`` (and the carried
-   columns) plus the per-key count of later-step rows. It is partially
-   aggregated map side, so the bulk step-1 rows (product views) never cross
-   the network one by one and a hot key costs one row per map task;
+1. one aggregate over the step-1 events gives ``t1`` (and the carried
+   columns). It is partially aggregated map side, so the bulk step-1 rows
+   (product views) never cross the network one by one and a hot key costs
+   one row per map task. A second map-side-combined count of later-step
+   rows per key picks the hot keys to split;
 2. for each later step, its events are joined to the previous step's
    one-row-per-key time with ``salted_inner_join`` (hot keys split across
    buckets), filtered by ``time >= previous`` and reduced with ``min``
    (again partial aggregation);
-3. the per-step results, all one row per key and hash partitioned on it, are
-   left-joined back onto the entry rows.
+3. the per-step results (at most one row per key each) are stacked and
+   pivoted back to one row per entry key with one union + aggregate.
 
 Every event row is shuffled at most once (later steps) or pre-aggregated
 (first step); no window buffers a whole key in one task.
@@ -35,6 +36,7 @@ from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig, hot_key_buckets, s
 LOAD = "_load"
 PREV = "_prev"
 T = "_t"
+STEP = "_step"
 
 
 def step_time_column(step: str) -> str:
@@ -69,27 +71,44 @@ def ordered_funnel(
 
     ev = events.where(ev_name.isin(steps) & _not_null(keys)).select(*keys, *carry, event_col, time_col)
 
+    # Entry rows: the filter on the first step reaches the scan, and the
+    # partial aggregate collapses a key's views to one row per map task.
     entry = (
-        ev.groupBy(*keys)
-        .agg(
-            F.min(F.when(first, ev_time)).alias(names[0]),
-            *[F.min(F.when(first, F.col(c))).alias(c) for c in carry],
-            F.count(F.when(~first, F.lit(1))).alias(LOAD),
-        )
-        .where(F.col(names[0]).isNotNull())
+        ev.where(first)
+        .groupBy(*keys)
+        .agg(F.min(ev_time).alias(names[0]), *[F.min(c).alias(c) for c in carry])
     )
-    hot = hot_key_buckets(entry, keys, LOAD, skew) if skew.enabled and len(steps) > 1 else None
-
-    result = entry.select(*keys, *carry, names[0])
+    hot = None
+    if skew.enabled and len(steps) > 1:
+        # Later-step load per key (map-side combined), only to pick the keys
+        # to split; independent of ``entry`` so the two run side by side.
+        load = ev.where(~first).groupBy(*keys).agg(F.count(F.lit(1)).alias(LOAD))
+        hot = hot_key_buckets(load, keys, LOAD, skew)
+
+    # Per-step rows (keys, step index, time); the entry rows also hold the
+    # carried columns.
+    parts = [entry.select(*keys, F.lit(0).alias(STEP), F.col(names[0]).alias(T), *carry)]
     prev = entry.select(*keys, F.col(names[0]).alias(PREV))
-    for step, name in zip(steps[1:], names[1:]):
+    for i, step in enumerate(steps[1:], start=1):
         cur = ev.where(ev_name == F.lit(step)).select(*keys, ev_time.alias(T))
         reached = (
             salted_inner_join(cur, prev, keys, hot)
             .where(F.col(T) >= F.col(PREV))
             .groupBy(*keys)
-            .agg(F.min(T).alias(name))
+            .agg(F.min(T).alias(T))
+        )
+        parts.append(
+            reached.select(*keys, F.lit(i).alias(STEP), T, *[F.lit(None).cast(entry.schema[c].dataType).alias(c) for c in carry])
         )
-        result = result.join(reached, keys, "left")
-        prev = reached.select(*keys, F.col(name).alias(PREV))
-    return result.select(*keys, *carry, *names)
+        prev = reached.select(*keys, F.col(T).alias(PREV))
+    if len(parts) == 1:
+        return entry.select(*keys, *carry, names[0])
+    # Assemble one row per entry key: a single union + aggregate (every
+    # part has at most one row per key) instead of a chain of left joins.
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    return stacked.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in carry],
+        *[F.max(F.when(F.col(STEP) == i, F.col(T))).alias(n) for i, n in enumerate(names)],
+    ).select(*keys, *carry, *names)

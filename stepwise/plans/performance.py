@@ -150,14 +150,24 @@ def session_funnel_segmented(stg_events: DataFrame, skew: SkewConfig = DEFAULT_S
     ).drop(SEGMENT)
 
 
-def channel_device_performance(segmented_sessions: DataFrame) -> DataFrame:
-    """19-column mart: one row per (traffic_channel, device_category); each
-    session counted in exactly one segment."""
-    agg = segmented_sessions.groupBy("traffic_channel", "device_category").agg(
+def segment_summary(segmented_sessions: DataFrame) -> DataFrame:
+    """Per (traffic_channel, device_category): sessions, distinct users and
+    the four step sums; each session counted in exactly one segment."""
+    return segmented_sessions.groupBy("traffic_channel", "device_category").agg(
         F.count(F.lit(1)).alias("sessions_entered_funnel"),
         F.countDistinct("user_pseudo_id").alias("unique_users"),
         *_step_sums(),
     )
+
+
+def channel_device_performance(segmented_sessions: DataFrame) -> DataFrame:
+    """19-column mart: one row per (traffic_channel, device_category)."""
+    return channel_device_metrics(segment_summary(segmented_sessions))
+
+
+def channel_device_metrics(agg: DataFrame) -> DataFrame:
+    """Rates, drop-offs and the volume flag over ``segment_summary`` rows
+    (accepts pre-counted rows)."""
     return agg.select(
         "traffic_channel",
         "device_category",

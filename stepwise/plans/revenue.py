@@ -118,9 +118,13 @@ def revenue_leakage(transitions: DataFrame, baseline: DataFrame) -> DataFrame:
 def friction_score(leakage: DataFrame) -> DataFrame:
     """``round(100 * (0.65 * leakage / max leakage + 0.35 * drop-off rate), 2)``,
     dense-ranked on the rounded score, tiered and annotated."""
-    max_leak = leakage.agg(F.max("estimated_revenue_leakage").alias("_max_leakage"))
-    df = leakage.crossJoin(F.broadcast(max_leak)).withColumn(
-        "normalized_revenue_leakage", safe_divide("estimated_revenue_leakage", "_max_leakage")
+    # MAX(..) OVER (): the table has one row per funnel transition (bounded
+    # by the funnel definitions), so one window partition is the cheap plan
+    # and avoids planning the leakage chain twice for a self-join.
+    everything = Window.partitionBy()
+    df = leakage.withColumn(
+        "normalized_revenue_leakage",
+        safe_divide("estimated_revenue_leakage", F.max("estimated_revenue_leakage").over(everything)),
     )
     score = F.round(
         (F.lit(LEAKAGE_WEIGHT) * F.col("normalized_revenue_leakage") + F.lit(DROPOFF_WEIGHT) * F.col("dropoff_rate"))
