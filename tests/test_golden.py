@@ -1,0 +1,112 @@
+"""Golden replay: published step counts go through the mart functions and
+every derived column is compared with the published results."""
+
+from __future__ import annotations
+
+import math
+
+from stepwise.plans import performance, revenue, summary
+from tests import golden
+
+TOL = 1e-9
+
+
+def close(a, b):
+    if a is None or b is None:
+        return a is None and b is None
+    return math.isclose(a, b, rel_tol=TOL, abs_tol=1e-12)
+
+
+def counts_df(spark):
+    rows = [r[:5] for r in golden.SUMMARY]
+    return spark.createDataFrame(rows, "funnel_type string, unit_type string, step_order int, funnel_step string, reached_count long")
+
+
+def baseline_df(spark):
+    n, total, _ = golden.BASELINE
+    return spark.createDataFrame([(n, total, total / n)], "unique_transactions long, total_purchase_revenue double, average_order_value double")
+
+
+def test_funnel_summary_replay(spark):
+    out = {(r.funnel_type, r.step_order): r for r in summary.funnel_summary(counts_df(spark)).collect()}
+    assert len(out) == 12
+    for ft, _, so, _, reached, conv, overall, drop, drop_rate in golden.SUMMARY:
+        r = out[(ft, so)]
+        assert r.reached_count == reached
+        assert close(r.step_conversion_rate, conv)
+        assert close(r.overall_conversion_rate, overall)
+        assert r.dropoff_count == drop
+        assert close(r.dropoff_rate, drop_rate)
+        assert (r.previous_step_count is None) == (so == 1)
+
+
+def test_summary_header_example(spark):
+    out = summary.funnel_summary(counts_df(spark)).where("funnel_type = 'User-Level Main Funnel'").collect()
+    cart = [r for r in out if r.step_order == 2][0]
+    assert cart.reached_count == 12538 and round(cart.overall_conversion_rate * 100, 1) == 20.5
+
+
+def leakage(spark):
+    trans = summary.funnel_transitions(summary.funnel_summary(counts_df(spark)))
+    return revenue.revenue_leakage(trans, baseline_df(spark))
+
+
+def test_revenue_leakage_replay(spark):
+    out = {(r.funnel_type, r.step_order): r for r in leakage(spark).collect()}
+    assert len(out) == 9
+    for ft, so, label, leak, rank_in, rank_all, prio in golden.LEAKAGE:
+        r = out[(ft, so)]
+        assert r.funnel_transition == label
+        assert close(r.estimated_revenue_leakage, leak)
+        assert (r.leakage_rank_within_funnel, r.overall_leakage_rank, r.leakage_priority) == (rank_in, rank_all, prio)
+        assert r.unique_transactions == 4452 and close(r.average_order_value, golden.BASELINE[2])
+
+
+def test_friction_replay(spark):
+    out = {(r.funnel_type, r.step_order): r for r in revenue.friction_score(leakage(spark)).collect()}
+    for ft, so, norm, score, rank_all, rank_in, prio, issue in golden.FRICTION:
+        r = out[(ft, so)]
+        assert close(r.normalized_revenue_leakage, norm)
+        assert r.friction_score == score
+        assert (r.overall_friction_rank, r.friction_rank_within_funnel, r.friction_priority) == (rank_all, rank_in, prio)
+        assert r.likely_business_issue == issue
+
+
+def test_category_replay(spark):
+    summ = spark.createDataFrame(
+        [r[:7] for r in golden.CATEGORY],
+        "cleaned_item_category string, category_view_sessions long, category_view_users long, "
+        "viewed_item_sessions long, added_to_cart_sessions long, began_checkout_sessions long, purchased_sessions long",
+    )
+    rev = spark.createDataFrame(
+        [(r[0], r[7], r[8]) for r in golden.CATEGORY if r[7] is not None],
+        "cleaned_item_category string, total_item_revenue double, purchased_item_rows long",
+    )
+    out = {r.cleaned_item_category: r for r in performance.category_performance(summ, rev).collect()}
+    for row in golden.CATEGORY:
+        r = out[row[0]]
+        assert close(r.view_to_cart_rate, row[9])
+        assert close(r.checkout_to_purchase_rate, row[10])
+        assert close(r.revenue_per_purchasing_session, row[11])
+        assert (r.is_high_volume_category, r.is_low_confidence_category) == (row[12], row[13])
+        assert r.total_item_revenue == (row[7] or 0.0) and r.purchased_item_rows == (row[8] or 0)
+    sale = out["Sale"]
+    assert sale.cart_to_checkout_rate == 0.0 and sale.checkout_to_purchase_dropoff_rate is None
+
+
+def test_segment_replay_and_sums(spark):
+    agg = spark.createDataFrame(
+        [r[:8] for r in golden.SEGMENTS],
+        "traffic_channel string, device_category string, sessions_entered_funnel long, unique_users long, "
+        "viewed_item_sessions long, added_to_cart_sessions long, began_checkout_sessions long, purchased_sessions long",
+    )
+    out = {(r.traffic_channel, r.device_category): r for r in performance.channel_device_metrics(agg).collect()}
+    for row in golden.SEGMENTS:
+        r = out[(row[0], row[1])]
+        assert close(r.view_to_cart_rate, row[8])
+        assert close(r.checkout_to_purchase_dropoff_rate, row[9])
+        assert r.is_high_volume_segment == row[10]
+    # Each session is in exactly one segment: the sums equal the session funnel.
+    sums = [sum(r[i] for r in golden.SEGMENTS) for i in range(4, 8)]
+    session = [r[4] for r in golden.SUMMARY if r[0] == "Session-Level Main Funnel"]
+    assert sums == session
