@@ -12,7 +12,8 @@ Physical shape, chosen for skewed keys at scale:
    columns). It is partially aggregated map side, so the bulk step-1 rows
    (product views) never cross the network one by one and a hot key costs
    one row per map task. A second map-side-combined count of later-step
-   rows per key picks the hot keys to split;
+   rows per key picks the hot keys to split (a bounded top-n, evaluated
+   once; with no hot key the joins are plain shuffle joins);
 2. for each later step, its events are joined to the previous step's
    one-row-per-key time with ``salted_inner_join`` (hot keys split across
    buckets), filtered by ``time >= previous`` and reduced with ``min``
@@ -31,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig, hot_key_buckets, salted_inner_join
+from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig, resolve_hot_keys, salted_inner_join
 
 LOAD = "_load"
 PREV = "_prev"
@@ -80,13 +81,15 @@ def ordered_funnel(
     )
     hot = None
     if skew.enabled and len(steps) > 1:
-        # Later-step load per key (map-side combined), only to pick the keys
-        # to split; independent of ``entry`` so the two run side by side.
+        # Later-step load per key (map-side combined), only to pick the
+        # keys to split; resolved to a bounded local table before planning
+        # the joins.
         load = ev.where(~first).groupBy(*keys).agg(F.count(F.lit(1)).alias(LOAD))
-        hot = hot_key_buckets(load, keys, LOAD, skew)
+        hot = resolve_hot_keys(load, keys, LOAD, skew)
 
     # Per-step rows (keys, step index, time); the entry rows also hold the
     # carried columns.
+    carry_types = {f.name: f.dataType for f in entry.schema.fields if f.name in carry}
     parts = [entry.select(*keys, F.lit(0).alias(STEP), F.col(names[0]).alias(T), *carry)]
     prev = entry.select(*keys, F.col(names[0]).alias(PREV))
     for i, step in enumerate(steps[1:], start=1):
@@ -98,16 +101,17 @@ def ordered_funnel(
             .agg(F.min(T).alias(T))
         )
         parts.append(
-            reached.select(*keys, F.lit(i).alias(STEP), T, *[F.lit(None).cast(entry.schema[c].dataType).alias(c) for c in carry])
+            reached.select(*keys, F.lit(i).alias(STEP), T, *[F.lit(None).cast(carry_types[c]).alias(c) for c in carry])
         )
         prev = reached.select(*keys, F.col(T).alias(PREV))
     if len(parts) == 1:
         return entry.select(*keys, *carry, names[0])
     # Assemble one row per entry key: a single union + aggregate (every
     # part has at most one row per key) instead of a chain of left joins.
+    # Positional union: every part is built with the same column order.
     stacked = parts[0]
     for p in parts[1:]:
-        stacked = stacked.unionByName(p)
+        stacked = stacked.union(p)
     return stacked.groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in carry],
         *[F.max(F.when(F.col(STEP) == i, F.col(T))).alias(n) for i, n in enumerate(names)],

@@ -59,6 +59,25 @@ def hot_key_buckets(per_key: DataFrame, keys: list[str], load_col: str, cfg: Ske
     return hot.orderBy(F.desc(BUCKETS), *keys).limit(cfg.max_hot_keys)
 
 
+def resolve_hot_keys(per_key: DataFrame, keys: list[str], load_col: str, cfg: SkewConfig) -> DataFrame | None:
+    """Evaluate the bounded hot-key table once, as a planning statistic.
+
+    At most ``max_hot_keys`` small rows come back (a top-n, never the data
+    itself). ``None`` when no key is hot, so the common case plans plain
+    shuffle joins (AQE skew-join splitting stays on as a backstop);
+    otherwise the rows become a local relation that is broadcast to both
+    join sides. Using a local relation instead of a sub-plan of the same
+    events also keeps the logical plan small (no self-join re-analysis).
+    """
+    if not cfg.enabled:
+        return None
+    top = hot_key_buckets(per_key, keys, load_col, cfg)
+    rows = top.collect()
+    if not rows:
+        return None
+    return per_key.sparkSession.createDataFrame(rows, top.schema)
+
+
 def salted_inner_join(
     big: DataFrame,
     small: DataFrame,

@@ -1,7 +1,8 @@
 """Data-quality checks as result rows (8 checks).
 
-Each check is one global ``count_if`` over a mart (map-side partial
-aggregation, one row out), so the union is 8 rows whatever the input size.
+Each check is a global ``count_if`` over a mart (map-side partial
+aggregation); checks over the same table share one aggregate, so every
+input is scanned once and the union is 8 rows whatever the input size.
 ``check_value`` counts violations, except for the two "available" checks,
 which count what is there and pass when it is positive.
 """
@@ -49,18 +50,30 @@ CHECKS = {
 }
 
 
-def _check(df: DataFrame, name: str, value: Column, pass_when_positive: bool = False) -> DataFrame:
-    area, description = CHECKS[name]
-    v = F.coalesce(value.cast("long"), F.lit(0).cast("long"))
-    cv = F.col("check_value")
-    ok = (cv > 0) if pass_when_positive else (cv == 0)
-    return df.agg(v.alias("check_value")).select(
-        F.lit(name).alias("check_name"),
-        F.lit(area).alias("check_area"),
-        "check_value",
-        F.when(ok, PASS).otherwise(FAIL).alias("check_status"),
-        F.lit(description).alias("check_description"),
+def _checks(df: DataFrame, specs: list[tuple[str, Column, bool]]) -> DataFrame:
+    """All checks over one table in ONE aggregate (one pass, one copy of
+    the table's plan), then one row per check.
+
+    ``specs``: (check name, aggregate value, pass when positive).
+    """
+    values = df.agg(
+        *[F.coalesce(v.cast("long"), F.lit(0).cast("long")).alias(f"_v{i}") for i, (_, v, _) in enumerate(specs)]
     )
+    rows = []
+    for i, (name, _, positive) in enumerate(specs):
+        area, description = CHECKS[name]
+        v = F.col(f"_v{i}")
+        ok = (v > 0) if positive else (v == 0)
+        rows.append(
+            F.struct(
+                F.lit(name).alias("check_name"),
+                F.lit(area).alias("check_area"),
+                v.alias("check_value"),
+                F.when(ok, PASS).otherwise(FAIL).alias("check_status"),
+                F.lit(description).alias("check_description"),
+            )
+        )
+    return values.select(F.inline(F.array(*rows)))
 
 
 def _outside(c: str, lo: float, hi: float) -> Column:
@@ -80,57 +93,72 @@ def data_quality_checks(
     leakage: DataFrame,
     stg_events: DataFrame,
 ) -> DataFrame:
+    key_event = F.col("event_name").isin(KEY_FUNNEL_EVENTS)
     checks = [
-        _check(
+        _checks(
             category_performance,
-            "reliable_categories_available",
-            F.count_if(~F.col("is_low_confidence_category")),
-            pass_when_positive=True,
+            [("reliable_categories_available", F.count_if(~F.col("is_low_confidence_category")), True)],
         ),
-        _check(
+        _checks(
             friction,
-            "friction_scores_between_0_and_100",
-            F.count_if(F.col("friction_score").isNull() | _outside("friction_score", 0, 100)),
-        ),
-        _check(
-            summary,
-            "funnel_counts_do_not_increase",
-            F.count_if(
-                (F.col("step_order") > 1)
-                & F.coalesce(F.col("reached_count") > F.col("previous_step_count"), F.lit(False))
-            ),
+            [
+                (
+                    "friction_scores_between_0_and_100",
+                    F.count_if(F.col("friction_score").isNull() | _outside("friction_score", 0, 100)),
+                    False,
+                )
+            ],
         ),
-        _check(
+        _checks(
             summary,
-            "funnel_rates_between_0_and_1",
-            F.count_if(
-                _outside("step_conversion_rate", 0, 1)
-                | _outside("overall_conversion_rate", 0, 1)
-                | _outside("dropoff_rate", 0, 1)
-            ),
-        ),
-        _check(
-            leakage,
-            "estimated_leakage_not_negative",
-            F.count_if(F.coalesce(F.col("estimated_revenue_leakage") < 0, F.lit(False))),
+            [
+                (
+                    "funnel_counts_do_not_increase",
+                    F.count_if(
+                        (F.col("step_order") > 1)
+                        & F.coalesce(F.col("reached_count") > F.col("previous_step_count"), F.lit(False))
+                    ),
+                    False,
+                ),
+                (
+                    "funnel_rates_between_0_and_1",
+                    F.count_if(
+                        _outside("step_conversion_rate", 0, 1)
+                        | _outside("overall_conversion_rate", 0, 1)
+                        | _outside("dropoff_rate", 0, 1)
+                    ),
+                    False,
+                ),
+            ],
         ),
-        _check(
+        _checks(
             leakage,
-            "revenue_baseline_valid",
-            F.count_if(
-                _not_positive("unique_transactions")
-                | _not_positive("total_purchase_revenue")
-                | _not_positive("average_order_value")
-            ),
+            [
+                (
+                    "estimated_leakage_not_negative",
+                    F.count_if(F.coalesce(F.col("estimated_revenue_leakage") < 0, F.lit(False))),
+                    False,
+                ),
+                (
+                    "revenue_baseline_valid",
+                    F.count_if(
+                        _not_positive("unique_transactions")
+                        | _not_positive("total_purchase_revenue")
+                        | _not_positive("average_order_value")
+                    ),
+                    False,
+                ),
+            ],
         ),
-        _check(
-            stg_events.where(F.col("event_name").isin(KEY_FUNNEL_EVENTS)),
-            "key_funnel_events_no_null_sessions",
-            F.count_if(F.col("session_key").isNull()),
+        _checks(
+            stg_events,
+            [
+                ("key_funnel_events_no_null_sessions", F.count_if(key_event & F.col("session_key").isNull()), False),
+                ("stg_events_not_empty", F.count(F.lit(1)), True),
+            ],
         ),
-        _check(stg_events, "stg_events_not_empty", F.count(F.lit(1)), pass_when_positive=True),
     ]
     out = checks[0]
     for c in checks[1:]:
-        out = out.unionByName(c)
+        out = out.union(c)  # same five columns in the same order
     return out.orderBy("check_area", "check_name")

@@ -74,12 +74,11 @@ def step_counts(
 
 
 def funnel_counts(user_steps: DataFrame, session_steps: DataFrame, checkout_steps: DataFrame) -> DataFrame:
+    # Positional union: step_counts always yields COUNT_COLUMNS in order.
     return (
         step_counts(user_steps, USER_FUNNEL, "Users", MAIN_FLAGS, MAIN_LABELS)
-        .unionByName(step_counts(session_steps, SESSION_FUNNEL, "Sessions", MAIN_FLAGS, MAIN_LABELS))
-        .unionByName(
-            step_counts(checkout_steps, CHECKOUT_FUNNEL, "Sessions", CHECKOUT_FLAGS, CHECKOUT_LABELS)
-        )
+        .union(step_counts(session_steps, SESSION_FUNNEL, "Sessions", MAIN_FLAGS, MAIN_LABELS))
+        .union(step_counts(checkout_steps, CHECKOUT_FUNNEL, "Sessions", CHECKOUT_FLAGS, CHECKOUT_LABELS))
     )
 
 

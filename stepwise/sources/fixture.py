@@ -48,13 +48,11 @@ SESSION_EPOCH = "2024-01-01"
 FIXTURE_WINDOW = ("20240101", "20240131")
 
 
-def _pick(index: Column, values: list) -> Column:
-    """``values[index]`` as a CASE chain (null for a null entry)."""
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v) if v is not None else F.lit(None).cast("string")
-        expr = F.when(index == i, lit) if expr is None else expr.when(index == i, lit)
-    return expr
+def _pick(index: Column, values: list, dtype: str = "string") -> Column:
+    """``values[index]`` (0-based; null entries stay null): one array lookup
+    instead of a CASE chain, which keeps the plan small."""
+    arr = F.array(*[F.lit(v).cast(dtype) for v in values])
+    return F.get(arr, index.cast("int"))
 
 
 def _epoch_micros(ts: Column, dtype: T.DataType) -> Column:
@@ -68,12 +66,11 @@ def _epoch_micros(ts: Column, dtype: T.DataType) -> Column:
 
 
 def ga4_from_events(events: DataFrame) -> DataFrame:
-    """Map the flat test table onto ``EVENT_SCHEMA`` (column order included)."""
+    """Map the flat test table onto ``EVENT_SCHEMA`` (same column order and
+    leaf types). A single narrow projection; every rule is written once."""
     ts_type = events.schema["ts"].dataType
-    eid, uid, etype = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    eid, uid, etype, value = F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("value")
     k = F.get_json_object("props", "$.k").cast("int")
-    ts_ntz = F.col("ts") if isinstance(ts_type, T.TimestampNTZType) else F.col("ts")
-    day = F.to_date(ts_ntz)
 
     event_name = (
         F.when(etype == "view", "view_item")
@@ -82,21 +79,20 @@ def ga4_from_events(events: DataFrame) -> DataFrame:
         .when(etype == "purchase", F.when(uid % 4 == 3, "page_view").otherwise("purchase"))
         .when(etype == "error", F.when(k % 2 == 0, "add_shipping_info").otherwise("add_payment_info"))
     )
-    session_id = F.floor(F.datediff(day, F.lit(SESSION_EPOCH).cast("date")) / 7).cast("long")
-    page = F.struct(
-        F.lit("page_location").alias("key"),
+    session_id = F.floor(F.datediff(F.to_date("ts"), F.lit(SESSION_EPOCH).cast("date")) / 7).cast("long")
+    no_string, no_int = F.lit(None).cast("string"), F.lit(None).cast("long")
+    params = F.array(
         F.struct(
-            F.concat(F.lit(PAGE_PREFIX), uid.cast("string")).alias("string_value"),
-            F.lit(None).cast("long").alias("int_value"),
-        ).alias("value"),
-    )
-    sess = F.struct(
-        F.lit("ga_session_id").alias("key"),
-        F.struct(F.lit(None).cast("string").alias("string_value"), session_id.alias("int_value")).alias(
-            "value"
+            F.lit("page_location").alias("key"),
+            F.struct(F.concat(F.lit(PAGE_PREFIX), uid.cast("string")).alias("string_value"), no_int.alias("int_value")).alias("value"),
+        ),
+        F.struct(
+            F.lit("ga_session_id").alias("key"),
+            F.struct(no_string.alias("string_value"), session_id.alias("int_value")).alias("value"),
         ),
     )
-    params = F.when(eid % 101 == 0, F.array(page)).otherwise(F.array(page, sess))
+    # The session id key is left out for every 101st event.
+    params = F.slice(params, 1, F.when(eid % 101 == 0, 1).otherwise(2))
 
     tidx = (uid + F.when(eid % 10 == 0, 1).otherwise(0)) % 8
     traffic = F.struct(
@@ -108,42 +104,34 @@ def ga4_from_events(events: DataFrame) -> DataFrame:
     ecommerce = F.when(
         is_purchase,
         F.struct(
-            F.when(eid % 13 == 0, F.lit(None).cast("string"))
-            .otherwise(F.concat(F.lit("T"), F.floor(eid / 5).cast("long").cast("string")))
-            .alias("transaction_id"),
-            F.when(eid % 11 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias(
-                "purchase_revenue"
+            F.when(eid % 13 != 0, F.concat(F.lit("T"), F.expr("event_id div 5").cast("string"))).alias(
+                "transaction_id"
             ),
+            F.when(eid % 11 != 0, value).alias("purchase_revenue"),
         ),
     )
-    quantity = F.when(eid % 17 == 0, F.lit(None).cast("long")).otherwise((1 + k % 3).cast("long"))
+    quantity = F.when(eid % 17 != 0, (1 + k % 3).cast("long"))
+    item_revenue = F.when(is_purchase & (eid % 7 != 0), value * quantity)
 
-    def item(i: int) -> Column:
+    def item(i: Column) -> Column:
+        slot = (uid + i) % 10
         return F.struct(
-            F.concat(F.lit("SKU-"), ((uid + i) % 10).cast("string")).alias("item_id"),
-            F.concat(F.lit("Item "), ((uid + i) % 10).cast("string")).alias("item_name"),
+            F.concat(F.lit("SKU-"), slot.cast("string")).alias("item_id"),
+            F.concat(F.lit("Item "), slot.cast("string")).alias("item_name"),
             F.lit("Shop").alias("item_brand"),
-            _pick((uid + i) % 10, ITEM_CATEGORIES).alias("item_category"),
-            F.col("value").alias("price"),
+            _pick(slot, ITEM_CATEGORIES).alias("item_category"),
+            value.alias("price"),
             quantity.alias("quantity"),
-            F.when(is_purchase & (eid % 7 != 0), F.col("value") * quantity)
-            .otherwise(F.lit(None).cast("double"))
-            .alias("item_revenue"),
+            item_revenue.alias("item_revenue"),
         )
 
-    n_items = k % 3
-    items = (
-        F.when(n_items == 0, F.array().cast(EVENT_SCHEMA["items"].dataType))
-        .when(n_items == 1, F.array(item(0)))
-        .otherwise(F.array(item(0), item(1)))
-    )
-    raw = events.select(
-        F.date_format(ts_ntz, "yyyyMMdd").alias("event_date"),
+    # k % 3 items (0, 1 or 2); entry i uses slot (user_id + i) % 10.
+    items = F.transform(F.slice(F.array(F.lit(0), F.lit(1)), 1, k % 3), item)
+    return events.select(
+        F.date_format("ts", "yyyyMMdd").alias("event_date"),
         _epoch_micros(F.col("ts"), ts_type).alias("event_timestamp"),
         event_name.alias("event_name"),
-        F.when(eid % 103 == 0, F.lit(None).cast("string")).otherwise(uid.cast("string")).alias(
-            "user_pseudo_id"
-        ),
+        F.when(eid % 103 != 0, uid.cast("string")).alias("user_pseudo_id"),
         params.alias("event_params"),
         F.lit("WEB").alias("platform"),
         F.struct(_pick(uid % 3, DEVICES).alias("category")).alias("device"),
@@ -151,8 +139,6 @@ def ga4_from_events(events: DataFrame) -> DataFrame:
         ecommerce.alias("ecommerce"),
         items.alias("items"),
     )
-    # Align nullability/field types exactly with the declared raw schema.
-    return raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
 
 
 def load_events_table(spark: SparkSession, sf_dir: str) -> DataFrame:

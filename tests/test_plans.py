@@ -58,8 +58,31 @@ def test_funnel_shape(spark, smoke_marts):
     p = plan(smoke_marts.user_funnel_steps)
     assert "Window" not in p  # no whole-key window buffers
     assert "partial_min" in p  # map-side combine before the shuffle
-    opt = optimized(smoke_marts.user_funnel_steps)
-    assert "GlobalLimit 10000" in opt  # hot-key table bounded by max_hot_keys
+
+
+def test_hot_key_table_is_bounded_and_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from stepwise.operators.funnel import ordered_funnel
+    from stepwise.operators.skew import SkewConfig, resolve_hot_keys
+
+    df = spark.createDataFrame([(f"k{i % 5}", i) for i in range(100)], "k string, n long")
+    load = df.groupBy("k").agg(F.count(F.lit(1)).alias("load"))
+    hot = resolve_hot_keys(load, ["k"], "load", SkewConfig(rows_per_bucket=3, max_buckets=4, max_hot_keys=2))
+    assert hot.count() == 2  # top-n only, whatever the number of hot keys
+    assert resolve_hot_keys(load, ["k"], "load", SkewConfig(rows_per_bucket=10_000)) is None
+
+    import datetime as dt
+
+    t = dt.datetime(2021, 1, 1)
+    ev = spark.createDataFrame(
+        [("a", "view_item", t), ("a", "add_to_cart", t), ("a", "purchase", t)] * 5,
+        "k string, event_name string, event_time timestamp",
+    )
+    f = ordered_funnel(ev, ["k"], ["view_item", "add_to_cart", "purchase"], skew=SkewConfig(rows_per_bucket=1, max_buckets=3))
+    p = plan(f)
+    assert "BroadcastExchange" in p and "LocalTableScan" in p  # salted path: local hot table broadcast
+    assert f.collect()[0].purchase_time == t
 
 
 def test_baseline_join_is_broadcast(spark, smoke_marts):
