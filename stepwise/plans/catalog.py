@@ -3,7 +3,9 @@
 ``Marts`` wraps one raw-events DataFrame and exposes each layer as a
 property; properties are memoised DataFrame objects (plans, not data), so a
 mart that needs several layers shares the same logical sub-plans and Spark
-can reuse their exchanges. Nothing is collected on the driver.
+can reuse their exchanges. The only thing a build brings to the driver is
+the bounded hot-key top-n of each funnel (``operators.skew``); all data
+stays in Spark.
 """
 
 from __future__ import annotations
@@ -180,6 +182,32 @@ class Marts:
         return profile.event_param_lookup(self.stg_events)
 
 
+# Layer -> view name of the original model files (CREATE OR REPLACE VIEW).
+VIEW_NAMES = {
+    "stg_events": "stg_events",
+    "stg_items": "stg_items",
+    "user_funnel_steps": "int_user_funnel_steps",
+    "session_funnel_steps": "int_session_funnel_steps",
+    "checkout_funnel_steps": "int_checkout_funnel_steps",
+    "funnel_summary": "mart_funnel_summary",
+    "channel_device_performance": "mart_channel_device_performance",
+    "category_performance": "mart_category_performance",
+    "revenue_leakage": "mart_revenue_leakage",
+    "friction_score": "mart_friction_score",
+    "data_quality_checks": "data_quality_checks",
+}
+
+
+def register_views(marts: Marts, names: list[str] | None = None) -> list[str]:
+    """Register layers as session temp views under the model names, so
+    ``spark.sql("SELECT * FROM mart_friction_score")`` works as before."""
+    done = []
+    for attr in names or list(VIEW_NAMES):
+        getattr(marts, attr).createOrReplaceTempView(VIEW_NAMES[attr])
+        done.append(VIEW_NAMES[attr])
+    return done
+
+
 # Every registered query, in build order.
 QUERY_NAMES = [
     "event_name_counts",

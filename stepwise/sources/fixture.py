@@ -71,6 +71,10 @@ def ga4_from_events(events: DataFrame) -> DataFrame:
     ts_type = events.schema["ts"].dataType
     eid, uid, etype, value = F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("value")
     k = F.get_json_object("props", "$.k").cast("int")
+    # Dates come from epoch microseconds (UTC), never from the session time
+    # zone: the same rows whatever the reading session is configured with.
+    micros = _epoch_micros(F.col("ts"), ts_type)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(micros / F.lit(86_400_000_000)).cast("int"))
 
     event_name = (
         F.when(etype == "view", "view_item")
@@ -79,7 +83,7 @@ def ga4_from_events(events: DataFrame) -> DataFrame:
         .when(etype == "purchase", F.when(uid % 4 == 3, "page_view").otherwise("purchase"))
         .when(etype == "error", F.when(k % 2 == 0, "add_shipping_info").otherwise("add_payment_info"))
     )
-    session_id = F.floor(F.datediff(F.to_date("ts"), F.lit(SESSION_EPOCH).cast("date")) / 7).cast("long")
+    session_id = F.floor(F.datediff(day, F.lit(SESSION_EPOCH).cast("date")) / 7).cast("long")
     no_string, no_int = F.lit(None).cast("string"), F.lit(None).cast("long")
     params = F.array(
         F.struct(
@@ -128,8 +132,8 @@ def ga4_from_events(events: DataFrame) -> DataFrame:
     # k % 3 items (0, 1 or 2); entry i uses slot (user_id + i) % 10.
     items = F.transform(F.slice(F.array(F.lit(0), F.lit(1)), 1, k % 3), item)
     return events.select(
-        F.date_format("ts", "yyyyMMdd").alias("event_date"),
-        _epoch_micros(F.col("ts"), ts_type).alias("event_timestamp"),
+        F.date_format(day, "yyyyMMdd").alias("event_date"),
+        micros.alias("event_timestamp"),
         event_name.alias("event_name"),
         F.when(eid % 103 != 0, uid.cast("string")).alias("user_pseudo_id"),
         params.alias("event_params"),

@@ -39,3 +39,12 @@ def test_export_csv(spark, tmp_path):
     assert {r["is_low_confidence_category"] for r in cat} <= {"true", "false"}
     views = [int(r["category_view_sessions"]) for r in cat]
     assert views == sorted(views, reverse=True)
+
+
+def test_register_views(spark, smoke_marts):
+    from stepwise.plans.catalog import register_views
+
+    names = register_views(smoke_marts, ["funnel_summary", "revenue_leakage"])
+    assert names == ["mart_funnel_summary", "mart_revenue_leakage"]
+    n = spark.sql("SELECT count(*) AS n FROM mart_revenue_leakage WHERE step_order > 1").first().n
+    assert n == 9

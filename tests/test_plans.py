@@ -81,7 +81,8 @@ def test_hot_key_table_is_bounded_and_broadcast(spark):
     )
     f = ordered_funnel(ev, ["k"], ["view_item", "add_to_cart", "purchase"], skew=SkewConfig(rows_per_bucket=1, max_buckets=3))
     p = plan(f)
-    assert "BroadcastExchange" in p and "LocalTableScan" in p  # salted path: local hot table broadcast
+    # salted path: the collected hot-key rows are a small local relation, broadcast
+    assert "BroadcastExchange" in p and ("LocalTableScan" in p or "Scan ExistingRDD[k" in p)
     assert f.collect()[0].purchase_time == t
 
 
