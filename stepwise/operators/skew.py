@@ -8,7 +8,8 @@ hot keys are found from a per-key load that the caller already aggregated
 and then
 
 * each large-side row of a hot key gets a deterministic salt
-  ``pmod(xxhash64(row), buckets)`` (stable under task retries),
+  ``pmod(xxhash64(row, input partition id), buckets)`` (stable under task
+  retries),
 * the small side's row of a hot key is replicated once per bucket,
 
 and the join runs on ``keys + salt``. Keys outside the hot table keep salt 0
@@ -94,7 +95,10 @@ def salted_inner_join(
     big_s = big.join(hot_b, keys, "left").select(
         *big_cols,
         F.when(F.col(BUCKETS).isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.col(BUCKETS)))
+        # The input partition id joins the row in the hash, so even rows
+        # identical in (keys, time), such as a bot burst, spread over the
+        # buckets; a retried task keeps its partition id, so the salt is stable.
+        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in big_cols], F.spark_partition_id()), F.col(BUCKETS)))
         .cast("int")
         .alias(SALT),
     )
