@@ -91,11 +91,11 @@ def revenue_baseline(transactions: DataFrame) -> DataFrame:
     The sum is exact (decimal accumulation) and divided once, so the average
     does not depend on row order; empty input gives 0 / null / null.
     """
-    total = F.sum(F.col("transaction_revenue").cast("decimal(38,10)"))
+    total = exact_sum("transaction_revenue")
     return transactions.agg(
         F.count(F.lit(1)).alias("unique_transactions"),
-        total.cast("double").alias("total_purchase_revenue"),
-        safe_divide(total.cast("double"), F.count(F.lit(1))).alias("average_order_value"),
+        total.alias("total_purchase_revenue"),
+        safe_divide(total, F.count(F.lit(1))).alias("average_order_value"),
     )
 
 
