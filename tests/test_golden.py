@@ -110,3 +110,32 @@ def test_segment_replay_and_sums(spark):
     sums = [sum(r[i] for r in golden.SEGMENTS) for i in range(4, 8)]
     session = [r[4] for r in golden.SUMMARY if r[0] == "Session-Level Main Funnel"]
     assert sums == session
+
+
+def test_no_purchases_and_empty_steps(spark):
+    """No transactions at all: AOV null -> leakage null -> tier Low; a step
+    nobody reached gives 0 counts, null downstream rates; checks fail."""
+    from stepwise.plans.catalog import Marts
+    from tests.rawrows import event, raw_df
+
+    rows = [
+        event("view_item", 0, user="a", session=1),
+        event("view_item", 1, user="b", session=2),
+        event("add_to_cart", 2, user="b", session=2),
+    ]
+    m = Marts(raw_df(spark, rows))
+    b = m.revenue_baseline.first()
+    assert (b.unique_transactions, b.total_purchase_revenue, b.average_order_value) == (0, None, None)
+    leak = m.revenue_leakage.collect()
+    assert len(leak) == 9
+    assert all(r.estimated_revenue_leakage is None and r.leakage_priority == "Low" for r in leak)
+    fr = m.friction_score.collect()
+    assert all(r.friction_score is None and r.friction_priority == "Low" for r in fr)
+    summ = {(r.funnel_type, r.step_order): r for r in m.funnel_summary.collect()}
+    assert summ[("User-Level Main Funnel", 3)].reached_count == 0
+    assert summ[("User-Level Main Funnel", 4)].step_conversion_rate is None  # 0 / 0
+    assert summ[("Checkout Friction Funnel", 1)].reached_count is None  # SUM over no rows
+    checks = {r.check_name: r.check_status for r in m.data_quality_checks.collect()}
+    assert checks["revenue_baseline_valid"] == "FAIL"
+    assert checks["friction_scores_between_0_and_100"] == "FAIL"
+    assert checks["stg_events_not_empty"] == "PASS"
