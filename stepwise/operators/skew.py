@@ -54,10 +54,10 @@ def hot_key_buckets(per_key: DataFrame, keys: list[str], load_col: str, cfg: Ske
     buckets = F.least(
         F.lit(cfg.max_buckets), F.ceil(F.col(load_col) / F.lit(cfg.rows_per_bucket))
     ).cast("int")
-    hot = per_key.where(F.col(load_col) > F.lit(cfg.rows_per_bucket)).select(
-        *keys, buckets.alias(BUCKETS)
-    )
-    return hot.orderBy(F.desc(BUCKETS), *keys).limit(cfg.max_hot_keys)
+    hot = per_key.where(F.col(load_col) > F.lit(cfg.rows_per_bucket))
+    # Heaviest first (by the uncapped load), key order breaks ties.
+    top = hot.orderBy(F.desc(load_col), *keys).limit(cfg.max_hot_keys)
+    return top.select(*keys, buckets.alias(BUCKETS))
 
 
 def resolve_hot_keys(per_key: DataFrame, keys: list[str], load_col: str, cfg: SkewConfig) -> DataFrame | None:
