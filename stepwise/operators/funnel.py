@@ -32,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig, resolve_hot_keys, salted_inner_join
+from stepwise.operators.skew import AUTO, DEFAULT_SKEW, SkewConfig, resolve_hot_keys, salted_inner_join
 
 LOAD = "_load"
 PREV = "_prev"
@@ -57,9 +57,14 @@ def ordered_funnel(
     event_col: str = "event_name",
     carry: list[str] | None = None,
     skew: SkewConfig = DEFAULT_SKEW,
+    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
     """One row per key that reached ``steps[0]``.
 
+    ``hot``: ``AUTO`` resolves the hot keys from this funnel's later-step
+    rows; a table from ``hot_keys_by_key_load`` (or ``None`` for no
+    salting) lets several funnels on the same key share one resolution.
+
     Columns: ``keys``, ``carry`` (minimum over the key's step-1 rows, i.e. a
     deterministic any-value), then ``<step>_time`` for every step.
     """
@@ -79,13 +84,14 @@ def ordered_funnel(
         .groupBy(*keys)
         .agg(F.min(ev_time).alias(names[0]), *[F.min(c).alias(c) for c in carry])
     )
-    hot = None
-    if skew.enabled and len(steps) > 1:
-        # Later-step load per key (map-side combined), only to pick the
-        # keys to split; resolved to a bounded local table before planning
-        # the joins.
-        load = ev.where(~first).groupBy(*keys).agg(F.count(F.lit(1)).alias(LOAD))
-        hot = resolve_hot_keys(load, keys, LOAD, skew)
+    if isinstance(hot, str):  # AUTO
+        hot = None
+        if skew.enabled and len(steps) > 1:
+            # Later-step load per key (map-side combined), only to pick the
+            # keys to split; resolved to a bounded local table before
+            # planning the joins.
+            load = ev.where(~first).groupBy(*keys).agg(F.count(F.lit(1)).alias(LOAD))
+            hot = resolve_hot_keys(load, keys, LOAD, skew)
 
     # Per-step rows (keys, step index, time); the entry rows also hold the
     # carried columns.

@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 
 SALT = "_salt"
 BUCKETS = "_buckets"
+LOAD = "_load"
+# Sentinel: let the funnel resolve its own hot keys.
+AUTO = "auto"
 
 
 @dataclass(frozen=True)
@@ -108,3 +111,17 @@ def salted_inner_join(
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col(BUCKETS), F.lit(1)) - 1)).alias(SALT),
     )
     return big_s.join(small_s, keys + [SALT], "inner").drop(SALT)
+
+
+def hot_keys_by_key_load(events: DataFrame, keys: list[str], cfg: SkewConfig = DEFAULT_SKEW) -> DataFrame | None:
+    """Hot keys by their total row count (any event name), for sharing one
+    resolution between several funnels on the same key: every step's join
+    side is a subset of the key's rows, so this load is an upper bound."""
+    if not cfg.enabled:
+        return None
+    not_null = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        not_null = c if not_null is None else (not_null & c)
+    load = events.where(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias(LOAD))
+    return resolve_hot_keys(load, keys, LOAD, cfg)

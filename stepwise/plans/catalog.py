@@ -15,7 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig
+from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig, hot_keys_by_key_load
 from stepwise.operators.staging import stg_events, stg_items
 from stepwise.plans import funnels, performance, profile, quality, revenue, summary
 from stepwise.sources.fixture import FIXTURE_WINDOW, load_raw
@@ -52,17 +52,22 @@ class Marts:
         return self._staged[1] if self._staged else stg_items(self.raw_all, self.window)
 
     # ---------------------------------------------------------- funnels --
+    @cached_property
+    def session_hot_keys(self) -> DataFrame | None:
+        """One bounded hot-key resolution shared by the three session funnels."""
+        return hot_keys_by_key_load(self.stg_events, ["session_key"], self.skew)
+
     @cached_property
     def user_funnel_steps(self) -> DataFrame:
         return funnels.user_funnel_steps(self.stg_events, self.skew)
 
     @cached_property
     def session_funnel_steps(self) -> DataFrame:
-        return funnels.session_funnel_steps(self.stg_events, self.skew)
+        return funnels.session_funnel_steps(self.stg_events, self.skew, self.session_hot_keys)
 
     @cached_property
     def checkout_funnel_steps(self) -> DataFrame:
-        return funnels.checkout_funnel_steps(self.stg_events, self.skew)
+        return funnels.checkout_funnel_steps(self.stg_events, self.skew, self.session_hot_keys)
 
     @cached_property
     def category_session_funnel(self) -> DataFrame:
@@ -122,7 +127,7 @@ class Marts:
     @cached_property
     def channel_device_performance(self) -> DataFrame:
         return performance.channel_device_performance(
-            performance.session_funnel_segmented(self.stg_events, self.skew)
+            performance.session_funnel_segmented(self.stg_events, self.skew, self.session_hot_keys)
         )
 
     # ---------------------------------------------------------- quality --

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stepwise.functions.columns import flag, funnel_status
 from stepwise.operators.funnel import ordered_funnel, step_time_column
-from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig
+from stepwise.operators.skew import AUTO, DEFAULT_SKEW, SkewConfig
 
 # Event names of the two funnels, in step order.
 MAIN_STEPS = ["view_item", "add_to_cart", "begin_checkout", "purchase"]
@@ -39,24 +39,24 @@ def _main_outputs(df: DataFrame, id_cols: list[str]) -> DataFrame:
     )
 
 
-def user_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+def user_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW, hot=AUTO) -> DataFrame:
     """One row per user with at least one product view."""
-    f = ordered_funnel(stg_events, ["user_pseudo_id"], MAIN_STEPS, skew=skew)
+    f = ordered_funnel(stg_events, ["user_pseudo_id"], MAIN_STEPS, skew=skew, hot=hot)
     return _main_outputs(f, ["user_pseudo_id"])
 
 
-def session_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+def session_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW, hot=AUTO) -> DataFrame:
     """One row per session with at least one product view; every step must
     happen inside the same session."""
-    f = ordered_funnel(stg_events, ["session_key"], MAIN_STEPS, carry=["user_pseudo_id"], skew=skew)
+    f = ordered_funnel(stg_events, ["session_key"], MAIN_STEPS, carry=["user_pseudo_id"], skew=skew, hot=hot)
     return _main_outputs(f, ["session_key", "user_pseudo_id"])
 
 
-def checkout_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+def checkout_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW, hot=AUTO) -> DataFrame:
     """One row per session that began checkout (any such session, not only
     those that viewed an item first)."""
     f = ordered_funnel(
-        stg_events, ["session_key"], CHECKOUT_STEPS, carry=["user_pseudo_id"], skew=skew
+        stg_events, ["session_key"], CHECKOUT_STEPS, carry=["user_pseudo_id"], skew=skew, hot=hot
     )
     times = [F.col(step_time_column(s)) for s in CHECKOUT_STEPS]
     return f.select(

@@ -20,7 +20,7 @@ from stepwise.functions.columns import (
     safe_divide,
 )
 from stepwise.operators.funnel import ordered_funnel
-from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig
+from stepwise.operators.skew import AUTO, DEFAULT_SKEW, SkewConfig
 from stepwise.plans.funnels import MAIN_STEPS, _main_outputs
 
 STEP_SUMS = [
@@ -131,7 +131,7 @@ def session_segments(stg_events: DataFrame) -> DataFrame:
     )
 
 
-def session_funnel_segmented(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+def session_funnel_segmented(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW, hot=AUTO) -> DataFrame:
     """Session funnel whose entry aggregate also carries the session's
     segment: the attribution rides on the funnel's first aggregate, so no
     extra shuffle or join is needed."""
@@ -141,6 +141,7 @@ def session_funnel_segmented(stg_events: DataFrame, skew: SkewConfig = DEFAULT_S
         MAIN_STEPS,
         carry=["user_pseudo_id", SEGMENT],
         skew=skew,
+        hot=hot,
     )
     out = _main_outputs(f, ["session_key", "user_pseudo_id", SEGMENT])
     return out.select(
