@@ -48,3 +48,14 @@ def test_register_views(spark, smoke_marts):
     assert names == ["mart_funnel_summary", "mart_revenue_leakage"]
     n = spark.sql("SELECT count(*) AS n FROM mart_revenue_leakage WHERE step_order > 1").first().n
     assert n == 9
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from stepwise.__main__ import main
+
+    assert main(["run", "--fixture", SMOKE_DIR, "--export", str(tmp_path / "csv"), "--stage", str(tmp_path / "st")]) == 0
+    paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(paths) == set(MART_NAMES)
+    assert glob.glob(paths["data_quality_checks"] + "/*.csv")
