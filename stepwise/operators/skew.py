@@ -113,15 +113,21 @@ def salted_inner_join(
     return big_s.join(small_s, keys + [SALT], "inner").drop(SALT)
 
 
-def hot_keys_by_key_load(events: DataFrame, keys: list[str], cfg: SkewConfig = DEFAULT_SKEW) -> DataFrame | None:
-    """Hot keys by their total row count (any event name), for sharing one
-    resolution between several funnels on the same key: every step's join
-    side is a subset of the key's rows, so this load is an upper bound."""
+def hot_keys_by_key_load(
+    events: DataFrame,
+    keys: list[str],
+    event_names: list[str],
+    cfg: SkewConfig = DEFAULT_SKEW,
+    event_col: str = "event_name",
+) -> DataFrame | None:
+    """Hot keys by their row count over ``event_names`` (the union of the
+    steps of several funnels on the same key), for sharing one resolution
+    between those funnels: every step's join side is a subset of these
+    rows, so the load is an upper bound. The name filter reaches the scan."""
     if not cfg.enabled:
         return None
-    not_null = None
+    cond = F.col(event_col).isin(event_names)
     for k in keys:
-        c = F.col(k).isNotNull()
-        not_null = c if not_null is None else (not_null & c)
-    load = events.where(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias(LOAD))
+        cond = cond & F.col(k).isNotNull()
+    load = events.where(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias(LOAD))
     return resolve_hot_keys(load, keys, LOAD, cfg)

@@ -55,7 +55,8 @@ class Marts:
     @cached_property
     def session_hot_keys(self) -> DataFrame | None:
         """One bounded hot-key resolution shared by the three session funnels."""
-        return hot_keys_by_key_load(self.stg_events, ["session_key"], self.skew)
+        names = list(dict.fromkeys(funnels.MAIN_STEPS + funnels.CHECKOUT_STEPS))
+        return hot_keys_by_key_load(self.stg_events, ["session_key"], names, self.skew)
 
     @cached_property
     def user_funnel_steps(self) -> DataFrame:
