@@ -155,3 +155,45 @@ def test_checkout_steps_any_entry(spark):
     out = checkout_funnel_steps(stg_events(raw_df(spark, rows))).collect()
     assert [(r.session_key, r.began_checkout, r.added_shipping_info) for r in out] == [("z-3", 1, 0)]
     assert CHECKOUT_STEPS[0] == "begin_checkout"
+
+
+def test_salting_spreads_a_hot_key_across_partitions(spark):
+    """A key holding 75% of the join side lands in one shuffle partition
+    without salting; with salting no partition holds more than half."""
+    import datetime as dt
+
+    from stepwise.operators.skew import resolve_hot_keys, salted_inner_join
+
+    t = dt.datetime(2021, 1, 1)
+    rows = [("hot", t + dt.timedelta(seconds=i % 50)) for i in range(3000)]  # repeated timestamps too
+    rows += [(f"k{i % 100}", t) for i in range(1000)]
+    cur = spark.createDataFrame(rows, "k string, _t timestamp").repartition(4)
+    prev = spark.createDataFrame([("hot", t)] + [(f"k{i}", t) for i in range(100)], "k string, _prev timestamp")
+    load = cur.groupBy("k").agg(F.count(F.lit(1)).alias("load"))
+    cfg = SkewConfig(rows_per_bucket=200, max_buckets=16)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.enabled": "false",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+
+        def max_share(hot):
+            out = salted_inner_join(cur, prev, ["k"], hot)
+            sizes = [r.n for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+            assert sum(sizes) == 4000  # whole result either way
+            return max(sizes) / sum(sizes)
+
+        assert max_share(None) >= 0.75
+        assert max_share(resolve_hot_keys(load, ["k"], "load", cfg)) < 0.5
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
