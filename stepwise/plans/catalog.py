@@ -38,6 +38,13 @@ class Marts:
         self.skew = skew
         self._staged = staged
 
+    def with_tables(self, **tables: DataFrame) -> "Marts":
+        """A copy whose named layers are the given (e.g. materialised)
+        DataFrames; everything downstream of them builds on those."""
+        m = Marts(self.raw_all, self.window, self.skew, self._staged)
+        m.__dict__.update(tables)  # pre-fills the cached properties
+        return m
+
     # ---------------------------------------------------------- staging --
     @cached_property
     def raw(self) -> DataFrame:
@@ -125,11 +132,14 @@ class Marts:
     def session_segments(self) -> DataFrame:
         return performance.session_segments(self.stg_events)
 
+    @cached_property
+    def session_funnel_segmented(self) -> DataFrame:
+        """Session funnel carrying each session's (channel, device)."""
+        return performance.session_funnel_segmented(self.stg_events, self.skew, self.session_hot_keys)
+
     @cached_property
     def channel_device_performance(self) -> DataFrame:
-        return performance.channel_device_performance(
-            performance.session_funnel_segmented(self.stg_events, self.skew, self.session_hot_keys)
-        )
+        return performance.channel_device_performance(self.session_funnel_segmented)
 
     # ---------------------------------------------------------- quality --
     @cached_property

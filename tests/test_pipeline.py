@@ -59,3 +59,15 @@ def test_command_line(spark, tmp_path, capsys):
     paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert set(paths) == set(MART_NAMES)
     assert glob.glob(paths["data_quality_checks"] + "/*.csv")
+
+
+def test_intermediate_layer_equals_lazy(spark, smoke_marts, tmp_path):
+    from stepwise.plans.pipeline import INTERMEDIATE, stage_intermediate
+
+    layered = stage_intermediate(smoke_marts, str(tmp_path / "int"))
+    for name in INTERMEDIATE:
+        assert glob.glob(str(tmp_path / "int" / name / "*.parquet"))
+    for name in ["friction_score", "channel_device_performance", "data_quality_checks"]:
+        a = sorted(tuple(r) for r in getattr(smoke_marts, name).collect())
+        b = sorted(tuple(r) for r in getattr(layered, name).collect())
+        assert a == b, name
