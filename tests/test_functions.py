@@ -145,3 +145,20 @@ def test_friction_texts(spark):
 def test_round_half_up(spark):
     df = spark.createDataFrame([(0.125,), (-0.125,), (93.1149,)], "v double")
     assert [r.r for r in df.select(F.round("v", 2).alias("r")).collect()] == [0.13, -0.13, 93.11]
+
+
+def test_transaction_dedup_and_baseline(spark):
+    from stepwise.plans.revenue import revenue_baseline, transaction_revenue
+
+    rows = [
+        event("purchase", 0, transaction="T1", revenue=10.0),
+        event("purchase", 1, transaction="T1", revenue=30.0),  # repeated id, other revenue -> max
+        event("purchase", 2, transaction="(not set)", revenue=5.0),  # placeholder ids are kept
+        event("purchase", 3, transaction=None, revenue=99.0),  # no id -> out
+        event("purchase", 4, transaction="T2", revenue=None),  # no revenue -> out
+        event("page_view", 5, transaction="T3", revenue=50.0),  # not a purchase -> out
+    ]
+    tr = transaction_revenue(stg_events(raw_df(spark, rows)))
+    assert sorted((r.transaction_id, r.transaction_revenue) for r in tr.collect()) == [("(not set)", 5.0), ("T1", 30.0)]
+    b = revenue_baseline(tr).first()
+    assert (b.unique_transactions, b.total_purchase_revenue, b.average_order_value) == (2, 35.0, 17.5)
