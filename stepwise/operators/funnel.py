@@ -71,6 +71,9 @@ def ordered_funnel(
     keys, carry = list(keys), list(carry or [])
     if len(steps) < 1:
         raise ValueError("a funnel needs at least one step")
+    if len(set(steps)) != len(steps):
+        # Each step is an event name and names its output column.
+        raise ValueError(f"funnel steps must be distinct event names: {steps}")
     names = [step_time_column(s) for s in steps]
     ev_name, ev_time = F.col(event_col), F.col(time_col)
     first = ev_name == F.lit(steps[0])
