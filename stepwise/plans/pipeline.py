@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig
 from stepwise.operators.staging import STG_EVENTS_COLUMNS, STG_ITEMS_COLUMNS
-from stepwise.plans.catalog import Marts
+from stepwise.plans.catalog import VIEW_NAMES, Marts
 from stepwise.session import checkpoint_dir
 from stepwise.sources.export import EXPORT_ORDER, write_csv
 
@@ -97,3 +97,27 @@ def run_pipeline(
     staged = stage(Marts(raw, window, skew), stage_dir)
     layered = stage_intermediate(staged, f"{stage_dir.rstrip('/')}/intermediate" if stage_dir else None)
     return {name: write_csv(name, getattr(layered, name), export_dir) for name in MART_NAMES}
+
+
+def save_tables(
+    marts: Marts,
+    database: str,
+    names: list[str] | None = None,
+    location: str | None = None,
+) -> dict[str, str]:
+    """Persist layers as catalog tables named like the model views
+    (``<database>.mart_friction_score`` ...); the staging tables are
+    partitioned by ``event_date``. ``location`` places a new database's
+    managed tables (e.g. in the shared folder)."""
+    spark = marts.stg_events.sparkSession
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
+    out = {}
+    for attr in names or list(VIEW_NAMES):
+        table = f"`{database}`.`{VIEW_NAMES[attr]}`"
+        writer = getattr(marts, attr).write.mode("overwrite")
+        if attr in ("stg_events", "stg_items"):
+            writer = writer.partitionBy("event_date")
+        writer.saveAsTable(table)
+        out[attr] = f"{database}.{VIEW_NAMES[attr]}"
+    return out

@@ -15,7 +15,10 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 def spark():
     from stepwise.session import build_session
 
-    s = build_session("local[4]", 4, app_name="stepwise-tests")
+    import tempfile
+
+    warehouse = tempfile.mkdtemp(prefix="stepwise-warehouse-")
+    s = build_session("local[4]", 4, app_name="stepwise-tests", extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

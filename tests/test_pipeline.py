@@ -71,3 +71,13 @@ def test_intermediate_layer_equals_lazy(spark, smoke_marts, tmp_path):
         a = sorted(tuple(r) for r in getattr(smoke_marts, name).collect())
         b = sorted(tuple(r) for r in getattr(layered, name).collect())
         assert a == b, name
+
+
+def test_save_tables(spark, smoke_marts, tmp_path):
+    from stepwise.plans.pipeline import save_tables
+
+    out = save_tables(smoke_marts, "stepwise_test", ["stg_events", "friction_score"], str(tmp_path / "db"))
+    assert out == {"stg_events": "stepwise_test.stg_events", "friction_score": "stepwise_test.mart_friction_score"}
+    assert spark.table("stepwise_test.mart_friction_score").count() == 9
+    assert spark.table("stepwise_test.stg_events").count() == 1000
+    spark.sql("DROP DATABASE stepwise_test CASCADE")
