@@ -54,13 +54,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and materialised layers.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared folder there). Only when it is unset, as in local tests, a fresh
-    scratch folder is created and registered.
+    shared folder there). Only when it is unset in local mode, as in tests,
+    a fresh scratch folder is created and registered; on a cluster an unset
+    setting is an error, never a machine-local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is not shared by executors: refuse.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         d = tempfile.mkdtemp(prefix="stepwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
