@@ -1,7 +1,7 @@
 """Transaction-deduplicated revenue baseline, revenue leakage, friction score.
 
 The baseline is one row (a global aggregate over one row per transaction),
-so attaching it to the transitions is a broadcast of one row. The leakage
+so it is attached to the transitions as scalar subqueries, not a join. The leakage
 and friction tables have one row per funnel transition (9 with the standard
 funnels): their global ranks and max run over a size fixed by the funnel
 definitions, not by the data.
@@ -45,6 +45,9 @@ LEAKAGE_COLUMNS = [
     "leakage_priority",
 ]
 
+# Transition columns carried into the leakage table, in output order.
+TRANSITION_LEAKAGE_COLUMNS = LEAKAGE_COLUMNS[:12]
+
 FRICTION_COLUMNS = [
     "funnel_type",
     "unit_type",
@@ -102,7 +105,13 @@ def revenue_baseline(transactions: DataFrame) -> DataFrame:
 def revenue_leakage(transitions: DataFrame, baseline: DataFrame) -> DataFrame:
     """``dropoff_count * average_order_value`` per transition (step > 1),
     dense-ranked within each funnel and overall, and tiered."""
-    t = transitions.crossJoin(F.broadcast(baseline)).where(F.col("step_order") > 1)
+    # The baseline is exactly one row (a global aggregate): attach it as
+    # scalar subqueries (Spark merges them into one aggregate, computed once)
+    # instead of joining every transition to it.
+    base = {c: baseline.select(c).scalar() for c in ("unique_transactions", "total_purchase_revenue", "average_order_value")}
+    t = transitions.where(F.col("step_order") > 1).select(
+        *TRANSITION_LEAKAGE_COLUMNS, *[v.alias(c) for c, v in base.items()]
+    )
     leak = F.col("dropoff_count") * F.col("average_order_value")
     t = t.withColumn("estimated_revenue_leakage", leak)
     by_funnel = Window.partitionBy("funnel_type").orderBy(F.desc_nulls_last("estimated_revenue_leakage"))
