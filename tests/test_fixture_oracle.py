@@ -22,6 +22,7 @@ EXPECTED_SF0001 = {
     "category": (88, 44, 19, 6),
     "purchase": (157, 104, 143),
     "dedup": (98, 6138.56),
+    "multi_channel_sessions": 56,
 }
 
 
@@ -46,6 +47,16 @@ def test_mapping_counts(smoke_marts):
     b = m.revenue_baseline.first()
     assert b.unique_transactions == e["dedup"][0]
     assert round(b.total_purchase_revenue, 2) == e["dedup"][1]
+    # Sessions whose events carry more than one (source, medium) pair (nulls count as values).
+    pair = F.concat_ws("|", F.coalesce("traffic_source", F.lit("<null>")), F.coalesce("traffic_medium", F.lit("<null>")))
+    multi = (
+        m.stg_events.where(F.col("session_key").isNotNull())
+        .groupBy("session_key")
+        .agg(F.countDistinct(pair).alias("n"))
+        .where("n > 1")
+        .count()
+    )
+    assert multi == e["multi_channel_sessions"]
 
 
 @pytest.fixture(scope="module")
