@@ -15,6 +15,7 @@ import argparse
 import json
 import sys
 
+from stepwise.operators.skew import skew_config_from_session
 from stepwise.plans.pipeline import run_pipeline
 from stepwise.session import build_session
 from stepwise.sources.fixture import FIXTURE_WINDOW, load_raw
@@ -41,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         window = tuple(args.window) if args.window else FIXTURE_WINDOW
         raw = load_raw(spark, args.fixture)
-    paths = run_pipeline(raw, window, args.export, args.stage)
+    paths = run_pipeline(raw, window, args.export, args.stage, skew_config_from_session(spark))
     print(json.dumps(paths))
     return 0
 

@@ -46,6 +46,27 @@ class SkewConfig:
 
 DEFAULT_SKEW = SkewConfig()
 
+# Session settings that override the defaults (e.g. via spark-submit --conf).
+CONF_PREFIX = "spark.stepwise.skew."
+
+
+def skew_config_from_session(spark, base: SkewConfig = DEFAULT_SKEW) -> SkewConfig:
+    """``SkewConfig`` with any ``spark.stepwise.skew.{rowsPerBucket,
+    maxBuckets, maxHotKeys, enabled}`` settings of the session applied."""
+
+    def get(name: str, default):
+        v = spark.conf.get(CONF_PREFIX + name, None)
+        if v is None:
+            return default
+        return v.strip().lower() == "true" if isinstance(default, bool) else int(v)
+
+    return SkewConfig(
+        rows_per_bucket=get("rowsPerBucket", base.rows_per_bucket),
+        max_buckets=get("maxBuckets", base.max_buckets),
+        max_hot_keys=get("maxHotKeys", base.max_hot_keys),
+        enabled=get("enabled", base.enabled),
+    )
+
 
 def hot_key_buckets(per_key: DataFrame, keys: list[str], load_col: str, cfg: SkewConfig) -> DataFrame:
     """Bounded table ``keys + _buckets`` of the heaviest keys.

@@ -15,7 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig, hot_keys_by_key_load
+from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig, hot_keys_by_key_load, skew_config_from_session
 from stepwise.operators.staging import stg_events, stg_items
 from stepwise.plans import funnels, performance, profile, quality, revenue, summary
 from stepwise.sources.fixture import FIXTURE_WINDOW, load_raw
@@ -258,9 +258,10 @@ QUERY_NAMES = [
 ]
 
 
-def fixture_marts(spark: SparkSession, sf_dir: str, skew: SkewConfig = DEFAULT_SKEW) -> Marts:
-    """Marts over the driver's ``events`` table, window covering all of it."""
-    return Marts(load_raw(spark, sf_dir), FIXTURE_WINDOW, skew)
+def fixture_marts(spark: SparkSession, sf_dir: str, skew: SkewConfig | None = None) -> Marts:
+    """Marts over the driver's ``events`` table, window covering all of it.
+    Skew settings default to the session's ``spark.stepwise.skew.*``."""
+    return Marts(load_raw(spark, sf_dir), FIXTURE_WINDOW, skew or skew_config_from_session(spark))
 
 
 def query(name: str) -> Callable[[SparkSession, str], DataFrame]:

@@ -197,3 +197,17 @@ def test_salting_spreads_a_hot_key_across_partitions(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_skew_settings_from_session(spark):
+    from stepwise.operators.skew import DEFAULT_SKEW, skew_config_from_session
+
+    assert skew_config_from_session(spark) == DEFAULT_SKEW
+    spark.conf.set("spark.stepwise.skew.rowsPerBucket", "123")
+    spark.conf.set("spark.stepwise.skew.enabled", "false")
+    try:
+        cfg = skew_config_from_session(spark)
+        assert (cfg.rows_per_bucket, cfg.enabled, cfg.max_buckets) == (123, False, DEFAULT_SKEW.max_buckets)
+    finally:
+        spark.conf.unset("spark.stepwise.skew.rowsPerBucket")
+        spark.conf.unset("spark.stepwise.skew.enabled")
