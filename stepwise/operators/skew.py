@@ -2,10 +2,10 @@
 
 A single key (a bot user, a runaway session) may hold a third of all rows.
 A plain shuffle join on that key sends all of them to one task. Here the
-hot keys are found from a per-key load that the caller already aggregated
-(partial aggregation, so finding them costs no extra pass), the heaviest
-``max_hot_keys`` of them get a bucket count proportional to their load,
-and then
+hot keys are found from a per-key load (a count with map-side partial
+aggregation, one pass over the narrow step columns); the heaviest
+``max_hot_keys`` of them get a bucket count proportional to their load and
+come back as a bounded top-n, and then
 
 * each large-side row of a hot key gets a deterministic salt
   ``pmod(xxhash64(row, input partition id), buckets)`` (stable under task
@@ -13,8 +13,9 @@ and then
 * the small side's row of a hot key is replicated once per bucket,
 
 and the join runs on ``keys + salt``. Keys outside the hot table keep salt 0
-and a single copy, so the common case adds only two map-side broadcast
-lookups against a table whose size is bounded by ``max_hot_keys`` rows.
+and a single copy, via two map-side broadcast lookups against a table of at
+most ``max_hot_keys`` rows. When no key is hot, the common case, the join is
+a plain one with no lookups at all.
 Choosing which keys to salt never drops or caps rows: an unsalted key is
 still joined exactly.
 """
