@@ -5,8 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stepwise.llm.decontam import contamination
+from stepwise.llm.language import fit, identify, page_columns
+from stepwise.llm.mixing import mix
+from stepwise.llm.pii import pseudonymized
+from stepwise.llm.repeats import remove_repeats
 from stepwise.llm.scratch import read_table
+from stepwise.llm.secrets import BASE_KINDS, KINDS, counted, find_secrets, listed
+from stepwise.llm.simhash import simhash_groups
+from stepwise.llm.topk import top_k
 from stepwise.llm.tokens import tokenize_documents
 
 
@@ -18,9 +27,79 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text of ``documents``."""
+    found = find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("secrets")
+    return found.select(
+        "doc_id",
+        *[counted(spans, kind).alias(f"n_{kind}") for kind in BASE_KINDS],
+        F.sha2(listed(spans, BASE_KINDS).cast("binary"), 256).alias("base_sha256"),
+        listed(spans, KINDS).alias("spans"),
+    )
+
+
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of ``documents`` in passages of 100 bytes that occur earlier."""
+    cut = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of the sources at target weights takes of each document."""
+    plan = mix(read_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document and page: fitted on the documents' labels;
+    a document's label is its declaration and its source the host."""
+    docs = read_table(spark, sf_dir, "documents")
+    none = F.lit(None).cast("long")
+    texts = docs.select("doc_id", none.alias("page_id"), F.col("lang").alias("declared"), F.col("source").alias("host"), "text")
+    pages = page_columns(read_table(spark, sf_dir, "pages")).select(none.alias("doc_id"), "page_id", "declared", "host", "text")
+    model = fit(docs.select("text", F.col("lang").alias("label")))
+    return identify(texts.unionByName(pages), model)
+
+
+def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of ``documents`` by fingerprints within 3 bits."""
+    groups = simhash_groups(read_table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 rows of ``embeddings`` of the highest inner product with each row
+    whose id is divisible by 50."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+#: The key of the pseudonyms; a deployment sets its own.
+PII_KEY = "stepwise"
+
+
+def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` with personal data replaced by pseudonyms."""
+    return pseudonymized(read_table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` inside windows of ``benchmark`` items."""
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_output": op1_token_output,
+        "op2_secret_scan": op2_secret_scan,
+        "op3_repeated_passages": op3_repeated_passages,
+        "op4_source_mixing": op4_source_mixing,
+        "op5_language_id": op5_language_id,
+        "op6_simhash_groups": op6_simhash_groups,
+        "op8_topk_search": op8_topk_search,
+        "op9_pii_pseudonyms": op9_pii_pseudonyms,
+        "op10_decontamination": op10_decontamination,
     }
 
 
