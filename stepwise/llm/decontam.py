@@ -17,6 +17,10 @@ joined to them. That is at most ``WINDOW - 1`` lengths, however many items.
 The benchmark side is written once; Spark broadcasts it if its measured size
 is below the broadcast threshold and shuffles otherwise. Texts are shuffled at
 most once, and only beside documents with a meeting.
+
+(The outer ``explode`` is on purpose: the optimizer pushes the filter that it
+infers from an inner one below the projections, and copies what they compute
+into every lambda.)
 """
 
 from __future__ import annotations
@@ -84,7 +88,8 @@ def _long_items(items: DataFrame) -> DataFrame:
     around = WINDOW - GRAM
     return (
         _with_prints(items.where(F.size("words") >= WINDOW))
-        .select("item", "words", F.explode("prints").alias("p"))
+        .select("item", "words", F.explode_outer("prints").alias("p"))
+        .where(F.col("p").isNotNull())
         .withColumn("at", _place("p"))
         .withColumn("before", F.least("at", F.lit(around)))
         .select(
@@ -110,7 +115,8 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     wrap = 1 << PLACE_BITS
     meets = (
         _with_prints(rows.withColumn("words", words(F.col("text"))))
-        .select("doc_id", "text_hash", F.explode("prints").alias("p"))
+        .select("doc_id", "text_hash", F.explode_outer("prints").alias("p"))
+        .where(F.col("p").isNotNull())
         .select("doc_id", "text_hash", _hash("p").alias("hash"), _place("p").alias("at"))
         .join(materialize(_long_items(items), "benchmark-prints"), "hash")
         .select("doc_id", "text_hash", F.struct("item", "at", "before", "context").alias("meet"))
@@ -123,12 +129,14 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         )
         meets = meets.unionByName(
             rows.withColumn("words", words(F.col("text")))
-            .where(F.size("words") >= n)
             .select(
                 "doc_id",
                 "text_hash",
-                F.posexplode(
-                    F.expr(f"transform(sequence(1, size(words) - {n - 1}), i -> xxhash64(slice(words, i, {n})))")
+                F.posexplode_outer(
+                    F.expr(
+                        f"if(size(words) >= {n}, transform(sequence(1, size(words) - {n - 1}),"
+                        f" i -> xxhash64(slice(words, i, {n}))), array())"
+                    )
                 ).alias("at", "hash"),
             )
             .join(own, "hash")
@@ -158,7 +166,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             " w -> named_struct('item', m.item, 'at', w.at, 'n', w.n)))))"
         ).alias("hits"),
     )
-    return found.where(F.size("hits") > 0)
+    return materialize(found, "hits").where(F.size("hits") > 0)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -171,7 +179,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text each get their row; an empty side gives no hits; other columns are
     ignored.
     """
-    hits = materialize(benchmark_hits(docs, benchmark), "hits").dropDuplicates(["doc_id", "text_hash"])
+    hits = benchmark_hits(docs, benchmark).dropDuplicates(["doc_id", "text_hash"])
     found = hits.select(
         F.col("doc_id").alias("_doc_id"),
         F.col("text_hash").alias("_text_hash"),
@@ -197,7 +205,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit, with all their columns."""
-    hit = materialize(benchmark_hits(docs, benchmark).select("doc_id", "text_hash"), "contaminated").select(
+    hit = benchmark_hits(docs, benchmark).select(
         F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")
     )
     text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))

@@ -289,5 +289,8 @@ def pseudonymized(docs: DataFrame, key: str) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: ``doc_id, text`` without personal data,
     and per kind how many values were replaced."""
     out = pseudonymize(docs.select("doc_id", "text"), key)
-    counts = [F.size(F.filter("pii", lambda p, k=k: p == k)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return out.select("doc_id", "text", *counts)
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("pii", lambda p: p == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", "text", *map(number, KINDS))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stepwise.llm.decontam import contamination
 from stepwise.llm.language import fit, identify, page_columns
+from stepwise.llm.lines import dedup_lines
 from stepwise.llm.mixing import mix
 from stepwise.llm.pii import pseudonymized
 from stepwise.llm.repeats import remove_repeats
@@ -68,6 +69,11 @@ def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` with one line of each group of similar lines."""
+    return dedup_lines(read_table(spark, sf_dir, "documents"))
+
+
 def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 rows of ``embeddings`` of the highest inner product with each row
     whose id is divisible by 50."""
@@ -97,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_source_mixing": op4_source_mixing,
         "op5_language_id": op5_language_id,
         "op6_simhash_groups": op6_simhash_groups,
+        "op7_line_dedup": op7_line_dedup,
         "op8_topk_search": op8_topk_search,
         "op9_pii_pseudonyms": op9_pii_pseudonyms,
         "op10_decontamination": op10_decontamination,

@@ -23,7 +23,7 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once and return it as read back."""
     path = scratch_dir(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -122,3 +122,36 @@ def targets(sizes, weights=(5, 2, 1), share=1.5, most=2):
         target |= {s: most * sizes[s] for s in full}
         free -= set(full)
     return target
+
+
+def dedup_lines(docs, size=8, similarity=0.8):
+    first, sets = {}, {}
+    for doc_id, text in sorted(docs):
+        for i, line in enumerate(text.split("\n")):
+            if line.strip():
+                first.setdefault(line, (doc_id, i))
+                sets[line] = {line[j : j + size] for j in range(max(1, len(line) - size + 1))}
+    order = sorted(first, key=first.get)
+    root = {x: x for x in order}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, a in enumerate(order):
+        for b in order[:n]:
+            s, t = sets[a], sets[b]
+            if min(len(s), len(t)) < similarity * max(len(s), len(t)):
+                continue
+            shared = len(s & t)
+            if shared >= similarity * (len(s) + len(t) - shared):
+                x, y = sorted((find(a), find(b)), key=first.get)
+                root[y] = x
+    keep = {first[x] for x in order if find(x) == x}
+    out = []
+    for doc_id, text in sorted(docs):
+        lines = text.split("\n")
+        stay = [x for i, x in enumerate(lines) if not x.strip() or (doc_id, i) in keep]
+        out.append((doc_id, len(lines), len(lines) - len(stay), "\n".join(stay)))
+    return out

@@ -109,3 +109,10 @@ def test_op9_pii(spark, docs):
         if not re.search(r"[0-9@]", text):
             assert got[doc_id].text == text
         assert len(got[doc_id].text) == len(text) or got[doc_id].n_ip
+
+
+def test_op7_lines(spark, docs):
+    got = brute.rows_of(Q.op7_line_dedup(spark, SF), "doc_id")
+    want = brute.dedup_lines(docs)
+    assert sum(r[2] for r in want) > 0
+    assert got == want
