@@ -8,7 +8,7 @@ Catalyst sees one plan per mart):
 * ``functions``  column expressions (param lookup, channel and category rules,
                  safe division, tiers, friction texts)
 * ``operators``  staging (flatten events and items), the ordered funnel,
-                 skew-aware salted joins
+                 joins that adaptive execution can split
 * ``plans``      marts: funnel summary, revenue leakage, friction score,
                  category and channel x device performance, profiling, quality
                  checks, and the query catalog

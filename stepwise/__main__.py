@@ -15,10 +15,9 @@ import argparse
 import json
 import sys
 
-from stepwise.operators.skew import skew_config_from_session
 from stepwise.plans.pipeline import run_pipeline
 from stepwise.session import build_session
-from stepwise.sources.fixture import FIXTURE_WINDOW, load_raw
+from stepwise.sources.fixture import load_raw
 from stepwise.sources.ga4 import DEFAULT_WINDOW, read_raw_events
 
 
@@ -38,11 +37,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(args.master)
     if args.events:
         window = tuple(args.window) if args.window else DEFAULT_WINDOW
-        raw = read_raw_events(spark, args.events, None)
+        raw = read_raw_events(spark, args.events, window)
     else:
-        window = tuple(args.window) if args.window else FIXTURE_WINDOW
+        window = tuple(args.window) if args.window else None
         raw = load_raw(spark, args.fixture)
-    paths = run_pipeline(raw, window, args.export, args.stage, skew_config_from_session(spark))
+    paths = run_pipeline(raw, window, args.export, args.stage)
     print(json.dumps(paths))
     return 0
 

@@ -147,9 +147,9 @@ def traffic_channel(source: str | Column, medium: str | Column) -> Column:
 
 
 def is_blank(text: str | Column) -> Column:
-    """``TRIM(x) = ''`` with whitespace-trimming semantics (Spark's ``trim``
-    strips only spaces, so a regex is used)."""
-    return _col(text).rlike(r"^\s*$")
+    """``TRIM(x) = ''`` where trimming strips all Unicode white space (Spark's
+    ``trim`` strips only spaces, and a plain ``\\s`` knows only ASCII)."""
+    return _col(text).rlike(r"(?U)^\s*$")
 
 
 def clean_category(raw: str | Column) -> Column:

@@ -8,21 +8,20 @@ steps.
 
 Physical shape, chosen for skewed keys at scale:
 
-1. one aggregate over the step-1 events gives ``t1`` (and the carried
-   columns). It is partially aggregated map side, so the bulk step-1 rows
-   (product views) never cross the network one by one and a hot key costs
-   one row per map task. A second map-side-combined count of later-step
-   rows per key picks the hot keys to split (a bounded top-n, evaluated
-   once; with no hot key the joins are plain shuffle joins);
-2. for each later step, its events are joined to the previous step's
-   one-row-per-key time with ``salted_inner_join`` (hot keys split across
-   buckets), filtered by ``time >= previous`` and reduced with ``min``
-   (again partial aggregation);
+1. one aggregate over the step-1 events gives ``t1``. It is partially
+   aggregated map side, so the bulk step-1 rows (product views) never cross
+   the network one by one and a hot key costs one row per map task;
+2. each later step's events are joined to the previous step's
+   one-row-per-key time with ``split_join`` (adaptive execution splits hot
+   keys), filtered by ``time >= previous`` and reduced with ``min`` (again
+   with partial aggregation). The reduced step has an exchange of its own, so
+   the next step and the result share one computation of it: a funnel of n
+   steps runs n - 1 joins;
 3. the per-step results (at most one row per key each) are stacked and
    pivoted back to one row per entry key with one union + aggregate.
 
-Every event row is shuffled at most once (later steps) or pre-aggregated
-(first step); no window buffers a whole key in one task.
+Building a funnel starts no job. Keys and times are the only columns that
+travel, all aggregates are hash aggregates, and no window buffers a whole key.
 """
 
 from __future__ import annotations
@@ -32,9 +31,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepwise.operators.skew import AUTO, DEFAULT_SKEW, SkewConfig, resolve_hot_keys, salted_inner_join
+from stepwise.operators.skew import split_join
 
-LOAD = "_load"
 PREV = "_prev"
 T = "_t"
 STEP = "_step"
@@ -55,73 +53,35 @@ def ordered_funnel(
     *,
     time_col: str = "event_time",
     event_col: str = "event_name",
-    carry: list[str] | None = None,
-    skew: SkewConfig = DEFAULT_SKEW,
-    hot: DataFrame | None | str = AUTO,
 ) -> DataFrame:
-    """One row per key that reached ``steps[0]``.
-
-    ``hot``: ``AUTO`` resolves the hot keys from this funnel's later-step
-    rows; a table from ``hot_keys_by_key_load`` (or ``None`` for no
-    salting) lets several funnels on the same key share one resolution.
-
-    Columns: ``keys``, ``carry`` (minimum over the key's step-1 rows, i.e. a
-    deterministic any-value), then ``<step>_time`` for every step.
-    """
-    keys, carry = list(keys), list(carry or [])
+    """One row per key that reached ``steps[0]``: ``keys``, then
+    ``<step>_time`` for every step. Columns that a key determines (a session's
+    user) belong in ``keys``; rows with a null in any of them are left out."""
+    keys = list(keys)
     if len(steps) < 1:
         raise ValueError("a funnel needs at least one step")
     if len(set(steps)) != len(steps):
         # Each step is an event name and names its output column.
         raise ValueError(f"funnel steps must be distinct event names: {steps}")
     names = [step_time_column(s) for s in steps]
-    ev_name, ev_time = F.col(event_col), F.col(time_col)
-    first = ev_name == F.lit(steps[0])
 
-    ev = events.where(ev_name.isin(steps) & _not_null(keys)).select(*keys, *carry, event_col, time_col)
+    def at_step(step: str) -> DataFrame:
+        # The step's filter stands at the source, so it reaches the scan.
+        rows = events.where((F.col(event_col) == F.lit(step)) & _not_null(keys))
+        return rows.select(*keys, F.col(time_col).alias(T))
 
-    # Entry rows: the filter on the first step reaches the scan, and the
-    # partial aggregate collapses a key's views to one row per map task.
-    entry = (
-        ev.where(first)
-        .groupBy(*keys)
-        .agg(F.min(ev_time).alias(names[0]), *[F.min(c).alias(c) for c in carry])
-    )
-    if isinstance(hot, str):  # AUTO
-        hot = None
-        if skew.enabled and len(steps) > 1:
-            # Later-step load per key (map-side combined), only to pick the
-            # keys to split; resolved to a bounded local table before
-            # planning the joins.
-            load = ev.where(~first).groupBy(*keys).agg(F.count(F.lit(1)).alias(LOAD))
-            hot = resolve_hot_keys(load, keys, LOAD, skew)
-
-    # Per-step rows (keys, step index, time); the entry rows also hold the
-    # carried columns.
-    carry_types = {f.name: f.dataType for f in entry.schema.fields if f.name in carry}
-    parts = [entry.select(*keys, F.lit(0).alias(STEP), F.col(names[0]).alias(T), *carry)]
-    prev = entry.select(*keys, F.col(names[0]).alias(PREV))
+    reached = at_step(steps[0]).groupBy(*keys).agg(F.min(T).alias(T))
+    if len(steps) == 1:
+        return reached.withColumnRenamed(T, names[0])
+    stacked = reached.withColumn(STEP, F.lit(0))
     for i, step in enumerate(steps[1:], start=1):
-        cur = ev.where(ev_name == F.lit(step)).select(*keys, ev_time.alias(T))
         reached = (
-            salted_inner_join(cur, prev, keys, hot)
+            split_join(at_step(step), reached.withColumnRenamed(T, PREV), keys)
             .where(F.col(T) >= F.col(PREV))
             .groupBy(*keys)
             .agg(F.min(T).alias(T))
         )
-        parts.append(
-            reached.select(*keys, F.lit(i).alias(STEP), T, *[F.lit(None).cast(carry_types[c]).alias(c) for c in carry])
-        )
-        prev = reached.select(*keys, F.col(T).alias(PREV))
-    if len(parts) == 1:
-        return entry.select(*keys, *carry, names[0])
-    # Assemble one row per entry key: a single union + aggregate (every
-    # part has at most one row per key) instead of a chain of left joins.
-    # Positional union: every part is built with the same column order.
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.union(p)
+        stacked = stacked.unionByName(reached.withColumn(STEP, F.lit(i)))
     return stacked.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in carry],
-        *[F.max(F.when(F.col(STEP) == i, F.col(T))).alias(n) for i, n in enumerate(names)],
-    ).select(*keys, *carry, *names)
+        *[F.max(F.when(F.col(STEP) == i, F.col(T))).alias(n) for i, n in enumerate(names)]
+    )

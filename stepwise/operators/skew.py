@@ -1,155 +1,33 @@
-"""Skew handling for joins of a large event side with a one-row-per-key side.
-
-A single key (a bot user, a runaway session) may hold a third of all rows.
-A plain shuffle join on that key sends all of them to one task. Here the
-hot keys are found from a per-key load (a count with map-side partial
-aggregation, one pass over the narrow step columns); the heaviest
-``max_hot_keys`` of them get a bucket count proportional to their load and
-come back as a bounded top-n, and then
-
-* each large-side row of a hot key gets a deterministic salt
-  ``pmod(xxhash64(row, input partition id), buckets)`` (stable under task
-  retries),
-* the small side's row of a hot key is replicated once per bucket,
-
-and the join runs on ``keys + salt``. Keys outside the hot table keep salt 0
-and a single copy, via two map-side broadcast lookups against a table of at
-most ``max_hot_keys`` rows. When no key is hot, the common case, the join is
-a plain one with no lookups at all.
-Choosing which keys to salt never drops or caps rows: an unsalted key is
-still joined exactly.
+"""Joins whose hot keys adaptive execution can split.
+
+A single key (a bot user, a runaway session) may hold a third of all rows of
+the large side. Adaptive skew-join splitting handles that, but only where an
+exchange stands directly under the join: a side that was just aggregated by
+the join keys is already partitioned by them, so Spark joins it in place and
+has nothing to split. ``split_join`` adds a join key that is 0 for every row
+but that the optimizer cannot fold. Neither side is partitioned by it, so both
+get an exchange of their own, and Spark splits the large partitions of the
+left side at run time by their measured size: no thresholds of our own, no
+statistics pass, no salt.
+
+It relies on two settings at their defaults:
+``spark.sql.adaptive.skewJoin.enabled`` and
+``spark.sql.requireAllClusterKeysForCoPartition`` (both true).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALT = "_salt"
-BUCKETS = "_buckets"
-LOAD = "_load"
-# Sentinel: let the funnel resolve its own hot keys.
-AUTO = "auto"
-
-
-@dataclass(frozen=True)
-class SkewConfig:
-    # A key with more large-side rows than this is split.
-    rows_per_bucket: int = 2_000_000
-    # Upper bound of buckets for one key (its small-side row is copied this often).
-    max_buckets: int = 4096
-    # Upper bound of salted keys: the broadcast hot-key table has at most this many rows.
-    max_hot_keys: int = 10_000
-    enabled: bool = True
-
-
-DEFAULT_SKEW = SkewConfig()
-
-# Session settings that override the defaults (e.g. via spark-submit --conf).
-CONF_PREFIX = "spark.stepwise.skew."
-
-
-def skew_config_from_session(spark, base: SkewConfig = DEFAULT_SKEW) -> SkewConfig:
-    """``SkewConfig`` with any ``spark.stepwise.skew.{rowsPerBucket,
-    maxBuckets, maxHotKeys, enabled}`` settings of the session applied."""
-
-    def get(name: str, default):
-        v = spark.conf.get(CONF_PREFIX + name, None)
-        if v is None:
-            return default
-        return v.strip().lower() == "true" if isinstance(default, bool) else int(v)
-
-    return SkewConfig(
-        rows_per_bucket=get("rowsPerBucket", base.rows_per_bucket),
-        max_buckets=get("maxBuckets", base.max_buckets),
-        max_hot_keys=get("maxHotKeys", base.max_hot_keys),
-        enabled=get("enabled", base.enabled),
-    )
-
-
-def hot_key_buckets(per_key: DataFrame, keys: list[str], load_col: str, cfg: SkewConfig) -> DataFrame:
-    """Bounded table ``keys + _buckets`` of the heaviest keys.
-
-    ``orderBy(..).limit(n)`` plans as a per-partition top-n followed by one
-    merge of at most ``n x partitions`` rows: the result size is proven by
-    construction, so broadcasting it is safe at any input size.
-    """
-    buckets = F.least(
-        F.lit(cfg.max_buckets), F.ceil(F.col(load_col) / F.lit(cfg.rows_per_bucket))
-    ).cast("int")
-    hot = per_key.where(F.col(load_col) > F.lit(cfg.rows_per_bucket))
-    # Heaviest first (by the uncapped load), key order breaks ties.
-    top = hot.orderBy(F.desc(load_col), *keys).limit(cfg.max_hot_keys)
-    return top.select(*keys, buckets.alias(BUCKETS))
-
-
-def resolve_hot_keys(per_key: DataFrame, keys: list[str], load_col: str, cfg: SkewConfig) -> DataFrame | None:
-    """Evaluate the bounded hot-key table once, as a planning statistic.
-
-    At most ``max_hot_keys`` small rows come back (a top-n, never the data
-    itself). ``None`` when no key is hot, so the common case plans plain
-    shuffle joins (AQE skew-join splitting stays on as a backstop);
-    otherwise the rows become a local relation that is broadcast to both
-    join sides. Using a local relation instead of a sub-plan of the same
-    events also keeps the logical plan small (no self-join re-analysis).
-    """
-    if not cfg.enabled:
-        return None
-    top = hot_key_buckets(per_key, keys, load_col, cfg)
-    rows = top.collect()
-    if not rows:
-        return None
-    return per_key.sparkSession.createDataFrame(rows, top.schema)
-
+AGAIN = "_again"
 
-def salted_inner_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: list[str],
-    hot: DataFrame | None,
-) -> DataFrame:
-    """``big INNER JOIN small USING (keys)`` where ``small`` has at most one
-    row per key and ``big`` may be skewed. ``hot`` comes from
-    ``hot_key_buckets``; ``None`` disables salting."""
-    if hot is None:
-        return big.join(small, keys, "inner")
-    hot_b = F.broadcast(hot)
-    big_cols = big.columns
-    big_s = big.join(hot_b, keys, "left").select(
-        *big_cols,
-        F.when(F.col(BUCKETS).isNull(), F.lit(0))
-        # The input partition id joins the row in the hash, so even rows
-        # identical in (keys, time), such as a bot burst, spread over the
-        # buckets; a retried task keeps its partition id, so the salt is stable.
-        .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in big_cols], F.spark_partition_id()), F.col(BUCKETS)))
-        .cast("int")
-        .alias(SALT),
-    )
-    small_cols = small.columns
-    small_s = small.join(hot_b, keys, "left").select(
-        *small_cols,
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col(BUCKETS), F.lit(1)) - 1)).alias(SALT),
-    )
-    return big_s.join(small_s, keys + [SALT], "inner").drop(SALT)
 
+def split_join(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """``big INNER JOIN small USING (keys)``, ``small`` with one row per key.
 
-def hot_keys_by_key_load(
-    events: DataFrame,
-    keys: list[str],
-    event_names: list[str],
-    cfg: SkewConfig = DEFAULT_SKEW,
-    event_col: str = "event_name",
-) -> DataFrame | None:
-    """Hot keys by their row count over ``event_names`` (the union of the
-    steps of several funnels on the same key), for sharing one resolution
-    between those funnels: every step's join side is a subset of these
-    rows, so the load is an upper bound. The name filter reaches the scan."""
-    if not cfg.enabled:
-        return None
-    cond = F.col(event_col).isin(event_names)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    load = events.where(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias(LOAD))
-    return resolve_hot_keys(load, keys, LOAD, cfg)
+    The join stays an inner one: of a left join only the left side could be
+    split. Whatever groups the result by the keys gets an exchange, too, so a
+    result that is used twice is computed once (Spark reuses exchanges)."""
+    again = F.pmod(F.xxhash64(*keys), F.lit(1))
+    return big.withColumn(AGAIN, again).join(small.withColumn(AGAIN, again), [*keys, AGAIN]).drop(AGAIN)

@@ -3,9 +3,9 @@
 ``Marts`` wraps one raw-events DataFrame and exposes each layer as a
 property; properties are memoised DataFrame objects (plans, not data), so a
 mart that needs several layers shares the same logical sub-plans and Spark
-can reuse their exchanges. The only thing a build brings to the driver is
-the bounded hot-key top-n of each funnel (``operators.skew``); all data
-stays in Spark.
+can reuse their exchanges. Building a layer starts no job. Marts that need
+several funnels call ``shared()`` first, which writes the few columns they
+need once, in one pass over the raw events per source.
 """
 
 from __future__ import annotations
@@ -15,11 +15,13 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig, hot_keys_by_key_load, skew_config_from_session
 from stepwise.operators.staging import stg_events, stg_items
 from stepwise.plans import funnels, performance, profile, quality, revenue, summary
-from stepwise.sources.fixture import FIXTURE_WINDOW, load_raw
-from stepwise.sources.ga4 import apply_window
+from stepwise.plans.narrow import ITEM_COLUMNS, STEP_COLUMNS, write_once
+from stepwise.session import shared_dir
+from stepwise.sources.export import MART_NAMES, read_csv, write_csv
+from stepwise.sources.fixture import load_raw
+from stepwise.sources.ga4 import apply_window, read_raw_events, write_raw_events
 
 
 class Marts:
@@ -27,7 +29,6 @@ class Marts:
         self,
         raw: DataFrame,
         window: tuple[str, str] | None = None,
-        skew: SkewConfig = DEFAULT_SKEW,
         staged: tuple[DataFrame, DataFrame] | None = None,
     ):
         """``raw``: events in the raw nested schema. ``staged``: optional
@@ -35,16 +36,34 @@ class Marts:
         re-deriving them from ``raw``."""
         self.raw_all = raw
         self.window = window
-        self.skew = skew
         self._staged = staged
 
     def with_tables(self, **tables: DataFrame) -> "Marts":
         """A copy whose named layers are the given (e.g. materialised)
         DataFrames; everything downstream of them builds on those."""
-        m = Marts(self.raw_all, self.window, self.skew, self._staged)
+        m = Marts(self.raw_all, self.window, self._staged)
         m.__dict__.update(tables)  # pre-fills the cached properties
         return m
 
+    def shared(self, *, events: bool = True, items: bool = False) -> "Marts":
+        """A copy whose event (and item) layer is a written table of the
+        columns that funnels, segments, revenue and checks read: one raw pass
+        per source, however many funnels are built on it. The tables lie in
+        the shared checkpoint folder, which also cuts the lineage."""
+        tables = {}
+        if events:
+            tables["stg_events"] = write_once(self.stg_events.select(*STEP_COLUMNS), "events")
+        if items:
+            tables["stg_items"] = write_once(
+                performance.category_events(self.stg_items).select(*ITEM_COLUMNS), "items"
+            )
+        return self.with_tables(**tables)
+
+    def counted(self) -> "Marts":
+        """A copy whose funnel step counts (one row per step) are written, for
+        marts that start from them several times."""
+        return self.with_tables(funnel_counts=write_once(self.funnel_counts, "counts"))
+
     # ---------------------------------------------------------- staging --
     @cached_property
     def raw(self) -> DataFrame:
@@ -59,27 +78,21 @@ class Marts:
         return self._staged[1] if self._staged else stg_items(self.raw_all, self.window)
 
     # ---------------------------------------------------------- funnels --
-    @cached_property
-    def session_hot_keys(self) -> DataFrame | None:
-        """One bounded hot-key resolution shared by the three session funnels."""
-        names = list(dict.fromkeys(funnels.MAIN_STEPS + funnels.CHECKOUT_STEPS))
-        return hot_keys_by_key_load(self.stg_events, ["session_key"], names, self.skew)
-
     @cached_property
     def user_funnel_steps(self) -> DataFrame:
-        return funnels.user_funnel_steps(self.stg_events, self.skew)
+        return funnels.user_funnel_steps(self.stg_events)
 
     @cached_property
     def session_funnel_steps(self) -> DataFrame:
-        return funnels.session_funnel_steps(self.stg_events, self.skew, self.session_hot_keys)
+        return funnels.session_funnel_steps(self.stg_events)
 
     @cached_property
     def checkout_funnel_steps(self) -> DataFrame:
-        return funnels.checkout_funnel_steps(self.stg_events, self.skew, self.session_hot_keys)
+        return funnels.checkout_funnel_steps(self.stg_events)
 
     @cached_property
     def category_session_funnel(self) -> DataFrame:
-        return funnels.category_session_funnel(performance.category_events(self.stg_items), self.skew)
+        return funnels.category_session_funnel(performance.category_events(self.stg_items))
 
     @cached_property
     def user_funnel_status(self) -> DataFrame:
@@ -135,7 +148,7 @@ class Marts:
     @cached_property
     def session_funnel_segmented(self) -> DataFrame:
         """Session funnel carrying each session's (channel, device)."""
-        return performance.session_funnel_segmented(self.stg_events, self.skew, self.session_hot_keys)
+        return performance.session_funnel_segmented(self.session_funnel_steps, self.session_segments)
 
     @cached_property
     def channel_device_performance(self) -> DataFrame:
@@ -153,6 +166,10 @@ class Marts:
         )
 
     # ---------------------------------------------------------- profile --
+    @cached_property
+    def windowed_events(self) -> DataFrame:
+        return profile.windowed_events(self.stg_events)
+
     @cached_property
     def event_name_counts(self) -> DataFrame:
         return profile.event_name_counts(self.raw)
@@ -255,22 +272,88 @@ QUERY_NAMES = [
     "revenue_leakage",
     "friction_score",
     "data_quality_checks",
+    "windowed_events",
 ]
 
 
-def fixture_marts(spark: SparkSession, sf_dir: str, skew: SkewConfig | None = None) -> Marts:
-    """Marts over the driver's ``events`` table, window covering all of it.
-    Skew settings default to the session's ``spark.stepwise.skew.*``."""
-    return Marts(load_raw(spark, sf_dir), FIXTURE_WINDOW, skew or skew_config_from_session(spark))
+#: Analysis window of the two windowed queries (the others read every row).
+WINDOW = ("20240108", "20240114")
+#: Bounds of the two ``scaled_*`` queries, such that every label occurs in
+#: small data, too.
+SCALED_TIERS = [(5_000, "Very High"), (2_000, "High"), (500, "Medium")]
+SCALED_VOLUME = 100
+
+
+def fixture_marts(spark: SparkSession, sf_dir: str, window: tuple[str, str] | None = None) -> Marts:
+    """Marts over the driver's ``events`` table: every row, or a window."""
+    return Marts(load_raw(spark, sf_dir), window)
+
+
+def _sharded_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windowed report through the sharded source: the raw records
+    written by date in the shared folder, read back by window."""
+    path = shared_dir(spark, "sharded")
+    write_raw_events(load_raw(spark, sf_dir), path)
+    return Marts(read_raw_events(spark, path, WINDOW)).windowed_events
+
+
+def _export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All marts written as CSV; the category mart as read back."""
+    marts = fixture_marts(spark, sf_dir).shared(events=True, items=True).counted()
+    out = shared_dir(spark, "exports")
+    for name in MART_NAMES:
+        write_csv(name, getattr(marts, name), out)
+    return read_csv("category_performance", marts.category_performance.schema, out, spark)
+
+
+def _scaled_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = fixture_marts(spark, sf_dir).shared()
+    return revenue.revenue_leakage(m.funnel_transitions, m.revenue_baseline, SCALED_TIERS)
+
+
+def _scaled_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = fixture_marts(spark, sf_dir).shared(events=False, items=True)
+    return performance.category_performance(
+        performance.category_summary(m.category_session_funnel), m.category_revenue, SCALED_VOLUME
+    )
+
+
+#: Queries that build several funnels, or read a source several times: which
+#: sources they write narrow first, and whether they start from the step
+#: counts more than once.
+SHARED: dict[str, dict] = {
+    "funnel_summary": {"events": True},
+    "funnel_transitions": {"events": True},
+    "channel_device_performance": {"events": True},
+    "revenue_leakage": {"events": True},
+    "friction_score": {"events": True},
+    "category_session_funnel": {"events": False, "items": True},
+    "category_performance": {"events": False, "items": True},
+    "data_quality_checks": {"events": True, "items": True},
+}
+COUNTED = {"data_quality_checks"}
 
 
 def query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(fixture_marts(spark, sf_dir), name)
+        marts = fixture_marts(spark, sf_dir, WINDOW if name == "windowed_events" else None)
+        if name in SHARED:
+            marts = marts.shared(**SHARED[name])
+        if name in COUNTED:
+            marts = marts.counted()
+        return getattr(marts, name)
 
     run.__name__ = name
     return run
 
 
+OTHER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "sharded_window": _sharded_window,
+    "export_marts": _export_marts,
+    "scaled_revenue_leakage": _scaled_leakage,
+    "scaled_category_performance": _scaled_categories,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {n: query(n) for n in QUERY_NAMES}
+    return {n: query(n) for n in QUERY_NAMES} | OTHER_QUERIES

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from stepwise.functions.columns import flag, funnel_status
 from stepwise.operators.funnel import ordered_funnel, step_time_column
-from stepwise.operators.skew import AUTO, DEFAULT_SKEW, SkewConfig
 
 # Event names of the two funnels, in step order.
 MAIN_STEPS = ["view_item", "add_to_cart", "begin_checkout", "purchase"]
@@ -39,25 +38,27 @@ def _main_outputs(df: DataFrame, id_cols: list[str]) -> DataFrame:
     )
 
 
-def user_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW, hot=AUTO) -> DataFrame:
+def user_funnel_steps(stg_events: DataFrame) -> DataFrame:
     """One row per user with at least one product view."""
-    f = ordered_funnel(stg_events, ["user_pseudo_id"], MAIN_STEPS, skew=skew, hot=hot)
+    f = ordered_funnel(stg_events, ["user_pseudo_id"], MAIN_STEPS)
     return _main_outputs(f, ["user_pseudo_id"])
 
 
-def session_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW, hot=AUTO) -> DataFrame:
+# A session belongs to one user (its key is made of the user's id), so the
+# user is part of the grouping, not an aggregate.
+SESSION = ["session_key", "user_pseudo_id"]
+
+
+def session_funnel_steps(stg_events: DataFrame) -> DataFrame:
     """One row per session with at least one product view; every step must
     happen inside the same session."""
-    f = ordered_funnel(stg_events, ["session_key"], MAIN_STEPS, carry=["user_pseudo_id"], skew=skew, hot=hot)
-    return _main_outputs(f, ["session_key", "user_pseudo_id"])
+    return _main_outputs(ordered_funnel(stg_events, SESSION, MAIN_STEPS), SESSION)
 
 
-def checkout_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW, hot=AUTO) -> DataFrame:
+def checkout_funnel_steps(stg_events: DataFrame) -> DataFrame:
     """One row per session that began checkout (any such session, not only
     those that viewed an item first)."""
-    f = ordered_funnel(
-        stg_events, ["session_key"], CHECKOUT_STEPS, carry=["user_pseudo_id"], skew=skew, hot=hot
-    )
+    f = ordered_funnel(stg_events, SESSION, CHECKOUT_STEPS)
     times = [F.col(step_time_column(s)) for s in CHECKOUT_STEPS]
     return f.select(
         "session_key",
@@ -68,16 +69,10 @@ def checkout_funnel_steps(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW
     )
 
 
-def category_session_funnel(stg_items: DataFrame, skew: SkewConfig = DEFAULT_SKEW) -> DataFrame:
+def category_session_funnel(stg_items: DataFrame) -> DataFrame:
     """One row per (session, cleaned category) with a product view of that
     category; later steps must involve an item of the same category."""
-    f = ordered_funnel(
-        stg_items,
-        ["session_key", "cleaned_item_category"],
-        MAIN_STEPS,
-        carry=["user_pseudo_id"],
-        skew=skew,
-    )
+    f = ordered_funnel(stg_items, [*SESSION, "cleaned_item_category"], MAIN_STEPS)
     t = [F.col(step_time_column(s)) for s in MAIN_STEPS]
     return f.select(
         "session_key",

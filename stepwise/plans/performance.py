@@ -19,9 +19,7 @@ from stepwise.functions.columns import (
     exact_sum,
     safe_divide,
 )
-from stepwise.operators.funnel import ordered_funnel
-from stepwise.operators.skew import AUTO, DEFAULT_SKEW, SkewConfig
-from stepwise.plans.funnels import MAIN_STEPS, _main_outputs
+from stepwise.plans.funnels import MAIN_STEPS, SESSION
 
 STEP_SUMS = [
     "viewed_item_sessions",
@@ -83,8 +81,11 @@ def category_summary(category_funnel: DataFrame) -> DataFrame:
     )
 
 
-def category_performance(summary: DataFrame, revenue: DataFrame) -> DataFrame:
-    """22-column category mart. ``revenue`` has one row per cleaned category
+def category_performance(
+    summary: DataFrame, revenue: DataFrame, high_volume: int = HIGH_VOLUME_SESSIONS
+) -> DataFrame:
+    """22-column category mart; ``high_volume``: sessions from which a category
+    counts as a large one. ``revenue`` has one row per cleaned category
     (at most the seven labels of the category rules), so it is broadcast."""
     df = summary.join(F.broadcast(revenue), "cleaned_item_category", "left")
     total = F.coalesce(F.col("total_item_revenue"), F.lit(0.0))
@@ -97,58 +98,34 @@ def category_performance(summary: DataFrame, revenue: DataFrame) -> DataFrame:
         total.alias("total_item_revenue"),
         F.coalesce(F.col("purchased_item_rows"), F.lit(0).cast("long")).alias("purchased_item_rows"),
         safe_divide(total, "purchased_sessions").alias("revenue_per_purchasing_session"),
-        (F.col("viewed_item_sessions") >= HIGH_VOLUME_SESSIONS).alias("is_high_volume_category"),
+        (F.col("viewed_item_sessions") >= high_volume).alias("is_high_volume_category"),
         F.col("cleaned_item_category").isin(LOW_CONFIDENCE_CATEGORIES).alias("is_low_confidence_category"),
     )
 
 
 # ---------------------------------------------------------------- segments --
-SEGMENT = "_segment"
-
-
-def _with_segment(stg_events: DataFrame) -> DataFrame:
-    # Ordered struct: the minimum is the earliest event, ties broken by
-    # channel then device ascending.
-    return stg_events.withColumn(
-        SEGMENT, F.struct("event_time", "traffic_channel", "device_category")
-    )
-
-
 def session_segments(stg_events: DataFrame) -> DataFrame:
     """One (traffic_channel, device_category) per session with a product
     view: the attributes of its earliest view_item event (ties: channel,
-    then device, ascending). A partial aggregate: skew safe."""
-    seg = (
-        _with_segment(stg_events)
-        .where((F.col("event_name") == "view_item") & F.col("session_key").isNotNull())
-        .groupBy("session_key")
-        .agg(F.min(SEGMENT).alias(SEGMENT))
-    )
-    return seg.select(
-        "session_key",
-        F.col(f"{SEGMENT}.traffic_channel").alias("traffic_channel"),
-        F.col(f"{SEGMENT}.device_category").alias("device_category"),
+    then device, ascending).
+
+    The views are first reduced to the earliest time of each combination that
+    a session has (a hash aggregate with partial aggregation); the minimum of
+    the ordered struct then sees those few rows only."""
+    segment = ["traffic_channel", "device_category"]
+    earliest = (
+        stg_events.where((F.col("event_name") == "view_item") & F.col("session_key").isNotNull())
+        .groupBy(*SESSION, *segment)
+        .agg(F.min("event_time").alias("_time"))
     )
+    first = earliest.groupBy(*SESSION).agg(F.min(F.struct("_time", *segment)).alias("_first"))
+    return first.select("session_key", *[F.col(f"_first.{c}").alias(c) for c in segment])
 
 
-def session_funnel_segmented(stg_events: DataFrame, skew: SkewConfig = DEFAULT_SKEW, hot=AUTO) -> DataFrame:
-    """Session funnel whose entry aggregate also carries the session's
-    segment: the attribution rides on the funnel's first aggregate, so no
-    extra shuffle or join is needed."""
-    f = ordered_funnel(
-        _with_segment(stg_events),
-        ["session_key"],
-        MAIN_STEPS,
-        carry=["user_pseudo_id", SEGMENT],
-        skew=skew,
-        hot=hot,
-    )
-    out = _main_outputs(f, ["session_key", "user_pseudo_id", SEGMENT])
-    return out.select(
-        "*",
-        F.col(f"{SEGMENT}.traffic_channel").alias("traffic_channel"),
-        F.col(f"{SEGMENT}.device_category").alias("device_category"),
-    ).drop(SEGMENT)
+def session_funnel_segmented(session_steps: DataFrame, segments: DataFrame) -> DataFrame:
+    """The session funnel with each session's segment. Both sides have one row
+    per session, and every session of the funnel has a segment."""
+    return session_steps.join(segments, "session_key")
 
 
 def segment_summary(segmented_sessions: DataFrame) -> DataFrame:

@@ -15,18 +15,13 @@ of the six marts share the same three funnels.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stepwise.operators.skew import DEFAULT_SKEW, SkewConfig
 from stepwise.operators.staging import STG_EVENTS_COLUMNS, STG_ITEMS_COLUMNS
 from stepwise.plans.catalog import VIEW_NAMES, Marts
-from stepwise.session import checkpoint_dir
-from stepwise.sources.export import EXPORT_ORDER, write_csv
-
-MART_NAMES = list(EXPORT_ORDER)
+from stepwise.session import shared_dir
+from stepwise.sources.export import MART_NAMES, write_csv
 
 
 def _write_staged(df: DataFrame, path: str) -> None:
@@ -49,7 +44,7 @@ def stage(marts: Marts, out_dir: str | None = None) -> Marts:
     fresh folder under the session's checkpoint dir) and return a ``Marts``
     that builds on them."""
     spark = marts.stg_events.sparkSession
-    base = (out_dir or f"{checkpoint_dir(spark).rstrip('/')}/stepwise-{uuid.uuid4().hex[:12]}").rstrip("/")
+    base = (out_dir or shared_dir(spark, "layers")).rstrip("/")
     ev, it = marts.stg_events, marts.stg_items
     _write_staged(ev, f"{base}/stg_events")
     _write_staged(it, f"{base}/stg_items")
@@ -57,16 +52,15 @@ def stage(marts: Marts, out_dir: str | None = None) -> Marts:
         _read_staged(spark, f"{base}/stg_events", ev.schema, STG_EVENTS_COLUMNS),
         _read_staged(spark, f"{base}/stg_items", it.schema, STG_ITEMS_COLUMNS),
     )
-    return Marts(marts.raw_all, marts.window, marts.skew, staged=staged)
+    return Marts(marts.raw_all, marts.window, staged=staged)
 
 
 # Intermediate (per-key) layers written by ``stage_intermediate``.
 INTERMEDIATE = [
     "user_funnel_steps",
-    "session_funnel_steps",
+    "session_funnel_segmented",
     "checkout_funnel_steps",
     "category_session_funnel",
-    "session_funnel_segmented",
 ]
 
 
@@ -75,13 +69,16 @@ def stage_intermediate(marts: Marts, out_dir: str | None = None) -> Marts:
     them (summary, leakage, friction, quality each need three funnels)
     read them instead of recomputing the funnel shuffles per mart."""
     spark = marts.stg_events.sparkSession
-    base = (out_dir or f"{checkpoint_dir(spark).rstrip('/')}/stepwise-{uuid.uuid4().hex[:12]}").rstrip("/")
+    base = (out_dir or shared_dir(spark, "layers")).rstrip("/")
     tables = {}
     for name in INTERMEDIATE:
         df = getattr(marts, name)
         path = f"{base}/{name}"
         df.write.mode("overwrite").parquet(path)
         tables[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    # The session funnel is the segmented one without its two labels.
+    segmented = tables["session_funnel_segmented"]
+    tables["session_funnel_steps"] = segmented.drop("traffic_channel", "device_category")
     return marts.with_tables(**tables)
 
 
@@ -90,15 +87,18 @@ def run_pipeline(
     window: tuple[str, str] | None,
     export_dir: str,
     stage_dir: str | None = None,
-    skew: SkewConfig = DEFAULT_SKEW,
 ) -> dict[str, str]:
     """Stage events and items, materialise the funnel tables, build the six
     reporting marts from them and export them as CSV."""
-    staged = stage(Marts(raw, window, skew), stage_dir)
+    staged = stage(Marts(raw, window), stage_dir)
     layered = stage_intermediate(staged, f"{stage_dir.rstrip('/')}/intermediate" if stage_dir else None)
     return {name: write_csv(name, getattr(layered, name), export_dir) for name in MART_NAMES}
 
 
+def _escaped(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def save_tables(
     marts: Marts,
     database: str,
@@ -110,12 +110,14 @@ def save_tables(
     partitioned by ``event_date``. ``location`` places a new database's
     managed tables (e.g. in the shared folder)."""
     spark = marts.stg_events.sparkSession
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
+    quoted = "`" + database.replace("`", "``") + "`"
+    where = " LOCATION {place}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted}" + where.format(place="'" + _escaped(location or "") + "'"))
+    layers = stage_intermediate(stage(marts))
     out = {}
     for attr in names or list(VIEW_NAMES):
-        table = f"`{database}`.`{VIEW_NAMES[attr]}`"
-        writer = getattr(marts, attr).write.mode("overwrite")
+        table = f"{quoted}.`{VIEW_NAMES[attr]}`"
+        writer = getattr(layers, attr).write.mode("overwrite")
         if attr in ("stg_events", "stg_items"):
             writer = writer.partitionBy("event_date")
         writer.saveAsTable(table)

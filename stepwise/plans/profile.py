@@ -138,3 +138,11 @@ def category_cleaning(stg_items: DataFrame) -> DataFrame:
     return stg_items.select(
         "event_timestamp", "session_key", "item_id", "raw_item_category", "cleaned_item_category"
     )
+
+
+def windowed_events(stg_events: DataFrame) -> DataFrame:
+    """Events and sessions per day and event name (of a window, if the staging
+    layer has one)."""
+    return stg_events.groupBy("event_date", "event_name").agg(
+        F.count(F.lit(1)).alias("event_count"), F.countDistinct("session_key").alias("sessions")
+    )

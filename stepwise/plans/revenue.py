@@ -1,7 +1,7 @@
 """Transaction-deduplicated revenue baseline, revenue leakage, friction score.
 
 The baseline is one row (a global aggregate over one row per transaction),
-so it is attached to the transitions as scalar subqueries, not a join. The leakage
+so it is attached to the transitions as one scalar subquery, not a join. The leakage
 and friction tables have one row per funnel transition (9 with the standard
 funnels): their global ranks and max run over a size fixed by the funnel
 definitions, not by the data.
@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 from stepwise.functions.columns import (
     DROPOFF_WEIGHT,
+    LEAKAGE_TIER_DEFAULT,
+    LEAKAGE_TIERS,
     LEAKAGE_WEIGHT,
     exact_sum,
     friction_priority,
-    leakage_priority,
     likely_business_issue,
     recommended_investigation,
     safe_divide,
+    tier,
 )
 
 LEAKAGE_COLUMNS = [
@@ -102,15 +104,17 @@ def revenue_baseline(transactions: DataFrame) -> DataFrame:
     )
 
 
-def revenue_leakage(transitions: DataFrame, baseline: DataFrame) -> DataFrame:
+def revenue_leakage(
+    transitions: DataFrame, baseline: DataFrame, tiers: list[tuple[float, str]] = LEAKAGE_TIERS
+) -> DataFrame:
     """``dropoff_count * average_order_value`` per transition (step > 1),
     dense-ranked within each funnel and overall, and tiered."""
-    # The baseline is exactly one row (a global aggregate): attach it as
-    # scalar subqueries (Spark merges them into one aggregate, computed once)
-    # instead of joining every transition to it.
-    base = {c: baseline.select(c).scalar() for c in ("unique_transactions", "total_purchase_revenue", "average_order_value")}
+    # The baseline is exactly one row (a global aggregate): one scalar
+    # subquery, a struct of its columns, instead of a join of every transition.
+    columns = ("unique_transactions", "total_purchase_revenue", "average_order_value")
+    base = baseline.select(F.struct(*columns)).scalar()
     t = transitions.where(F.col("step_order") > 1).select(
-        *TRANSITION_LEAKAGE_COLUMNS, *[v.alias(c) for c, v in base.items()]
+        *TRANSITION_LEAKAGE_COLUMNS, *[base[c].alias(c) for c in columns]
     )
     leak = F.col("dropoff_count") * F.col("average_order_value")
     t = t.withColumn("estimated_revenue_leakage", leak)
@@ -120,7 +124,7 @@ def revenue_leakage(transitions: DataFrame, baseline: DataFrame) -> DataFrame:
         *LEAKAGE_COLUMNS[:16],
         F.dense_rank().over(by_funnel).cast("long").alias("leakage_rank_within_funnel"),
         F.dense_rank().over(overall).cast("long").alias("overall_leakage_rank"),
-        leakage_priority("estimated_revenue_leakage").alias("leakage_priority"),
+        tier("estimated_revenue_leakage", tiers, LEAKAGE_TIER_DEFAULT).alias("leakage_priority"),
     )
 
 

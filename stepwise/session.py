@@ -3,14 +3,15 @@
 Timestamps are instants in UTC (the raw ``event_timestamp`` is epoch
 microseconds), so the session time zone is pinned to UTC. ANSI mode is left
 at Spark 4's default (on): every division in the marts goes through
-``try_divide``. AQE is on with skew-join splitting as a second line of
-defence behind the explicit salting in ``operators.skew``.
+``try_divide``. Adaptive execution is on with skew-join splitting, which the
+joins of ``operators.skew`` rely on.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +71,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def shared_dir(spark: SparkSession, tag: str) -> str:
+    """A new folder (not yet made) below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/stepwise-{tag}-{uuid.uuid4().hex[:12]}"

@@ -1,16 +1,17 @@
 """CSV export sink for the marts.
 
 One CSV file per mart: header row, null as an empty field, ``true/false``
-booleans, explicit column order and sort. Every mart has a size fixed by
-its definition (12 summary rows, 9 transitions, one row per category /
-segment / check), so writing it through a single task (``coalesce(1)``) is
-safe; the sort is applied inside that task.
+booleans, explicit column order and sort. The mart is aggregated in parallel;
+only its result rows go through the exchange that brings them into the order
+and the one file of the export. Marts have a row per funnel step, transition,
+check, category label, or (channel, device) pair that occurs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Export sort orders: (mart name, sort columns with direction).
 EXPORT_ORDER = {
@@ -21,15 +22,21 @@ EXPORT_ORDER = {
     "friction_score": [("overall_friction_rank", "asc"), ("funnel_type", "asc")],
     "data_quality_checks": [("check_area", "asc"), ("check_name", "asc")],
 }
+MART_NAMES = list(EXPORT_ORDER)
 # The friction export puts the two rank columns first.
 EXPORT_LEADING = {"friction_score": ["overall_friction_rank", "friction_rank_within_funnel"]}
 
 
-def export_frame(name: str, df: DataFrame) -> DataFrame:
+def export_columns(name: str, columns: list[str]) -> list[str]:
     lead = EXPORT_LEADING.get(name, [])
-    cols = lead + [c for c in df.columns if c not in lead]
-    order = [F.col(c).desc() if d == "desc" else F.col(c).asc() for c, d in EXPORT_ORDER.get(name, [])]
-    return df.select(*cols).coalesce(1).sortWithinPartitions(*order) if order else df.select(*cols).coalesce(1)
+    return lead + [c for c in columns if c not in lead]
+
+
+def export_frame(name: str, df: DataFrame) -> DataFrame:
+    if name not in EXPORT_ORDER:
+        raise ValueError(f"no export order for {name!r}; marts are {MART_NAMES}")
+    order = [F.col(c).desc() if d == "desc" else F.col(c).asc() for c, d in EXPORT_ORDER[name]]
+    return df.select(*export_columns(name, df.columns)).repartition(1).sortWithinPartitions(*order)
 
 
 def write_csv(name: str, df: DataFrame, out_dir: str) -> str:
@@ -43,3 +50,11 @@ def write_csv(name: str, df: DataFrame, out_dir: str) -> str:
         .csv(path)
     )
     return path
+
+
+def read_csv(name: str, schema: T.StructType, out_dir: str, spark: SparkSession) -> DataFrame:
+    """An exported mart with the columns of ``schema``."""
+    columns = export_columns(name, schema.names)
+    declared = T.StructType([schema[c] for c in columns])
+    path = f"{out_dir.rstrip('/')}/{name}"
+    return spark.read.schema(declared).option("header", True).option("nullValue", "").csv(path).select(*schema.names)

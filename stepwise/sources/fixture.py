@@ -45,7 +45,6 @@ ITEM_CATEGORIES = [
 CAMPAIGN = "(fixture)"
 PAGE_PREFIX = "https://shop.example/user/"
 SESSION_EPOCH = "2024-01-01"
-FIXTURE_WINDOW = ("20240101", "20240131")
 
 
 def _pick(index: Column, values: list, dtype: str = "string") -> Column:

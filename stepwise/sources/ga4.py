@@ -2,13 +2,16 @@
 
 The raw export is one shard per day. On Spark that is a parquet table
 partitioned by the ``event_date`` string directory; an inclusive string range
-on it becomes a PartitionFilter, so days outside the window are never listed
-or opened. String comparison matters: suffixes such as ``intraday_...`` sort
-outside a numeric-looking window, as they do in the source warehouse.
+on it becomes a PartitionFilter. With a window, only the folders of its days
+are handed to the reader (a look-up per day), so a table of many years is
+never listed. String comparison matters: suffixes such as ``intraday_...``
+sort outside a numeric-looking window, as they do in the source warehouse.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,14 +41,28 @@ def read_raw_events(
     """Read a parquet events table laid out as ``path/event_date=YYYYMMDD/``.
 
     The schema is declared (no inference pass over 100 TB of footers) and the
-    partition column stays a string.
+    partition column stays a string. A window without any day in the table
+    gives no rows; without a window the whole table is read.
     """
-    raw = (
-        spark.read.schema(EVENT_SCHEMA)
-        .option("basePath", path)
-        .parquet(path)
-    )
-    return apply_window(raw, window)
+    reader = spark.read.schema(EVENT_SCHEMA).option("basePath", path)
+    if window is None:
+        return reader.parquet(path)
+    there = _existing(spark, [f"{path.rstrip('/')}/event_date={d}" for d in _days(window)])
+    if not there:
+        return spark.createDataFrame([], EVENT_SCHEMA)
+    return apply_window(reader.parquet(*there), window)
+
+
+def _days(window: tuple[str, str]) -> list[str]:
+    first, last = (dt.datetime.strptime(d, "%Y%m%d").date() for d in window)
+    return [(first + dt.timedelta(n)).strftime("%Y%m%d") for n in range((last - first).days + 1)]
+
+
+def _existing(spark: SparkSession, folders: list[str]) -> list[str]:
+    """The folders that exist: one look-up each, no listing."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(f) for f in folders]
+    return [f for f, p in zip(folders, paths) if p.getFileSystem(conf).exists(p)]
 
 
 def write_raw_events(raw: DataFrame, path: str) -> None:

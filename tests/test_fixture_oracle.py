@@ -67,7 +67,9 @@ def duck():
 
 
 def _keys():
-    from __spark_entry__ import queries
+    # The driver-table queries; those of the training-data operators have
+    # their own tests beside them.
+    from stepwise.plans.catalog import queries
 
     return list(queries())
 
@@ -96,6 +98,23 @@ def test_entry_smoke(spark):
     assert df.columns[:3] == ["funnel_type", "unit_type", "step_order"]
 
 
+def test_window_excludes_rows(spark):
+    from stepwise.plans.catalog import fixture_marts, queries
+
+    inside = queries()["windowed_events"](spark, SMOKE_DIR).groupBy().sum("event_count").first()[0]
+    assert 0 < inside < fixture_marts(spark, SMOKE_DIR).stg_events.count()
+
+
+def test_every_label_occurs_with_scaled_bounds(spark):
+    from stepwise.plans.catalog import queries
+
+    sf = SMOKE_DIR.replace("0.001", "0.01")
+    tiers = {r.leakage_priority for r in queries()["scaled_revenue_leakage"](spark, sf).collect()}
+    assert tiers == {"Very High", "High", "Medium", "Low"}
+    volume = {r.is_high_volume_category for r in queries()["scaled_category_performance"](spark, sf).collect()}
+    assert volume == {True, False}
+
+
 def test_channel_segments_sum_to_session_funnel(smoke_marts):
     main = ["viewed_item_sessions", "added_to_cart_sessions", "began_checkout_sessions", "purchased_sessions"]
     assert sums(smoke_marts.channel_device_performance, main) == EXPECTED_SF0001["session"]

@@ -1,5 +1,5 @@
 """Ordered funnel: hand-made edge cases, brute-force equivalence on random
-logs, and equality of the salted (skew) path with the plain path."""
+logs, and adaptive splitting of a hot key."""
 
 from __future__ import annotations
 
@@ -7,10 +7,8 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from stepwise.operators.funnel import ordered_funnel
-from stepwise.operators.skew import SkewConfig
 from stepwise.operators.staging import stg_events
 from stepwise.plans.funnels import (
     CHECKOUT_STEPS,
@@ -21,10 +19,6 @@ from stepwise.plans.funnels import (
 )
 from tests.rawrows import event, raw_df
 
-NO_SALT = SkewConfig(enabled=False)
-ALWAYS_SALT = SkewConfig(rows_per_bucket=1, max_buckets=7, max_hot_keys=1000)
-
-
 def flags(df, key="user_pseudo_id"):
     return {
         r[key]: (r.viewed_item, r.added_to_cart, r.began_checkout, r.purchased)
@@ -123,8 +117,7 @@ def brute_force(events, steps):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("skew", [NO_SALT, ALWAYS_SALT], ids=["plain", "salted"])
-def test_cascade_matches_brute_force(spark, seed, skew):
+def test_cascade_matches_brute_force(spark, seed):
     rng = random.Random(seed)
     base = dt.datetime(2021, 1, 1)
     names = MAIN_STEPS + ["page_view"]
@@ -136,20 +129,11 @@ def test_cascade_matches_brute_force(spark, seed, skew):
     df = spark.createDataFrame(events, "k string, event_name string, event_time timestamp")
     got = {
         r.k: tuple(r[f"{s}_time"] for s in MAIN_STEPS)
-        for r in ordered_funnel(df, ["k"], MAIN_STEPS, skew=skew).collect()
+        for r in ordered_funnel(df, ["k"], MAIN_STEPS).collect()
     }
     assert got == brute_force(events, MAIN_STEPS)
 
 
-def test_salting_actually_splits_hot_key(spark):
-    from stepwise.operators.skew import hot_key_buckets
-
-    df = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 1)], "k string, n long")
-    load = df.groupBy("k").agg(F.count(F.lit(1)).alias("load"))
-    hot = hot_key_buckets(load, ["k"], "load", SkewConfig(rows_per_bucket=10, max_buckets=4, max_hot_keys=5))
-    assert [(r.k, r._buckets) for r in hot.collect()] == [("hot", 4)]
-
-
 def test_checkout_steps_any_entry(spark):
     rows = [event("begin_checkout", 0, user="z", session=3)]
     out = checkout_funnel_steps(stg_events(raw_df(spark, rows))).collect()
@@ -157,57 +141,54 @@ def test_checkout_steps_any_entry(spark):
     assert CHECKOUT_STEPS[0] == "begin_checkout"
 
 
-def test_salting_spreads_a_hot_key_across_partitions(spark):
-    """A key holding 75% of the join side lands in one shuffle partition
-    without salting; with salting no partition holds more than half."""
-    import datetime as dt
-
-    from stepwise.operators.skew import resolve_hot_keys, salted_inner_join
-
-    t = dt.datetime(2021, 1, 1)
-    rows = [("hot", t + dt.timedelta(seconds=i % 50)) for i in range(3000)]  # repeated timestamps too
-    rows += [(f"k{i % 100}", t) for i in range(1000)]
-    cur = spark.createDataFrame(rows, "k string, _t timestamp").repartition(4)
-    prev = spark.createDataFrame([("hot", t)] + [(f"k{i}", t) for i in range(100)], "k string, _prev timestamp")
-    load = cur.groupBy("k").agg(F.count(F.lit(1)).alias("load"))
-    cfg = SkewConfig(rows_per_bucket=200, max_buckets=16)
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.enabled": "false",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-
-        def max_share(hot):
-            out = salted_inner_join(cur, prev, ["k"], hot)
-            sizes = [r.n for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
-            assert sum(sizes) == 4000  # whole result either way
-            return max(sizes) / sum(sizes)
-
-        assert max_share(None) >= 0.75
-        assert max_share(resolve_hot_keys(load, ["k"], "load", cfg)) < 0.5
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-def test_skew_settings_from_session(spark):
-    from stepwise.operators.skew import DEFAULT_SKEW, skew_config_from_session
-
-    assert skew_config_from_session(spark) == DEFAULT_SKEW
-    spark.conf.set("spark.stepwise.skew.rowsPerBucket", "123")
-    spark.conf.set("spark.stepwise.skew.enabled", "false")
-    try:
-        cfg = skew_config_from_session(spark)
-        assert (cfg.rows_per_bucket, cfg.enabled, cfg.max_buckets) == (123, False, DEFAULT_SKEW.max_buckets)
-    finally:
-        spark.conf.unset("spark.stepwise.skew.rowsPerBucket")
-        spark.conf.unset("spark.stepwise.skew.enabled")
+HOT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def splitting(spark):
+    """Small thresholds, and no broadcasts, for the length of a test."""
+    old = {k: spark.conf.get(k, None) for k in HOT_CONF}
+    for k, v in HOT_CONF.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_adaptive_execution_splits_a_hot_key(splitting):
+    """A key with half of the rows: both joins of a three-step funnel are
+    split, each step is joined once, and the result is the definition's."""
+    rng = random.Random(4)
+    base = dt.datetime(2021, 1, 1)
+    steps = MAIN_STEPS[:3]
+    events = [
+        (f"k{rng.randrange(3000)}" if i % 2 else "hot", steps[i % 3], base + dt.timedelta(seconds=rng.randrange(90_000)))
+        for i in range(30_000)
+    ]
+    df = splitting.createDataFrame(events, "k string, event_name string, event_time timestamp").repartition(8)
+    out = ordered_funnel(df, ["k"], steps)
+    got = {r.k: tuple(r[f"{s}_time"] for s in steps) for r in out.collect()}
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("SortMergeJoin(skew=true)") == 2
+    assert final.count("SortMergeJoin") == 2
+    assert got == brute_force(events, steps)
+
+
+def test_a_funnel_runs_one_join_per_later_step(splitting):
+    """Exchanges are reused: three joins for four steps, and hash aggregates
+    only."""
+    events = [("a", s, dt.datetime(2021, 1, 1)) for s in MAIN_STEPS]
+    df = splitting.createDataFrame(events, "k string, event_name string, event_time timestamp")
+    out = ordered_funnel(df, ["k"], MAIN_STEPS)
+    assert len(out.collect()) == 1
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("SortMergeJoin") == 3
+    assert "SortAggregate" not in final

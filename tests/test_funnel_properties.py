@@ -1,5 +1,5 @@
 """Property tests (Hypothesis): the ordered funnel equals its literal
-definition for random step lists and event logs, salted or not; counts
+definition for random step lists and event logs; counts
 never increase along the steps; input order does not matter."""
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from stepwise.operators.funnel import ordered_funnel
-from stepwise.operators.skew import SkewConfig
 from tests.test_funnel import brute_force
 
 NAMES = ["a", "b", "c", "d", "x"]
@@ -29,12 +28,11 @@ steps_strategy = st.lists(st.sampled_from(NAMES[:4]), min_size=1, max_size=4, un
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(events=events_strategy, steps=steps_strategy, salted=st.booleans())
-def test_funnel_equals_definition(spark, events, steps, salted):
+@given(events=events_strategy, steps=steps_strategy)
+def test_funnel_equals_definition(spark, events, steps):
     rows = [(k, n, BASE + dt.timedelta(minutes=m)) for k, n, m in events]
     df = spark.createDataFrame(rows, "k string, event_name string, event_time timestamp")
-    cfg = SkewConfig(rows_per_bucket=2, max_buckets=5) if salted else SkewConfig(enabled=False)
-    out = ordered_funnel(df, ["k"], steps, skew=cfg).collect()
+    out = ordered_funnel(df, ["k"], steps).collect()
     got = {r.k: tuple(r[f"{s}_time"] for s in steps) for r in out}
     want = brute_force(rows, steps)
     assert got == want

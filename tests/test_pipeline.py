@@ -6,7 +6,7 @@ import csv
 import glob
 
 from stepwise.plans.pipeline import MART_NAMES, run_pipeline, stage
-from stepwise.sources.fixture import FIXTURE_WINDOW, load_raw
+from stepwise.sources.fixture import load_raw
 from tests.conftest import SMOKE_DIR
 
 
@@ -21,7 +21,7 @@ def test_staged_marts_equal_lazy(spark, smoke_marts, tmp_path):
 
 def test_export_csv(spark, tmp_path):
     raw = load_raw(spark, SMOKE_DIR)
-    paths = run_pipeline(raw, FIXTURE_WINDOW, str(tmp_path / "out"), str(tmp_path / "stage"))
+    paths = run_pipeline(raw, None, str(tmp_path / "out"), str(tmp_path / "stage"))
     assert set(paths) == set(MART_NAMES)
     files = glob.glob(paths["friction_score"] + "/*.csv")
     assert len(files) == 1
@@ -41,6 +41,15 @@ def test_export_csv(spark, tmp_path):
     assert views == sorted(views, reverse=True)
 
 
+def test_export_refuses_unknown_names(smoke_marts):
+    import pytest
+
+    from stepwise.sources.export import export_frame
+
+    with pytest.raises(ValueError, match="no export order"):
+        export_frame("stg_events", smoke_marts.stg_events)
+
+
 def test_register_views(spark, smoke_marts):
     from stepwise.plans.catalog import register_views
 

@@ -1,6 +1,6 @@
 """Plan assertions: partition pruning on the sharded source, no Python in
-any query, map-side partial aggregation and no window in the funnel, and a
-bounded broadcast for the hot-key table."""
+any query, map-side partial aggregation and no window in the funnel, no job
+while a layer is built, and one raw pass per source for the marts."""
 
 from __future__ import annotations
 
@@ -46,7 +46,7 @@ def test_column_pruning_reaches_scan(spark, sharded):
 
 
 def test_no_python_anywhere(spark):
-    from __spark_entry__ import queries
+    from stepwise.plans.catalog import queries
 
     for name, q in queries().items():
         p = plan(q(spark, SMOKE_DIR))
@@ -60,30 +60,45 @@ def test_funnel_shape(spark, smoke_marts):
     assert "partial_min" in p  # map-side combine before the shuffle
 
 
-def test_hot_key_table_is_bounded_and_broadcast(spark):
-    from pyspark.sql import functions as F
+def _jobs(spark) -> int:
+    """Jobs started so far in this session."""
+    return spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
 
-    from stepwise.operators.funnel import ordered_funnel
-    from stepwise.operators.skew import SkewConfig, resolve_hot_keys
 
-    df = spark.createDataFrame([(f"k{i % 5}", i) for i in range(100)], "k string, n long")
-    load = df.groupBy("k").agg(F.count(F.lit(1)).alias("load"))
-    hot = resolve_hot_keys(load, ["k"], "load", SkewConfig(rows_per_bucket=3, max_buckets=4, max_hot_keys=2))
-    assert hot.count() == 2  # top-n only, whatever the number of hot keys
-    assert resolve_hot_keys(load, ["k"], "load", SkewConfig(rows_per_bucket=10_000)) is None
+def test_building_a_layer_starts_no_job(spark):
+    from stepwise.plans.catalog import VIEW_NAMES, fixture_marts
 
-    import datetime as dt
+    marts = fixture_marts(spark, SMOKE_DIR)
+    marts.raw_all.schema  # the table's footer is read by now
+    before = _jobs(spark)
+    for name in VIEW_NAMES:
+        getattr(marts, name)
+    assert _jobs(spark) == before
 
-    t = dt.datetime(2021, 1, 1)
-    ev = spark.createDataFrame(
-        [("a", "view_item", t), ("a", "add_to_cart", t), ("a", "purchase", t)] * 5,
-        "k string, event_name string, event_time timestamp",
-    )
-    f = ordered_funnel(ev, ["k"], ["view_item", "add_to_cart", "purchase"], skew=SkewConfig(rows_per_bucket=1, max_buckets=3))
-    p = plan(f)
-    # salted path: the collected hot-key rows are a small local relation, broadcast
-    assert "BroadcastExchange" in p and ("LocalTableScan" in p or "Scan ExistingRDD[k" in p)
-    assert f.collect()[0].purchase_time == t
+
+@pytest.mark.parametrize("name, passes", [("funnel_summary", 1), ("category_performance", 1), ("data_quality_checks", 2)])
+def test_marts_read_the_raw_table_once_per_source(spark, name, passes, monkeypatch):
+    """Every read of the events table belongs to the narrow tables that are
+    written first; the plan that is left reads those only."""
+    from stepwise.plans import catalog
+
+    written = []
+    write_once = catalog.write_once
+
+    def noted(df, tag):
+        written.append(plan(df).count("events.parquet"))
+        return write_once(df, tag)
+
+    monkeypatch.setattr(catalog, "write_once", noted)
+    rest = catalog.queries()[name](spark, SMOKE_DIR)
+    assert sum(written) == passes
+    assert "events.parquet" not in plan(rest)
+
+
+def test_sharded_window_reads_only_its_days(spark, sharded):
+    raw = read_raw_events(spark, sharded, ("20201101", "20201231"))
+    assert len(raw.inputFiles()) == 1
+    assert read_raw_events(spark, sharded, ("20190101", "20190107")).count() == 0
 
 
 def test_baseline_is_a_scalar_subquery_not_a_join(spark, smoke_marts):
