@@ -206,8 +206,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit, with all their columns."""
     hit = benchmark_hits(docs, benchmark).select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")
+        F.col("doc_id").alias("_llm_doc_id"), F.col("text_hash").alias("_llm_text_hash")
     )
-    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    on = docs["doc_id"].eqNullSafe(F.col("_doc_id")) & (text_hash == F.col("_text_hash"))
+    text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    on = docs["doc_id"].eqNullSafe(F.col("_llm_doc_id")) & (text_hash == F.col("_llm_text_hash"))
     return docs.join(hit, on, "left_anti")

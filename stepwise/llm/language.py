@@ -149,6 +149,11 @@ def _shares(counts: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     )
 
 
+def _totals(counts: DataFrame, names: list[str]) -> list[float]:
+    """Rows per language; no more numbers than there are languages."""
+    return [n or 0.0 for n in _shares(counts, [], names).first()["by"]]
+
+
 def _shrunk(by: str, above: Column) -> Column:
     total = F.aggregate(by, F.lit(0.0), lambda a, x: a + x)
     return F.zip_with(by, above, lambda x, p: (x + SHRINK * p) / (total + SHRINK))
@@ -191,13 +196,13 @@ def identify(
         .agg(F.count(F.lit(1)).alias("n")),
         "language-counts",
     )
-    overall = (_shares(counts, [], names).first() or [None])[0] or [0.0] * len(names)
+    overall = _totals(counts, names)
     total = sum(overall)
     base = [(n + SHRINK / len(names)) / (total + SHRINK) for n in overall]
     corpus = F.array(*map(F.lit, base))
     said = counts.where(F.col("_llm_declared").isNotNull())
     kinds = said.select("_llm_declared").distinct().count()
-    per_language = (_shares(said, [], names).first() or [None])[0] or [0.0] * len(names)
+    per_language = _totals(said, names)
     declared = _shares(said, ["_llm_declared"], names).select(
         "_llm_declared",
         F.zip_with(

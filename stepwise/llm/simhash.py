@@ -241,9 +241,9 @@ def keep_one_per_group(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, radius:
     })
 
     def key_of(df: DataFrame) -> DataFrame:
-        return df.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        return df.select(F.col("doc_id").alias("_llm_of_id"), F.col("text_hash").alias("_llm_of_hash"))
 
-    match = reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(ids, ["_id", "_hash"])])
+    match = reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(ids, ["_llm_of_id", "_llm_of_hash"])])
     gone = key_of(counted.where(~F.col("stays") | (F.col("rows") > 1)))
     kept = keyed.join(gone, match, "left_anti").drop(*ids)
     tied = key_of(counted.where(F.col("stays") & (F.col("rows") > 1)))
