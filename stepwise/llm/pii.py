@@ -6,8 +6,8 @@ document and the key alone leads back:
 
 * e-mail addresses: letters and digits of the local part and of the domain
   labels before the last, each within its class;
-* card numbers (13 to 19 digits that pass the Luhn check): the digits before the
-  check digit, which is then computed anew;
+* card numbers (13 to 19 digits, or groups as on cards, that pass the Luhn
+  check): the digits before the check digit, which is then computed anew;
 * IBANs (valid check digits): the account part, check digits computed anew;
 * social security numbers (valid area, group and serial): among all valid ones;
 * IPv4 addresses (octets up to 255): among all addresses;
@@ -45,7 +45,7 @@ PATTERNS = {
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])",
 }
 ANY = "|".join(PATTERNS.values())

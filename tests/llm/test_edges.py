@@ -91,7 +91,7 @@ def test_secrets(spark, docs, empty):
         ("PASS=abc123XYZ9\nDB_PASSWORD=${PASS}", {("literal", "abc123XYZ9"), ("flow", "abc123XYZ9")}),
         ('{"client_secret": "s3cr3tV4lu3!!"}', {("literal", "s3cr3tV4lu3!!"), ("assign", 'secret": "s3cr3tV4lu3')}),
         ("password: changeme", {("assign", "password: changeme")}),
-        ("secret=token:abcdefgh", set()),
+        ("secret=token:abcdefgh", {("literal", "token:abcdefgh")}),
         ("the token: of the", set()),
         ("color = 'chartreuse9'", set()),
     ],
