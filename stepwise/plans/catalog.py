@@ -37,12 +37,14 @@ class Marts:
         self.raw_all = raw
         self.window = window
         self._staged = staged
+        self._given: dict[str, DataFrame] = {}
 
     def with_tables(self, **tables: DataFrame) -> "Marts":
         """A copy whose named layers are the given (e.g. materialised)
         DataFrames; everything downstream of them builds on those."""
         m = Marts(self.raw_all, self.window, self._staged)
-        m.__dict__.update(tables)  # pre-fills the cached properties
+        m._given = {**self._given, **tables}
+        m.__dict__.update(m._given)  # pre-fills the cached properties
         return m
 
     def shared(self, *, events: bool = True, items: bool = False) -> "Marts":

@@ -1,7 +1,7 @@
 """Print the final (post-AQE) physical plans of the headline marts.
 
 Writes the sf dir's test table once as a raw events table partitioned by
-``event_date`` (under a fresh scratch folder), reads it back through
+``event_date`` (below the checkpoint folder), reads it back through
 ``read_raw_events`` with an analysis window (PartitionFilters), runs each
 query, and prints its executed plan with long attribute lists elided.
 Usage: python tools/explain.py [sf_dir] [query ...]
@@ -12,7 +12,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -25,7 +24,7 @@ KEEP = re.compile(
 
 def main() -> None:
     from stepwise.plans.catalog import Marts
-    from stepwise.session import build_session
+    from stepwise.session import build_session, shared_dir
     from stepwise.sources.fixture import load_raw
     from stepwise.sources.ga4 import read_raw_events, write_raw_events
 
@@ -33,7 +32,7 @@ def main() -> None:
     sf_dir = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.1"
     names = [a for a in args if not os.path.isdir(a)] or DEFAULT
     spark = build_session("local[8]", 8)
-    path = os.path.join(tempfile.mkdtemp(prefix="stepwise-explain-"), "events")
+    path = shared_dir(spark, "explain")
     write_raw_events(load_raw(spark, sf_dir), path)
     raw = read_raw_events(spark, path, ("20240101", "20240131"))
     for name in names:
