@@ -15,17 +15,19 @@ then line). Copies of a line go with it.
   with a probability of 0.998, and with more the more similar they are.
 * Lines that meet in a band are compared by their whole shingle sets. In a
   bucket of up to ``PAIRS_UP_TO`` lines every pair is compared. In a larger one
-  all lines are compared with the first, and then with the first that has no
-  link yet, until each is linked or has been compared with all: every link of a
-  line without a star is seen, and the lines of one star are one group anyhow.
-  So buckets have no cap, and no group of similar lines makes all its pairs.
+  all lines are compared with the first, and then with the first few that have
+  no link yet, until each is linked or has been compared with all: every link
+  of a line without a star is seen, and the lines of one star are one group
+  anyhow. So buckets have no cap, and no group of similar lines makes all its
+  pairs.
 * Groups are found by distributed union-find (``components``).
 
 Lines are known by 128 bits of hash, groups by 64.
 
 Defined results: a null text stays null with no lines; an empty text is one blank
 line; blank lines (white space only) are left as they are and take no part; a
-line shorter than a shingle is one shingle; null ids come before all others;
+line shorter than a shingle is one shingle; a character beyond the basic plane
+counts as two; null ids come before all others;
 rows of one id are ordered by text hash; rows equal in id and text are one
 document, and each gets its result; an empty table gives no rows; other columns
 are ignored.
@@ -43,6 +45,8 @@ SHINGLE = 8
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 PAIRS_UP_TO = 32
+#: Lines that a round compares with all of a large bucket, after the first round.
+HEADS = 32
 
 _DOC = ["has_id", "doc_id", "text_hash"]
 
@@ -61,18 +65,13 @@ def _lines(text: Column) -> Column:
 
 
 def _with_shingles(df: DataFrame, line: str, out: str) -> DataFrame:
-    """Adds the hashes of the shingles of a line (with repeats)."""
-    chars = f"{out}_chars"
+    """Adds the hashes of the shingles of a line (with repeats). One regular
+    expression cuts all of them; it steps by UTF-16 units."""
+    cut = f"{out}_cut"
     return (
-        df.withColumn(chars, F.split(F.col(line), ""))
-        .withColumn(
-            out,
-            F.expr(
-                f"transform(sequence(1, greatest(size({chars}) - {SHINGLE - 1}, 1)),"
-                f" i -> xxhash64(slice({chars}, i, {SHINGLE})))"
-            ),
-        )
-        .drop(chars)
+        df.withColumn(cut, F.expr(f"regexp_extract_all({line}, '(?s)(?=(.{{{SHINGLE}}}))', 1)"))
+        .withColumn(out, F.expr(f"transform(if(size({cut}) > 0, {cut}, array({line})), x -> xxhash64(x))"))
+        .drop(cut)
     )
 
 
@@ -106,7 +105,7 @@ def _bands(lines: DataFrame) -> DataFrame:
 
 def _similar(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """The pairs ``u, v`` of lines whose shingle sets are similar."""
-    ends = pairs
+    ends = materialize(pairs, "pairs")  # its size is known: few pairs are broadcast
     for end in ("u", "v"):
         ends = split_join(ends, lines.select(F.col("id").alias(end), F.col("line").alias(f"line_{end}")), [end])
     for end in ("u", "v"):
@@ -126,21 +125,23 @@ def _links(lines: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
     pairs = few.join(other, "key").where(F.col("id") < F.col("v")).select(F.col("id").alias("u"), "v").distinct()
     links = _similar(pairs, lines, similarity).where("near").select("u", "v")
     crowd = materialize(met.where(F.col("n") > pairs_up_to).select("key", "id", F.lit(False).alias("seen")), "crowds")
+    heads_at_once = 1
     while crowd.where(~F.col("seen")).limit(1).count():
-        heads = crowd.where(~F.col("seen")).groupBy("key").agg(F.min("id").alias("head"))
-        asked = materialize(split_join(crowd, heads, ["key"]), "stars")
-        pairs = asked.where(F.col("id") != F.col("head")).select(F.col("head").alias("u"), F.col("id").alias("v")).distinct()
+        first = Window.partitionBy("key").orderBy("id")
+        heads = crowd.where(~F.col("seen")).withColumn("nr", F.row_number().over(first)).where(F.col("nr") <= heads_at_once)
+        heads = materialize(heads.select("key", F.col("id").alias("head")), "heads")
+        asked = materialize(crowd.select("key", "id").join(heads, "key").where(F.col("id") != F.col("head")), "stars")
+        pairs = asked.select(F.least("head", "id").alias("u"), F.greatest("head", "id").alias("v")).distinct()
         near = _similar(pairs, lines, similarity).where("near").select("u", "v")
         links = links.unionByName(near)
-        linked = near.select(F.col("u").alias("head"), F.col("v").alias("id"), F.lit(True).alias("linked"))
+        ends = near.select(F.col("u").alias("head"), F.col("v").alias("id")).union(near.select("v", "u"))
+        linked = asked.join(ends, ["head", "id"]).select("key", "id").union(heads.select("key", "head")).distinct()
+        done = linked.withColumn("done", F.lit(True))
         crowd = materialize(
-            split_join(asked, linked, ["head", "id"], "left").select(
-                "key",
-                "id",
-                (F.col("seen") | (F.col("id") == F.col("head")) | F.coalesce("linked", F.lit(False))).alias("seen"),
-            ),
+            crowd.join(done, ["key", "id"], "left").select("key", "id", (F.col("seen") | F.coalesce("done", F.lit(False))).alias("seen")),
             "crowds",
         )
+        heads_at_once = HEADS
     return links
 
 
