@@ -14,9 +14,11 @@ Items of fewer than ``WINDOW`` words (but not none) are one window as a whole;
 for each length among them the documents' word sequences of that length are
 joined to them. That is at most ``WINDOW - 1`` lengths, however many items.
 
-The benchmark side is written once; Spark broadcasts it if its measured size
-is below the broadcast threshold and shuffles otherwise. Texts are shuffled at
-most once, and only beside documents with a meeting.
+The benchmark's fingerprints, with the words around them, are written once and
+measured. Up to ``BROADCAST_BYTES`` they are broadcast, and a meeting is
+verified where the document is read: no text is shuffled. A larger benchmark is
+joined by shuffling (hash, place) of the documents' fingerprints, and the texts
+of the documents that meet it are fetched by one more join.
 
 (The outer ``explode`` is on purpose: the optimizer pushes the filter that it
 infers from an inner one below the projections, and copies what they compute
@@ -25,6 +27,8 @@ into every lambda.)
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +36,13 @@ from stepwise.llm.scratch import materialize
 
 WINDOW = 10
 GRAM = 5
-#: Low bits of a fingerprint that hold its place; the rest is the hash.
-PLACE_BITS = 24
+#: Low bits of a fingerprint that hold its place (more than a string has
+#: words); the rest is the hash.
+PLACE_BITS = 30
+#: The benchmark's fingerprints are broadcast up to this size.
+BROADCAST_BYTES = 64 << 20
+
+_DOC = ["doc_id", "text_hash"]
 
 # Fixed value: what separates words.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -101,72 +110,72 @@ def _long_items(items: DataFrame) -> DataFrame:
     )
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, hits`` for document rows with a hit; ``hits`` is an
+def _exploded(docs: DataFrame, n: int | None, *kept: str) -> DataFrame:
+    """``hash, at`` of the fingerprints (or of all ``n``-word sequences), with
+    the ``kept`` columns."""
+    if n is None:
+        prints = _with_prints(docs).select(*kept, F.explode_outer("prints").alias("p"))
+        return prints.where(F.col("p").isNotNull()).select(*kept, _hash("p").alias("hash"), _place("p").alias("at"))
+    sequences = F.expr(
+        f"if(size(words) >= {n}, transform(sequence(1, size(words) - {n - 1}), i -> xxhash64(slice(words, i, {n}))), array())"
+    )
+    # The array is a column of its own first: only then is the generator compiled, and passes the words on by reference.
+    each = docs.withColumn("sequences", sequences).select(*kept, F.posexplode_outer("sequences").alias("at", "hash"))
+    return each.where(F.col("hash").isNotNull())
+
+
+def _near(df: DataFrame) -> DataFrame:
+    """The words of the document beside the benchmark's at a meeting, in place
+    of all its words."""
+    first = F.greatest(F.col("at") - F.col("before"), F.lit(0))
+    near = F.slice("words", first + 1, F.size("context"))
+    return df.select(*_DOC, "item", (F.col("at") - F.col("before")).alias("start"), "context", near.alias("near"))
+
+
+def _windows() -> Column:
+    """The windows of the item around a meeting that are the document's, word
+    by word; a meeting at the head of a text has fewer words before it."""
+    n, skipped = f"least({WINDOW}, size(context))", "greatest(-start, 0)"
+    return F.expr(
+        f"transform(filter(sequence({skipped}, greatest(size(context) - {n}, {skipped})),"
+        f" s -> s - {skipped} + {n} <= size(near) and s + {n} <= size(context)"
+        f" and slice(near, s - {skipped} + 1, {n}) = slice(context, s + 1, {n})),"
+        f" s -> named_struct('item', item, 'at', start + s, 'n', {n}))"
+    )
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``doc_id, text_hash, hits`` for documents with a hit; ``hits`` is an
     array of (item, at, n): ``n`` words from word ``at`` (from 0) are a window
     of ``item``."""
     items = materialize(
         benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("words")).distinct(),
         "benchmark",
     )
-    rows = _keyed(docs)
-    # The places of a very long text wrap round; the verifying step takes
-    # every place that the low bits may stand for.
-    wrap = 1 << PLACE_BITS
-    meets = (
-        _with_prints(rows.withColumn("words", words(F.col("text"))))
-        .select("doc_id", "text_hash", F.explode_outer("prints").alias("p"))
-        .where(F.col("p").isNotNull())
-        .select("doc_id", "text_hash", _hash("p").alias("hash"), _place("p").alias("at"))
-        .join(materialize(_long_items(items), "benchmark-prints"), "hash")
-        .select("doc_id", "text_hash", F.struct("item", "at", "before", "context").alias("meet"))
-    )
+    with_words = _keyed(docs).withColumn("words", words(F.col("text"))).drop("text")
     short = items.where(F.size("words").between(1, WINDOW - 1)).withColumn("n", F.size("words"))
-    lengths = sorted(r.n for r in short.select("n").distinct().collect())  # at most WINDOW - 1
-    for n in lengths:
-        own = short.where(F.col("n") == n).select(
-            F.xxhash64("words").alias("hash"), "item", F.lit(0).alias("before"), F.col("words").alias("context")
+    sides = [(None, materialize(_long_items(items), "benchmark-prints"))]
+    for n in sorted(r.n for r in short.select("n").distinct().collect()):  # at most WINDOW - 1
+        own = short.where(F.col("n") == n)
+        sides.append((n, own.select(F.xxhash64("words").alias("hash"), "item", F.lit(0).alias("before"), F.col("words").alias("context"))))
+    met = []
+    for n, side in sides:
+        # The size of the side in memory, from its words; it is a sum over the benchmark only.
+        size = side.agg(F.sum(F.length(F.array_join("context", " ")) + 16 * F.size("context") + 64)).first()[0] or 0
+        if size <= broadcast_bytes:
+            met.append(_near(_exploded(with_words, n, *_DOC, "words").join(F.broadcast(side), "hash")))
+            continue
+        meets = _exploded(with_words, n, *_DOC).join(side, "hash")
+        by_doc = materialize(
+            meets.groupBy(*_DOC).agg(F.collect_set(F.struct("item", "at", "before", "context")).alias("meets")), "meetings"
         )
-        meets = meets.unionByName(
-            rows.withColumn("words", words(F.col("text")))
-            .select(
-                "doc_id",
-                "text_hash",
-                F.posexplode_outer(
-                    F.expr(
-                        f"if(size(words) >= {n}, transform(sequence(1, size(words) - {n - 1}),"
-                        f" i -> xxhash64(slice(words, i, {n}))), array())"
-                    )
-                ).alias("at", "hash"),
-            )
-            .join(own, "hash")
-            .select("doc_id", "text_hash", F.struct("item", "at", "before", "context").alias("meet"))
-        )
-    grouped = materialize(
-        meets.groupBy("doc_id", "text_hash").agg(F.collect_set("meet").alias("meets")), "meetings"
-    )
-    candidates = grouped.select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash"), "meets"
-    )
-    joined = rows.join(
-        candidates,
-        F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")),
-    )
-    # All windows of the item around the meeting, compared word by word.
-    found = joined.withColumn("words", words(F.col("text"))).select(
-        "doc_id",
-        "text_hash",
-        F.expr(
-            "array_distinct(flatten(transform(meets, m -> transform(filter("
-            f"flatten(transform(sequence(0, (size(words) - 1) div {wrap}), lap -> transform("
-            f"sequence(0, greatest(size(m.context) - {WINDOW}, 0)), s -> named_struct("
-            f"'from', s, 'at', int(m.at + lap * {wrap} - m.before + s), 'n', least({WINDOW}, size(m.context)))))),"
-            " w -> w.at >= 0 and w.at + w.n <= size(words)"
-            " and slice(words, greatest(w.at, 0) + 1, w.n) = slice(m.context, w.from + 1, w.n)),"
-            " w -> named_struct('item', m.item, 'at', w.at, 'n', w.n)))))"
-        ).alias("hits"),
-    )
-    return materialize(found, "hits").where(F.size("hits") > 0)
+        beside = by_doc.select(*[F.col(c).alias(f"_{c}") for c in _DOC], "meets").hint("merge")
+        on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))
+        again = with_words.join(beside, on).select(*_DOC, "words", F.explode_outer("meets").alias("meet"))
+        met.append(_near(again.select(*_DOC, "words", "meet.*")))
+    found = reduce(DataFrame.unionByName, met).select(*_DOC, F.explode_outer(_windows()).alias("hit"))
+    hits = found.where(F.col("hit").isNotNull()).select(*_DOC, "hit.*").distinct()
+    return materialize(hits.groupBy(*_DOC).agg(F.collect_list(F.struct("item", "at", "n")).alias("hits")), "hits")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -179,8 +188,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text each get their row; an empty side gives no hits; other columns are
     ignored.
     """
-    hits = benchmark_hits(docs, benchmark).dropDuplicates(["doc_id", "text_hash"])
-    found = hits.select(
+    found = benchmark_hits(docs, benchmark).select(
         F.col("doc_id").alias("_doc_id"),
         F.col("text_hash").alias("_text_hash"),
         F.expr("size(array_distinct(flatten(transform(hits, h -> sequence(h.at, h.at + h.n - 1)))))").alias("hit_words"),
