@@ -609,8 +609,8 @@ relation(
 
 # ------------------------------------- other bounds, so that every branch occurs
 #: Parameters of the ``*_scaled`` queries.
-SCALED_TIERS = [(5_000, "Very High"), (2_000, "High"), (500, "Medium")]
-SCALED_VOLUME = 100
+SCALED_TIERS = [(9_500, "Very High"), (5_000, "High"), (1_300, "Medium")]
+SCALED_VOLUME = 104
 table("scaled_tier", "low, label", [(-1e300, "Low"), *SCALED_TIERS])
 leakage("scaled_", "scaled_tier")
 category_performance("scaled_category_performance", SCALED_VOLUME)

@@ -281,9 +281,9 @@ QUERY_NAMES = [
 #: Analysis window of the two windowed queries (the others read every row).
 WINDOW = ("20240108", "20240114")
 #: Bounds of the two ``scaled_*`` queries, such that every label occurs in
-#: small data, too.
-SCALED_TIERS = [(5_000, "Very High"), (2_000, "High"), (500, "Medium")]
-SCALED_VOLUME = 100
+#: the table at sf0.01, too.
+SCALED_TIERS = [(9_500, "Very High"), (5_000, "High"), (1_300, "Medium")]
+SCALED_VOLUME = 104
 
 
 def fixture_marts(spark: SparkSession, sf_dir: str, window: tuple[str, str] | None = None) -> Marts:
