@@ -16,10 +16,13 @@ then line). Copies of a line go with it.
 * Lines that meet in a band are compared by their whole shingle sets. In a
   bucket of up to ``PAIRS_UP_TO`` lines every pair is compared. In a larger one
   all lines are compared with the first, and then with the first few that have
-  no link yet, until each is linked or has been compared with all: every link
-  of a line without a star is seen, and the lines of one star are one group
-  anyhow. So buckets have no cap, and no group of similar lines makes all its
-  pairs.
+  no link yet, until each is linked or has been compared with all. So every
+  link of a centre is seen, and the lines of one star are one group anyhow.
+  What is left are links between two lines that are no centre, in stars that
+  are not joined by then (h ~ x ~ y ~ i with centres h and i): these are found
+  by an exact prefix filter over the lines of buckets in which more than one
+  group is left, between different groups only. So buckets have no cap, and no
+  group of similar lines makes all its pairs.
 * Groups are found by distributed union-find (``components``).
 
 Lines are known by 128 bits of hash, groups by 64.
@@ -115,6 +118,44 @@ def _similar(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame
     return materialize(both.select("u", "v", (F.col("shared") >= F.lit(similarity) * union).alias("near")), "compared")
 
 
+def _across(rim: DataFrame, links: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """Links between the groups of ``links``, for the lines ``key, id`` of
+    ``rim`` (each has a link) in buckets that hold several groups.
+
+    Shingles are ranked, rare ones first. Before the first shingle that two
+    sets share, neither has a shared one, so as many as a similar pair shares
+    must follow in both: only pairs that meet early enough in both are compared.
+    """
+    of = links.select(F.col("node").alias("id"), "component")
+    placed = materialize(split_join(rim, of, ["id"]), "rim")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
+    open_lines = split_join(placed, mixed.select("key"), ["key"]).select("id", "component").distinct()
+    sets = _with_shingles(split_join(open_lines, lines, ["id"]), "line", "hashes")
+    sets = materialize(
+        sets.select("id", "component", F.array_distinct("hashes").alias("hashes")).withColumn("n", F.size("hashes")), "rim-sets"
+    )
+    held = sets.select("id", "component", "n", F.explode("hashes").alias("shingle"))
+    often = materialize(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")), "rim-shingles")
+    ranked = split_join(held, often, ["shingle"]).groupBy("id", "component", "n").agg(
+        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("ranked")
+    )
+    met = ranked.select("id", "component", "n", F.posexplode("ranked").alias("at", "one")).select(
+        F.col("one.shingle").alias("shingle"), "id", "component", "n", (F.col("n") - F.col("at")).alias("rest"), F.col("one.often").alias("often")
+    )
+    met = materialize(met.where((F.col("often") > 1) & (F.col("rest") >= F.lit(similarity) * F.col("n") - 1e-6)).drop("often"), "rim-prefixes")
+    # Which groups meet, before their lines do: a group doesn't meet itself.
+    groups = met.groupBy("shingle", F.col("component").alias("other")).agg(F.lit(True).alias("there"))
+    asked = split_join(met, groups.drop("there"), ["shingle"]).where(F.col("component") < F.col("other"))
+    others = met.select("shingle", *[F.col(c).alias(t) for c, t in (("component", "other"), ("id", "id2"), ("n", "n2"), ("rest", "rest2"))])
+    pairs = (
+        split_join(asked, others, ["shingle", "other"])
+        .where(F.least("rest", "rest2") * (1 + similarity) >= F.lit(similarity) * (F.col("n") + F.col("n2")) - 1e-6)
+        .select(F.least("id", "id2").alias("u"), F.greatest("id", "id2").alias("v"))
+        .distinct()
+    )
+    return _similar(pairs, lines, similarity).where("near").select("u", "v")
+
+
 def _links(lines: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
     bucket = Window.partitionBy("key")
     met = materialize(
@@ -124,7 +165,9 @@ def _links(lines: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
     other = few.select("key", F.col("id").alias("v"))
     pairs = few.join(other, "key").where(F.col("id") < F.col("v")).select(F.col("id").alias("u"), "v").distinct()
     links = _similar(pairs, lines, similarity).where("near").select("u", "v")
-    crowd = materialize(met.where(F.col("n") > pairs_up_to).select("key", "id", F.lit(False).alias("seen")), "crowds")
+    crowd = materialize(met.where(F.col("n") > pairs_up_to).select("key", "id", F.lit(False).alias("seen"), F.lit(False).alias("centre")), "crowds")
+    if not crowd.limit(1).count():
+        return links
     heads_at_once = 1
     while crowd.where(~F.col("seen")).limit(1).count():
         first = Window.partitionBy("key").orderBy("id")
@@ -135,14 +178,22 @@ def _links(lines: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
         near = _similar(pairs, lines, similarity).where("near").select("u", "v")
         links = links.unionByName(near)
         ends = near.select(F.col("u").alias("head"), F.col("v").alias("id")).union(near.select("v", "u"))
-        linked = asked.join(ends, ["head", "id"]).select("key", "id").union(heads.select("key", "head")).distinct()
-        done = linked.withColumn("done", F.lit(True))
+        linked = asked.join(ends, ["head", "id"]).select("key", "id", F.lit(False).alias("now"))
+        linked = linked.union(heads.select("key", F.col("head").alias("id"), F.lit(True)))
+        done = linked.groupBy("key", "id").agg(F.max("now").alias("now"))
         crowd = materialize(
-            crowd.join(done, ["key", "id"], "left").select("key", "id", (F.col("seen") | F.coalesce("done", F.lit(False))).alias("seen")),
+            crowd.join(done, ["key", "id"], "left").select(
+                "key",
+                "id",
+                (F.col("seen") | F.col("now").isNotNull()).alias("seen"),
+                (F.col("centre") | F.coalesce("now", F.lit(False))).alias("centre"),
+            ),
             "crowds",
         )
         heads_at_once = HEADS
-    return links
+    stars = materialize(connected_components(links), "stars-joined")
+    across = _across(crowd.where(~F.col("centre")).select("key", "id"), stars, lines, similarity)
+    return stars.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(across)
 
 
 def kept_lines(docs: DataFrame, *, similarity: float = SIMILARITY, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:

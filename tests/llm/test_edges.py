@@ -254,6 +254,26 @@ def test_lines_in_a_crowd(spark):
     assert got == brute.dedup_lines(texts)
 
 
+def test_lines_in_chains_in_a_crowd(spark, monkeypatch):
+    """Links between two lines that are both linked to a centre, in a bucket
+    of more lines than are compared pairwise: chains of lines that are similar
+    to their neighbours only."""
+    rng = np.random.default_rng(11)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    rows = []
+    for chain in range(60):
+        text = "".join(rng.choice(letters, 160))
+        for step in range(4):  # each drops 10 characters in front and adds 10 at the end
+            rows.append((len(rows), text[step * 10 : step * 10 + 130]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines_of = docs.select(F.xxhash64("text").alias("id"), F.col("text").alias("line"))
+    met = lines_of.select(F.lit(1).cast("long").alias("key"), "id")
+    monkeypatch.setattr(lines, "_bands", lambda _: met)  # one bucket with all lines
+    got = brute.rows_of(lines.dedup_lines(docs), "doc_id")
+    assert got == brute.dedup_lines(rows)
+    assert sum(r[2] for r in got) == 180
+
+
 def test_topk(spark, empty):
     rows = [
         (0, [1.0, 2.0]), (50, [0.5, -1.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, None), (3, [None, 1.0]),
