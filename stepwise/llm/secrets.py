@@ -74,6 +74,8 @@ _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 # A piece of a value: where its literal stands, the text, whether it came through a constant.
 Piece = tuple[int, int, str, bool]
+# A value as it is written: its own pieces, and the values of the constants it uses.
+Value = list["Piece | Value"]
 
 
 def name_score(name: str) -> float:
@@ -114,43 +116,69 @@ def _quoted(text: str, at: int) -> tuple[int, int, int] | None:
         i = end + 1
 
 
-def _expand(text: str, start: int, end: int, known: dict[str, list[Piece]]) -> list[Piece]:
-    """The pieces of a literal; references in it bring theirs."""
+def _refer(text: str, start: int, end: int, known: dict[str, Value]) -> Value:
+    """A literal, and the constants that references in it name."""
     value = text[start:end]
-    pieces = [] if _REF.fullmatch(value) else [(start, end, value, False)]
-    for m in _REF.finditer(value):
-        pieces += [(a, b, v, True) for a, b, v, _ in known.get(m[1], ())]
-    return pieces
+    parts: Value = [] if _REF.fullmatch(value) else [(start, end, value, False)]
+    return parts + [known[m[1]] for m in _REF.finditer(value) if m[1] in known]
+
+
+def _expand(value: Value) -> list[Piece]:
+    """All pieces of a value, each once; every constant is walked once."""
+    pieces: dict[Piece, None] = {}
+    walked = set()
+    stack = [(iter(value), False)]
+    while stack:
+        parts, through = stack[-1]
+        part = next(parts, None)
+        if part is None:
+            stack.pop()
+        elif isinstance(part, tuple):
+            pieces[*part[:3], through] = None
+        elif id(part) not in walked:
+            walked.add(id(part))
+            stack.append((iter(part), True))
+    return list(pieces)
+
+
+def _expression(text: str, i: int, known: dict[str, Value]) -> tuple[Value, int]:
+    """The value that is written at ``i``, and where it ends (``i`` if there is none)."""
+    parts: Value = []
+    at = i
+    while True:
+        if body := _quoted(text, i):
+            parts += _refer(text, body[0], body[1], known)
+            i = body[2]
+        elif bare := _BARE.match(text, i):
+            word = bare[0]
+            if _NAME.match(word) and word in known:
+                parts.append(known[word])
+            else:
+                parts += _refer(text, bare.start(), bare.end(), known)
+            i = bare.end()
+        else:
+            break
+        at = i
+        if not (j := _JOIN.match(text, i)):
+            break
+        i = j.end()
+    return parts, at
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[Piece]]]:
-    """Name and pieces of the value of every assignment, in reading order."""
-    known: dict[str, list[Piece]] = {}
+def _assigned(text: str) -> Iterator[tuple[str, Value]]:
+    """Name and value of every assignment, in reading order."""
+    known: dict[str, Value] = {}
     at = 0
     while m := _HEAD.search(text, at):
-        name, i, pieces = m[2], m.end(), []
-        at = i
-        while True:
-            if body := _quoted(text, i):
-                pieces += _expand(text, body[0], body[1], known)
-                i = body[2]
-            elif bare := _BARE.match(text, i):
-                word = bare[0]
-                if _NAME.match(word) and word in known:
-                    pieces += [(a, b, v, True) for a, b, v, _ in known[word]]
-                else:
-                    pieces += _expand(text, bare.start(), bare.end(), known)
-                i = bare.end()
-            else:
-                break
-            at = i
-            if not (j := _JOIN.match(text, i)):
-                break
-            i = j.end()
-        pieces = list(dict.fromkeys(pieces))
-        # A constant that grows out of itself stays short.
-        known[name] = known[name.rsplit(".", 1)[-1]] = pieces[:64]
-        yield name, pieces
+        value, at = _expression(text, m.end(), known)
+        known[m[2]] = known[m[2].rsplit(".", 1)[-1]] = value
+        yield m[2], value
+
+
+def assignments(text: str) -> Iterator[tuple[str, list[Piece]]]:
+    """Name and pieces of the value of every assignment, in reading order."""
+    for name, value in _assigned(text):
+        yield name, _expand(value)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -170,10 +198,11 @@ def spans(text: str | None) -> list[tuple[str, int, int, str | None, float | Non
         return []
     found: dict[tuple[str, int, int], tuple[str | None, float | None]] = {s: (None, None) for s in base_spans(text)}
     if "=" in text or ":" in text:
-        for name, pieces in assignments(text):
+        for name, value in _assigned(text):
             weight = name_score(name)
             if not weight:
                 continue
+            pieces = _expand(value)
             # A secret cut in pieces is as strong as its pieces together.
             whole = value_score("".join(v for _, _, v, _ in pieces))
             for start, end, value, through in pieces:

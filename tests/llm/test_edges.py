@@ -100,6 +100,19 @@ def test_lexer(text, found):
     assert {(k, text[a:b]) for k, a, b, _, _ in secrets.spans(text)} == found
 
 
+def test_lexer_keeps_every_piece_of_a_constant():
+    parts = "".join(f'k{i} = "p{i:03d}Zx9"\n' for i in range(100))
+    texts = [
+        parts + "whole = " + " + ".join(f"k{i}" for i in range(100)) + "\ndb_password = whole",
+        'v = ""\n' + "".join(f'v = v + "p{i:03d}Zx9"\n' for i in range(100)) + "db_password = v",
+    ]
+    for text in texts:
+        flow = [text[a:b] for k, a, b, _, _ in secrets.spans(text) if k == "flow"]
+        assert flow == [f"p{i:03d}Zx9" for i in range(100)]
+    doubled = 'v0 = "p1Zx9q7Kw2"\n' + "".join(f"v{i + 1} = v{i} + v{i}\n" for i in range(3000)) + "db_password = v3000"
+    assert [doubled[a:b] for k, a, b, _, _ in secrets.spans(doubled) if k == "flow"] == ["p1Zx9q7Kw2"]
+
+
 def test_repeats(spark, docs, empty):
     got = repeats.remove_repeats(docs, block_bytes=1 << 16, hot_runs=2).collect()
     assert len(got) == len(TEXTS)
