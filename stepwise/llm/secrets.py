@@ -6,8 +6,10 @@ Two layers of spans per text (code points, end exclusive):
   value), ``access`` (access key ids) and ``hex`` (long lowercase hex runs);
 * what reading the text as source or configuration adds: the lexer turns
   assignments (``name = expr``, ``"name": expr``, ``name: value``, ``name :=
-  expr``, ``name => expr``) into name-literal pairs. An expression is a chain of
-  literals, names and bare values joined by ``+``, ``.`` or ``..``; constants
+  expr``, ``name => expr``, ``name: type = expr``, ``name type = expr``) into
+  name-literal pairs. An expression is a chain of literals, names and bare
+  values joined by ``+``, ``.`` or ``..``; its first literal may stand on the
+  line after the sign or in parentheses; constants
   are propagated in reading order, through names, ``$NAME`` and ``${NAME}``,
   so a literal is also scored under every name it reaches. Its score is the
   sensitivity of the target name times the strength of the value; a literal
@@ -64,7 +66,23 @@ PLACEHOLDERS = re.compile(
     r"(?i)(change.?me|example|placeholder|dummy|sample|your|todo|none|null|undefined|true|false|x{4,}|\*{3,}|test(ing)?$)"
 )
 
-_HEAD = re.compile(r"""(?<![\w.$-])(["'`]?)([A-Za-z_$][\w.$-]*)\1\]?[ \t]*(?:=>|:=|=(?![=>])|:(?![:/]))[ \t]*""")
+_NAMED = r"""(["'`]?)([A-Za-z_$][\w.$-]*)\1\]?(?:\[\d*\])*"""
+_HEAD = re.compile(rf"""(?<![\w.$-]){_NAMED}[ \t]*(?:=>|:=|=(?![=>])|:(?![:/]))[ \t]*""")
+# A type: a dotted name with what stands before and after it, or several joined by "|".
+_ONE_TYPE = r"""(?:&(?:'\w+[ \t]+)?(?:mut[ \t]+)?|\*|\[\w*\])*+[A-Za-z_]\w*+(?:(?:\.|::)\w++)*+(?:<[^<>=\n]*+(?:<[^<>=\n]*+>[^<>=\n]*+)*+>|\[[^\[\]=\n]*+(?:\[[^\[\]=\n]*+\][^\[\]=\n]*+)*+\]|\(\w*\)|[?!*&])*+"""
+_TYPE = rf"{_ONE_TYPE}(?:[ \t]*\|[ \t]*{_ONE_TYPE})*+"
+#: ``: type =`` behind a name and its colon.
+_TYPED = re.compile(rf"({_TYPE})[ \t]*=(?![=>])[ \t]*")
+_BASIC = r"(?:string|str|bytes?|rune|text|n?(?:var)?char2?)\b"
+#: ``name type =``, by a keyword before it or a basic type; either may be the name (``const string name =``).
+_DECLARED = re.compile(
+    rf"""(?<![\w.$-])(?:(?:var|const|let|val)[ \t]+([A-Za-z_$][\w$]*)[ \t]+({_ONE_TYPE})"""
+    rf"""|([A-Za-z_$][\w$]*)[ \t]+((?:\[\w*\]|\*)*+{_BASIC}(?:\(\w*\))?))[ \t]*=(?![=>])[ \t]*""",
+)
+# What may stand between the sign and a quoted literal, and between quoted literals in parentheses.
+_OPEN = re.compile(r"(?:\s|\\\n|\()*+")
+_KEY_SIGN = re.compile(r"\]?[ \t]*(?::|=)")
+_JOIN_INSIDE = re.compile(r"\s*(?:(?:\+|\.\.?|&)\s*(?=[\"'`A-Za-z_$])|(?=[A-Za-z]{0,2}[\"'`]))")
 _QUOTED = re.compile(r'''[A-Za-z]{0,2}("""|\'\'\'|"|'|`)''')
 _BARE = re.compile(r"""(?:\$\{[^}\s]*\}|[^\s,;#"'`(){}\[\]<>+])+""")
 _NAME = re.compile(r"[A-Za-z_$][\w.$]*\Z")
@@ -144,7 +162,13 @@ def _expand(value: Value) -> list[Piece]:
 def _expression(text: str, i: int, known: dict[str, Value]) -> tuple[Value, int]:
     """The value that is written at ``i``, and where it ends (``i`` if there is none)."""
     parts: Value = []
-    at = i
+    at, join = i, _JOIN
+    opened = _OPEN.match(text, i).end()
+    if opened > i:
+        inside = "(" in text[i:opened]
+        body, bare = _quoted(text, opened), _BARE.match(text, opened)
+        if body and not _KEY_SIGN.match(text, body[2]) or inside and bare and bare[0] in known:
+            i, join = opened, _JOIN_INSIDE if inside else _JOIN
     while True:
         if body := _quoted(text, i):
             parts += _refer(text, body[0], body[1], known)
@@ -159,7 +183,7 @@ def _expression(text: str, i: int, known: dict[str, Value]) -> tuple[Value, int]
         else:
             break
         at = i
-        if not (j := _JOIN.match(text, i)):
+        if not (j := join.match(text, i)):
             break
         i = j.end()
     return parts, at
@@ -169,10 +193,32 @@ def _assigned(text: str) -> Iterator[tuple[str, Value]]:
     """Name and value of every assignment, in reading order."""
     known: dict[str, Value] = {}
     at = 0
-    while m := _HEAD.search(text, at):
-        value, at = _expression(text, m.end(), known)
-        known[m[2]] = known[m[2].rsplit(".", 1)[-1]] = value
-        yield m[2], value
+    declared = _DECLARED.search(text)
+    while True:
+        m = _HEAD.search(text, at)
+        while declared and declared.start() < at:
+            declared = _DECLARED.search(text, at)
+        if not m and not declared:
+            return
+        found: list[tuple[str, Value]] = []
+        if declared and (not m or declared.start() <= m.start()):
+            value, at = _expression(text, declared.end(), known)
+            for name in (declared[1] or declared[3], (declared[2] or declared[4]).lstrip("&*")):
+                found.append((name, value))
+        else:
+            name, at, value = m[2], m.end(), []
+            if text[m.start() : at].rstrip().endswith(":") and (typed := _TYPED.match(text, at)):
+                value, end = _expression(text, typed.end(), known)
+                if value:
+                    if re.search(r"\d", typed[1]):  # may be a value itself
+                        found.append((name, [(*typed.span(1), typed[1], False)]))
+                    at = end
+            if not value:
+                value, at = _expression(text, at, known)
+            found.append((name, value))
+        for name, value in found:
+            known[name] = known[name.rsplit(".", 1)[-1]] = value
+            yield name, value
 
 
 def assignments(text: str) -> Iterator[tuple[str, list[Piece]]]:

@@ -113,6 +113,39 @@ def test_lexer_keeps_every_piece_of_a_constant():
     assert [doubled[a:b] for k, a, b, _, _ in secrets.spans(doubled) if k == "flow"] == ["p1Zx9q7Kw2"]
 
 
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        ('password: str = "hV3kq9ZtR2mB"', "password"),
+        ('password: Optional[str] = "hV3kq9ZtR2mB"', "password"),
+        ('password: str | None = "hV3kq9ZtR2mB"', "password"),
+        ('const dbPassword: string = "hV3kq9ZtR2mB"', "dbPassword"),
+        ('let api_key: &str = "hV3kq9ZtR2mB";', "api_key"),
+        ('static API_KEY: &\'static str = "hV3kq9ZtR2mB";', "API_KEY"),
+        ('var password string = "hV3kq9ZtR2mB"', "password"),
+        ('const string password = "hV3kq9ZtR2mB";', "password"),
+        ('char password[] = "hV3kq9ZtR2mB";', "password"),
+        ('private_key = (\n    "hV3kq9ZtR2mB"\n)', "private_key"),
+        ('private_key =\n    "hV3kq9ZtR2mB"\n', "private_key"),
+        ('{"client_secret":\n  "hV3kq9ZtR2mB"}', "client_secret"),
+        ('password:\n"api_token": "hV3kq9ZtR2mB"', "api_token"),
+    ],
+)
+def test_lexer_on_declarations(text, name):
+    found = [(k, text[a:b], n) for k, a, b, n, _ in secrets.spans(text) if k not in secrets.BASE_KINDS]
+    assert found == [("literal", "hV3kq9ZtR2mB", name)]
+
+
+def test_lexer_on_values_that_look_like_types():
+    text = "password: abc123XYZ9 = other"
+    assert ("literal", "abc123XYZ9") in {(k, text[a:b]) for k, a, b, _, _ in secrets.spans(text)}
+    text = 'part: str = "hV3kq9ZtR2mB"\nprivate_key: Final[str] = (part +\n  "x8Lw2PqN5sYd"\n  "Wc4Jd7RkT1vB")'
+    found = {(k, text[a:b], n) for k, a, b, n, _ in secrets.spans(text)}
+    assert found == {
+        ("flow", "hV3kq9ZtR2mB", "private_key"), ("literal", "x8Lw2PqN5sYd", "private_key"), ("literal", "Wc4Jd7RkT1vB", "private_key")
+    }
+
+
 def test_repeats(spark, docs, empty):
     got = repeats.remove_repeats(docs, block_bytes=1 << 16, hot_runs=2).collect()
     assert len(got) == len(TEXTS)
