@@ -5,7 +5,10 @@ For each row the posterior of a language is the product of
 * its text likelihood: a multinomial model of hashed byte trigrams over the
   whole text, fitted on labelled rows. Overlapping trigrams of one text are
   not independent, so the mean log-likelihood counts as ``n * EVIDENCE / (n +
-  EVIDENCE)`` trigrams: in full for a few words, ever less for more;
+  EVIDENCE)`` trigrams: in full for a few words, ever less for more. Every
+  label that occurs is a language; ``und`` competes with them by a background
+  model (half the mean of the fitted languages, half all trigrams alike), which
+  explains text of none of them better than any one of them does;
 * the declared language (markup ``lang`` attribute, or a metadata column):
   how often a declaration goes with texts of a language, from a grouped count
   of the whole corpus. Declarations that lie count for little;
@@ -13,18 +16,21 @@ For each row the posterior of a language is the product of
   the host, shrunk to those of its address suffix, shrunk to those of the
   corpus, all from the same grouped count.
 
-The counts use the text likelihood's own decision, over all rows. Model size is
-fixed by parameters (``BUCKETS`` x languages) and is the only thing collected
-and broadcast; count tables stay tables and are joined by key, with hot keys
-left to adaptive execution.
+The counts use the text likelihood's own decision, over all rows. The model
+(``BUCKETS`` x languages) is the only thing collected and broadcast; count
+tables stay tables and are joined by key, with hot keys left to adaptive
+execution.
 
 A row is accepted if its text has letters, its language is one of the wanted
 ones and the posterior reaches ``MIN_POSTERIOR``.
 
-Defined results: a null, empty or letterless text has language ``und`` and is
-not accepted, whatever was declared; a null or unknown declaration, host or
-suffix gives no evidence (its level of the prior is passed over); repeated rows
-each get their row; an empty table gives no rows.
+Defined results: labels are language codes of two or three letters, in either
+case, with or without what follows a hyphen or underscore (``EN``, ``en-GB``);
+other labels are not fitted; a null, empty or letterless text has language
+``und`` and is not accepted, whatever was declared; a text that the background
+explains best is ``und``, too, with the posterior of that; a null or unknown
+declaration, host or suffix gives no evidence (its level of the prior is passed
+over); repeated rows each get their row; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,8 +45,12 @@ from pyspark.sql import functions as F
 from stepwise.llm.components import split_join
 from stepwise.llm.scratch import materialize
 
+#: Languages that are accepted.
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
+#: Three-letter codes of these languages, and codes that stand for none.
+ALIASES = {"deu": "de", "ger": "de", "eng": "en", "spa": "es", "fra": "fr", "fre": "fr"}
+NO_LANGUAGE = (UNKNOWN, "mis", "mul", "zxx")
 BUCKETS = 1 << 16
 #: Bound of the fitting sample: about this many labelled rows per language.
 TRAIN_ROWS = 2000
@@ -50,6 +60,8 @@ EVIDENCE = 48.0
 #: level above in a prior.
 SMOOTH, DECLARED_SMOOTH, SHRINK = 0.5, 1.0, 20.0
 MIN_POSTERIOR = 0.5
+#: Share of the fitted languages in the background; the rest is uniform.
+POOLED = 0.5
 # A long text is scored in pieces of about this many bytes.
 PIECE = 1 << 20
 
@@ -78,9 +90,19 @@ def page_columns(pages: DataFrame) -> DataFrame:
     })
 
 
-def _sample(labelled: DataFrame, languages: tuple[str, ...], rows: int) -> DataFrame:
+def _label(label: Column) -> Column:
+    """The language code of a label, or null."""
+    code = F.regexp_extract(F.lower(F.trim(label)), r"^([a-z]{2,3})(?:[-_].*)?$", 1)
+    for other, own in ALIASES.items():
+        code = F.when(code == other, own).otherwise(code)
+    return F.when(~code.isin("", *NO_LANGUAGE), code)
+
+
+def _sample(labelled: DataFrame, languages: tuple[str, ...] | None, rows: int) -> DataFrame:
     """About ``rows`` rows per language: those with the smallest hashes."""
-    known = labelled.where(F.col("label").isin(*languages) & F.col("text").isNotNull())
+    known = labelled.select(_label(F.col("label")).alias("label"), "text").where(F.col("label").isNotNull() & F.col("text").isNotNull())
+    if languages is not None:
+        known = known.where(F.col("label").isin(*languages))
     sizes = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one per language
     draw = F.pmod(F.xxhash64("label", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.lit(1.0)
@@ -89,9 +111,10 @@ def _sample(labelled: DataFrame, languages: tuple[str, ...], rows: int) -> DataF
     return known.where(draw < share)
 
 
-def fit(labelled: DataFrame, *, languages: tuple[str, ...] = LANGUAGES, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
+def fit(labelled: DataFrame, *, languages: tuple[str, ...] | None = None, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """Log-probabilities of the buckets (rows) per language (columns), fitted
-    on ``labelled(text, label)``; languages without labelled rows are left out."""
+    on ``labelled(text, label)``: every language that is a label, or those of
+    ``languages`` that are."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
@@ -120,6 +143,13 @@ def fit(labelled: DataFrame, *, languages: tuple[str, ...] = LANGUAGES, rows: in
     return names, np.log(table / table.sum(axis=0)).astype(np.float32) if names else table.astype(np.float32)
 
 
+def _with_background(names: list[str], table: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The model with ``und`` as one more language."""
+    pooled = np.exp(table.astype(np.float64)).mean(axis=1)
+    background = np.log(POOLED * pooled + (1 - POOLED) / len(table))
+    return [*names, UNKNOWN], np.column_stack((table, background)).astype(np.float32)
+
+
 def _text_evidence(spark, text: Column, table: np.ndarray) -> Column:
     held = spark.sparkContext.broadcast(table)
 
@@ -179,6 +209,8 @@ def identify(
             F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"),
         )
 
+    names, table = _with_background(names, table)
+
     def top(scores: str) -> Column:
         return F.element_at(F.array(*map(F.lit, names)), F.array_position(scores, F.array_max(scores)).cast("int"))
 

@@ -212,6 +212,39 @@ def test_language(spark, docs, empty):
     assert language.keep_identified(empty).count() == 0
 
 
+def _worded(syllables, n, seed, words=40):
+    """Texts of made-up words of the given syllables."""
+    rng = np.random.default_rng(seed)
+    return [" ".join("".join(rng.choice(syllables, int(rng.integers(1, 4)))) for _ in range(words)) for _ in range(n)]
+
+
+SYLLABLES = {
+    "en": ["the", "ing", "wh", "tion", "ough", "ly"], "fr": ["eau", "que", "oi", "ment", "aux", "ç"],
+    "de": ["sch", "ung", "ei", "ich", "pf", "ü"], "es": ["ado", "ción", "ll", "ñ", "os", "ez"], "it": ["zzo", "gli", "ghe", "ssi", "cch", "nno"],
+}
+
+
+def test_language_of_foreign_text(spark):
+    """A label outside the wanted ones is told and filtered; text of no label is ``und``."""
+    odd = {"en": ["en", "EN", " en-GB ", "en_US", "eng", "english", "zxx"], "it": ["it", "IT"]}
+    rows = []
+    for lang, syllables in SYLLABLES.items():
+        for i, text in enumerate(_worded(syllables, 60, ord(lang[0]))):
+            labels = odd.get(lang, [lang])
+            rows.append((len(rows), text, labels[i % len(labels)], "h", lang))
+    foreign = [*_worded(["ый", "ство", "ого", "ет"], 5, 1), *_worded(["szcz", "rzy", "ków", "żd"], 5, 2), "今天早上我们去市场买新鲜水果。" * 3, "kq zvx jqk wvq zzk xqj vkw " * 9]
+    for text in foreign:
+        rows.append((len(rows), text, None, "h", "und"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, truth string")
+    model = language.fit(docs.select("text", F.col("lang").alias("label")))
+    assert model[0] == sorted(SYLLABLES)
+    got = language.identify(docs.select("doc_id", "text", "truth", F.lit(None).cast("string").alias("declared"), F.col("source").alias("host")), model).collect()
+    assert [(r.doc_id, r.language) for r in got if r.language != r.truth] == []
+    assert all(r.accepted == (r.truth in language.LANGUAGES) for r in got)
+    kept = language.keep_identified(docs)
+    assert {r.doc_id for r in kept.collect()} == {r[0] for r in rows if r[4] in language.LANGUAGES}
+
+
 def test_page_columns(spark):
     pages = spark.createDataFrame(
         [("https://u@blog.example.fr:80/x?y", '<!DOCTYPE html><HTML class="a" LANG=\'fr-CA\'><script>var a="<p>";</script><p>Bon&amp;jour</p>'), (None, None)],
