@@ -52,7 +52,7 @@ UNKNOWN = "und"
 ALIASES = {"deu": "de", "ger": "de", "eng": "en", "spa": "es", "fra": "fr", "fre": "fr"}
 NO_LANGUAGE = (UNKNOWN, "mis", "mul", "zxx")
 BUCKETS = 1 << 16
-#: Bound of the fitting sample: about this many labelled rows per language.
+#: Bound of the fitting sample: about this many distinct labelled texts per language.
 TRAIN_ROWS = 2000
 #: A text never counts for more than this many independent trigrams.
 EVIDENCE = 48.0
@@ -99,16 +99,18 @@ def _label(label: Column) -> Column:
 
 
 def _sample(labelled: DataFrame, languages: tuple[str, ...] | None, rows: int) -> DataFrame:
-    """About ``rows`` rows per language: those with the smallest hashes."""
+    """About ``rows`` distinct texts per language: those with the smallest hashes."""
     known = labelled.select(_label(F.col("label")).alias("label"), "text").where(F.col("label").isNotNull() & F.col("text").isNotNull())
     if languages is not None:
         known = known.where(F.col("label").isin(*languages))
-    sizes = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one per language
-    draw = F.pmod(F.xxhash64("label", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    known = known.withColumn("hash", F.xxhash64("label", "text"))
+    distinct = known.groupBy("label", "hash").agg(F.lit(1).alias("one"))
+    sizes = {r.label: r.n for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one per language
+    draw = F.pmod("hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.lit(1.0)
     for label, n in sizes.items():
         share = F.when(F.col("label") == label, F.lit(rows / n)).otherwise(share)
-    return known.where(draw < share)
+    return known.where(draw < share).groupBy("label", "hash").agg(F.first("text").alias("text"))
 
 
 def fit(labelled: DataFrame, *, languages: tuple[str, ...] | None = None, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:

@@ -245,6 +245,15 @@ def test_language_of_foreign_text(spark):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in rows if r[4] in language.LANGUAGES}
 
 
+def test_language_sample_is_of_distinct_texts(spark):
+    """Copies of a text count once, so none fills the sample."""
+    labels = [a + b for a in "abcde" for b in "abcdef"]
+    rows = [(label, f"text {i} of {label}") for label in labels for i in [*range(50), *[50] * 50]]
+    drawn = language._sample(spark.createDataFrame(rows, "label string, text string"), None, 25).collect()
+    by_label = {label: [r.text for r in drawn if r.label == label] for label in labels}
+    assert all(len(t) == len(set(t)) and 5 < len(t) < 45 for t in by_label.values())
+
+
 def test_page_columns(spark):
     pages = spark.createDataFrame(
         [("https://u@blog.example.fr:80/x?y", '<!DOCTYPE html><HTML class="a" LANG=\'fr-CA\'><script>var a="<p>";</script><p>Bon&amp;jour</p>'), (None, None)],
