@@ -20,9 +20,11 @@ lost.
 
 What meets on a variant is at distance ``2 h`` outside the block left out. So
 fingerprints of equal block bits are certainly linked and are chained to the
-smallest of them; only these first ones (at most one for each value of the
-16 bits) are compared with each other, and a pair is kept if its distance,
-counted over all 64 bits, is within the radius. Copies never meet: distinct
+smallest of them; these first ones (at most one for each value of the 16 bits)
+are compared with each other, and so are those whose bits outside the block are
+the key itself (a pair that differs in the block only meets as these), one for
+each value of the 16 bits, too. A pair is kept if its distance, counted over
+all 64 bits, is within the radius. Copies never meet: distinct
 fingerprints are searched, and a document is mapped to the component of its
 fingerprint.
 """
@@ -136,26 +138,33 @@ def _pairs(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np
     if not len(key):
         return fp, fp
     block = np.zeros(len(fp), np.uint64)
+    whole = np.zeros(len(fp), bool)
     if radius % 2:
         width = BITS // BLOCKS
-        at = (key.view(np.uint64) >> np.uint64(BITS - width)) * np.uint64(width)
-        block = (fp.view(np.uint64) >> at) & np.uint64((1 << width) - 1)
+        j = key.view(np.uint64) >> np.uint64(BITS - width)
+        at, bits = j * np.uint64(width), fp.view(np.uint64)
+        block = (bits >> at) & np.uint64((1 << width) - 1)
+        # The cut of the fingerprint itself, as in _variants.
+        high = np.where(j + np.uint64(1) < BLOCKS, bits >> np.minimum(at + np.uint64(width), np.uint64(BITS - 1)), np.uint64(0))
+        cut = (bits & ((np.uint64(1) << at) - np.uint64(1))) | (high << at) | (j << np.uint64(BITS - width))
+        whole = cut == key.view(np.uint64)
     order = np.lexsort((fp, block, key))
-    key, fp, block = key[order], fp[order], block[order]
+    key, fp, block, whole = key[order], fp[order], block[order], whole[order]
     first = np.concatenate(([True], (key[1:] != key[:-1]) | (block[1:] != block[:-1])))
     head = fp[np.flatnonzero(first)][np.cumsum(first) - 1]
     us, vs = [fp[~first]], [head[~first]]
-    key, fp = key[first], fp[first]
-    lag = 1
-    while lag < len(key):
-        at = np.flatnonzero(key[lag:] == key[:-lag])
-        if not len(at):
-            break
-        u, v = fp[at + lag], fp[at]
-        near = np.bitwise_count(u.view(np.uint64) ^ v.view(np.uint64)) <= radius
-        us.append(u[near])
-        vs.append(v[near])
-        lag += 1
+    for some in (first, whole):
+        keys, fps = key[some], fp[some]
+        lag = 1
+        while lag < len(keys):
+            at = np.flatnonzero(keys[lag:] == keys[:-lag])
+            if not len(at):
+                break
+            u, v = fps[at + lag], fps[at]
+            near = np.bitwise_count(u.view(np.uint64) ^ v.view(np.uint64)) <= radius
+            us.append(u[near])
+            vs.append(v[near])
+            lag += 1
     return np.concatenate(us), np.concatenate(vs)
 
 

@@ -289,6 +289,17 @@ def test_simhash_links_are_all_found():
         ])
 
 
+def test_simhash_links_inside_a_block_are_found():
+    """``u`` and ``u ^ 7`` among smaller neighbours of ``u`` that hide it under every key."""
+    u = (1 << 63) - (1 << 16)
+    prints = {u, u ^ 7, u ^ 1 << 16}
+    for a in range(16, 64, 2):
+        x = u ^ 3 << a
+        prints.add(x - (1 << 64) if x >> 63 else x)
+    prints = np.array(sorted(prints), np.int64)
+    assert len(set(_closure(prints, _meet(prints, 3)).values())) == 1
+
+
 def _meet(prints, radius):
     """The variants of ``_variants``, built in Python."""
     from itertools import combinations
