@@ -157,10 +157,10 @@ def _across(rim: DataFrame, links: DataFrame, lines: DataFrame, similarity: floa
 
 
 def _links(lines: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
-    bucket = Window.partitionBy("key")
-    met = materialize(
-        _bands(lines).withColumn("n", F.count(F.lit(1)).over(bucket)).where(F.col("n") > 1), "buckets"
-    )
+    # Counted by partial aggregation and joined back, so that a hot bucket can be split.
+    bands = materialize(_bands(lines), "bands")
+    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    met = materialize(split_join(bands, sizes, ["key"]), "buckets")
     few = met.where(F.col("n") <= pairs_up_to).select("key", "id")
     other = few.select("key", F.col("id").alias("v"))
     pairs = few.join(other, "key").where(F.col("id") < F.col("v")).select(F.col("id").alias("u"), "v").distinct()

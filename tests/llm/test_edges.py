@@ -373,6 +373,21 @@ def test_lines_in_chains_in_a_crowd(spark, monkeypatch):
     assert sum(r[2] for r in got) == 180
 
 
+def test_lines_buckets_are_not_one_task(spark, monkeypatch):
+    """Bucket sizes by partial aggregation; first lines are cut per task before they meet."""
+    plans, original = {}, lines.materialize
+
+    def seen(df, tag):
+        plans.setdefault(tag, df._jdf.queryExecution().sparkPlan().toString())
+        return original(df, tag)
+
+    monkeypatch.setattr(lines, "materialize", seen)
+    rows = [(i, f"a line that many documents hold with a small change {i}") for i in range(6)]
+    lines._links(spark.createDataFrame(rows, "id long, line string"), 0.8, 2)
+    assert "Window" not in plans["buckets"]
+    assert "WindowGroupLimit" in plans["heads"]
+
+
 def test_topk(spark, empty):
     rows = [
         (0, [1.0, 2.0]), (50, [0.5, -1.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, None), (3, [None, 1.0]),
