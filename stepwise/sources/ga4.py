@@ -2,15 +2,16 @@
 
 The raw export is one shard per day. On Spark that is a parquet table
 partitioned by the ``event_date`` string directory; an inclusive string range
-on it becomes a PartitionFilter. With a window, only the folders of its days
-are handed to the reader (a look-up per day), so a table of many years is
-never listed. String comparison matters: suffixes such as ``intraday_...``
-sort outside a numeric-looking window, as they do in the source warehouse.
+on it becomes a PartitionFilter. With a window, only the folders whose names
+lie in its string range are handed to the reader (their names are listed, one
+level and no files), so the files of the other days are never listed. String
+comparison matters: ``20201115_fresh`` lies inside a window of such days, while
+``intraday_...`` sorts outside it, as they do in the source warehouse.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,22 +48,22 @@ def read_raw_events(
     reader = spark.read.schema(EVENT_SCHEMA).option("basePath", path)
     if window is None:
         return reader.parquet(path)
-    there = _existing(spark, [f"{path.rstrip('/')}/event_date={d}" for d in _days(window)])
+    there = _shards(spark, path, window)
     if not there:
         return spark.createDataFrame([], EVENT_SCHEMA)
     return apply_window(reader.parquet(*there), window)
 
 
-def _days(window: tuple[str, str]) -> list[str]:
-    first, last = (dt.datetime.strptime(d, "%Y%m%d").date() for d in window)
-    return [(first + dt.timedelta(n)).strftime("%Y%m%d") for n in range((last - first).days + 1)]
-
-
-def _existing(spark: SparkSession, folders: list[str]) -> list[str]:
-    """The folders that exist: one look-up each, no listing."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    paths = [jvm.org.apache.hadoop.fs.Path(f) for f in folders]
-    return [f for f, p in zip(folders, paths) if p.getFileSystem(conf).exists(p)]
+def _shards(spark: SparkSession, path: str, window: tuple[str, str]) -> list[str]:
+    """The ``event_date=`` folders of ``path`` inside the window; one listing of its first level."""
+    lo, hi = window
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    names = (s.getPath().getName() for s in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root) if s.isDirectory())
+    prefix = "event_date="
+    # Names are escaped as Spark writes them.
+    inside = (n for n in names if n.startswith(prefix) and lo <= unquote(n[len(prefix) :]) <= hi)
+    return [f"{path.rstrip('/')}/{n}" for n in sorted(inside)]
 
 
 def write_raw_events(raw: DataFrame, path: str) -> None:

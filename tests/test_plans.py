@@ -5,9 +5,11 @@ while a layer is built, and one raw pass per source for the marts."""
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from stepwise.plans.catalog import Marts
 from stepwise.sources.ga4 import read_raw_events, write_raw_events
+from stepwise.sources.schema import EVENT_SCHEMA
 from tests.conftest import SMOKE_DIR
 from tests.rawrows import event, raw_df
 
@@ -105,3 +107,14 @@ def test_baseline_is_a_scalar_subquery_not_a_join(spark, smoke_marts):
     p = plan(smoke_marts.revenue_leakage)
     assert "Subquery" in p
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_sharded_window_is_a_string_range(spark, tmp_path):
+    path = str(tmp_path / "events")
+    raw = spark.createDataFrame([], EVENT_SCHEMA)
+    days = ["20201114", "20201115_fresh", "20201131", "20210131_fresh", "intraday_20201115"]
+    for day in days:
+        one = spark.range(1).select(*[F.lit(day if f.name == "event_date" else None).cast(f.dataType).alias(f.name) for f in raw.schema])
+        one.write.mode("append").partitionBy("event_date").parquet(path)
+    got = read_raw_events(spark, path, ("20201101", "20210131")).select("event_date").collect()
+    assert sorted(r.event_date for r in got) == days[:3]
