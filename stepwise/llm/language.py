@@ -35,6 +35,7 @@ over); repeated rows each get their row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import html
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,39 +79,54 @@ def _trigrams(text: str | None) -> Iterator[np.ndarray]:
         yield (code[b[1:-1] != 32] * np.uint32(2654435761)) >> np.uint32(16)
 
 
+def _entities(text: Column) -> Column:
+    """Character references (``&eacute;``, ``&#233;``) as the characters they stand for."""
+
+    @F.pandas_udf("string")
+    def each(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: html.unescape(t) if t and "&" in t else t)
+
+    return each(text)
+
+
 def page_columns(pages: DataFrame) -> DataFrame:
     """``pages(url, html)`` with ``text``, ``declared``, ``host``: markup
-    stripped, the ``lang`` attribute of the root element, the host."""
-    html = F.coalesce("html", F.lit(""))
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", " ")
+    stripped, the ``lang`` attribute of the root element, the host. A comment,
+    script or style that is never closed goes on to the end of the page, as in
+    a browser, so no opener is searched for twice."""
+    page = F.coalesce("html", F.lit(""))
+    bare = F.regexp_replace(page, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>", " ")
     return pages.withColumns({
-        "text": bare,
-        "declared": F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1),
+        "text": _entities(bare),
+        "declared": F.regexp_extract(page, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1),
         "host": F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1),
     })
 
 
 def _label(label: Column) -> Column:
-    """The language code of a label, or null."""
+    """An array of the language code of a label, empty if it is none. The code
+    is a lambda's variable, so the pattern occurs once however often it is used."""
     code = F.regexp_extract(F.lower(F.trim(label)), r"^([a-z]{2,3})(?:[-_].*)?$", 1)
-    for other, own in ALIASES.items():
-        code = F.when(code == other, own).otherwise(code)
-    return F.when(~code.isin("", *NO_LANGUAGE), code)
+    own = F.create_map(*[F.lit(x) for pair in ALIASES.items() for x in pair])
+    named = F.transform(F.array(code), lambda c: F.coalesce(F.try_element_at(own, c), c))
+    return F.filter(named, lambda c: ~c.isin("", *NO_LANGUAGE))
 
 
 def _sample(labelled: DataFrame, languages: tuple[str, ...] | None, rows: int) -> DataFrame:
     """About ``rows`` distinct texts per language: those with the smallest hashes."""
-    known = labelled.select(_label(F.col("label")).alias("label"), "text").where(F.col("label").isNotNull() & F.col("text").isNotNull())
+    # A generator, because filters on its output are not copied below it.
+    known = labelled.select(F.explode_outer(_label(F.col("label"))).alias("label"), "text")
+    known = known.where(F.col("label").isNotNull() & F.col("text").isNotNull())
     if languages is not None:
         known = known.where(F.col("label").isin(*languages))
     known = known.withColumn("hash", F.xxhash64("label", "text"))
-    distinct = known.groupBy("label", "hash").agg(F.lit(1).alias("one"))
-    sizes = {r.label: r.n for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one per language
+    distinct = materialize(known.groupBy("label", "hash").agg(F.lit(1).alias("one")), "labelled-texts")
+    # Codes of two or three letters: 18,252 rows at most.
+    shares = F.broadcast(distinct.groupBy("label").agg((F.lit(float(rows)) / F.count(F.lit(1))).alias("share")))
     draw = F.pmod("hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.lit(1.0)
-    for label, n in sizes.items():
-        share = F.when(F.col("label") == label, F.lit(rows / n)).otherwise(share)
-    return known.where(draw < share).groupBy("label", "hash").agg(F.first("text").alias("text"))
+    drawn = distinct.join(shares, "label").where(draw < F.col("share")).select("label", "hash")
+    # Drawn texts are few: at most about ``rows`` for each of the codes that occur.
+    return known.join(materialize(drawn, "drawn"), ["label", "hash"]).groupBy("label", "hash").agg(F.first("text").alias("text"))
 
 
 def fit(labelled: DataFrame, *, languages: tuple[str, ...] | None = None, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
