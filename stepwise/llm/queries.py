@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stepwise.llm import statements
+from stepwise.llm.bpe import decode_blocks, encode_blocks
 from stepwise.llm.decontam import contamination
+from stepwise.llm.divergence import divergence
 from stepwise.llm.language import fit, identify, page_columns
 from stepwise.llm.lines import dedup_lines
 from stepwise.llm.mixing import mix
+from stepwise.llm.periodic import longest, periodic_runs
 from stepwise.llm.pii import pseudonymized
 from stepwise.llm.repeats import remove_repeats
 from stepwise.llm.scratch import read_table
@@ -95,6 +99,56 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language of ``documents`` lie apart."""
+    return divergence(read_table(spark, sf_dir, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of ``documents`` by the merge ranks, and the bytes they stand for."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    blocks = encode_blocks(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    spelt = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decode_blocks(blocks, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(spelt.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` with every tenth text (by a checksum of the id) continued from
+    some word on by repeats of a stretch of its own words."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    parts = docs.withColumns({"_words": F.when(h % 10 == 0, words), "_g": F.floor(h / 10)}).withColumn("_n", F.size("_words"))
+    turned = F.expr(
+        """array_join(transform(_words, (w, i) -> if(
+            i >= _g % _n, _words[cast(_g % _n + (i - _g % _n) % (1 + (_n - _g % _n) div (3 + _g % 8)) as int)], w)), ' ')"""
+    )
+    return parts.select("doc_id", F.when(F.col("_n") > 0, turned).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of ``documents``, and the texts without repeats."""
+    found = periodic_runs(with_periods(read_table(spark, sf_dir, "documents"))).withColumn("top", longest("runs"))
+    listed_runs = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(listed_runs, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_output": op1_token_output,
@@ -107,8 +161,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_topk_search": op8_topk_search,
         "op9_pii_pseudonyms": op9_pii_pseudonyms,
         "op10_decontamination": op10_decontamination,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_byte_bpe": op12_byte_bpe,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_topk_search": statements.OP8,
+        "op10_decontamination": statements.OP10,
+        "op11_source_divergence": statements.OP11,
+    }

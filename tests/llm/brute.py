@@ -155,3 +155,76 @@ def dedup_lines(docs, size=8, similarity=0.8):
         stay = [x for i, x in enumerate(lines) if not x.strip() or (doc_id, i) in keep]
         out.append((doc_id, len(lines), len(lines) - len(stay), "\n".join(stay)))
     return out
+
+
+def periodic(words, shortest=12):
+    """All runs (start, length, period), from the matches at every distance."""
+    w = np.unique(np.array(words, dtype=object), return_inverse=True)[1] if words else np.zeros(0, int)
+    smallest = {}
+    for q in range(1, len(w) // 2 + 1):
+        same = np.concatenate(([0], (w[:-q] == w[q:]).astype(int), [0]))
+        edge = np.diff(same)
+        for s, e in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+            if e + q - s >= max(shortest, 2 * q):
+                smallest.setdefault((s, e + q), q)
+    return sorted((s, e - s, q) for (s, e), q in smallest.items())
+
+
+def planted(doc_id, words):
+    """The words that ``op13`` is asked about."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [x if i < a else words[a + (i - a) % p] for i, x in enumerate(words)]
+
+
+def periodic_runs(docs):
+    out = []
+    for doc_id, text in sorted(docs):
+        words = planted(doc_id, SPACE.findall(text or ""))
+        runs = periodic(words)
+        gone = set()
+        for s, n, q in runs:
+            gone.update(range(s + q, s + n))
+        best = max(runs, key=lambda r: (r[1], -r[0], -r[2])) if runs else None
+        top = (best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4
+        listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        kept = " ".join(x for i, x in enumerate(words) if i not in gone)
+        out.append((doc_id, len(runs), *top, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest(), len(words)))
+    return out
+
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(rows, min_docs=30, top=50):
+    """rows: [(text, lang, source)]."""
+    docs_of, own, groups = {}, {}, {}
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        words = TERM.findall((text or "").translate(LOWER))
+        groups.setdefault(lang, set()).add(source)
+        for w in set(words):
+            docs_of[lang, w] = docs_of.get((lang, w), 0) + 1
+        for w in words:
+            own[lang, source, w] = own.get((lang, source, w), 0) + 1
+    out = []
+    for lang, sources in groups.items():
+        kept = [w for (x, w), n in docs_of.items() if x == lang and n >= min_docs]
+
+        def shares(counts):
+            total = sum(counts)
+            return [1 + 10**9 * (c + 5) // (total + 5 * len(kept)) for c in counts]
+
+        count = {s: [own.get((lang, s, w), 0) for w in kept] for s in sources}
+        p = {s: shares(c) for s, c in count.items()}
+        whole = shares([sum(c) for c in zip(*count.values())])
+        for s in sources:
+            far = [(-sum(abs(a - b) for a, b in zip(p[s], p[t])), t.encode(), t) for t in sources if t != s]
+            out += [(lang, s, "pair", t, -v, i) for i, (v, _, t) in enumerate(sorted(far), 1)]
+            over = [(b - a, w.encode(), w) for a, b, c, w in zip(p[s], whole, count[s], kept) if c and a > b]
+            out += [(lang, s, "term", w, -v, i) for i, (v, _, w) in enumerate(sorted(over)[:top], 1)]
+    return sorted(out)

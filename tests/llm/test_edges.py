@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stepwise.llm import language, lines, mixing, pii, repeats, secrets, simhash, tokens, topk
+from stepwise.llm import bpe, divergence, language, lines, mixing, periodic, pii, repeats, secrets, simhash, tokens, topk
 from stepwise.llm import decontam
 from tests.llm import brute
 
@@ -455,3 +455,126 @@ def test_contamination(spark, docs, empty):
     assert kept.count() == sum(not r.contaminated for r in got)
     assert decontam.contamination(empty, items).count() == 0
     assert decontam.drop_contaminated(docs, items.limit(0)).count() == len(TEXTS)
+
+
+def test_divergence(spark, docs, empty):
+    rows = [(t, lang, s) for _, t, lang, s in TEXTS]
+    got = sorted(map(tuple, divergence.divergence(docs, min_docs=1).collect()))
+    assert got == brute.divergence(rows, min_docs=1)
+    assert any(r[1] == "" for r in got)  # a null source
+    # No kept term: distances of 0, no terms.
+    got = divergence.divergence(docs, min_docs=100).collect()
+    assert {r.part for r in got} == {"pair"} and not any(r.value for r in got)
+    assert divergence.divergence(empty).count() == 0
+
+
+def test_divergence_over_blocks_and_chunks(spark, monkeypatch):
+    rows = [(" ".join(f"w{chr(97 + i * j % 26)}{chr(97 + j % 7)}" for j in range(40)), "en", f"s{i:02d}") for i in range(23)]
+    monkeypatch.setattr(divergence, "BLOCK_SOURCES", 4)
+    monkeypatch.setattr(divergence, "CHUNK_TERMS", 3)
+    monkeypatch.setattr(divergence, "HELD_BYTES", 1000)
+    got = divergence.divergence(spark.createDataFrame(rows, "text string, lang string, source string"), min_docs=2)
+    assert sorted(map(tuple, got.collect())) == brute.divergence(rows, min_docs=2)
+
+
+def _bpe():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def test_bpe(spark, docs, empty):
+    import tiktoken
+
+    path, pattern = _bpe()
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.ranks(path), special_tokens={})
+    got = bpe.decode_blocks(bpe.encode_blocks(docs, path, pattern), path).collect()
+    order = lambda r: (-1 if r[0] is None else r[0], r[2])
+    want = [(d, own.encode_ordinary(t or ""), (t or "").encode()) for d, t, _, _ in TEXTS]
+    assert sorted(((r.doc_id, list(r.ids), bytes(r.decoded)) for r in got), key=order) == sorted(want, key=order)
+    assert bpe.encode(empty, path, pattern).count() == 0
+
+
+def test_bpe_words_are_cut_as_the_library_cuts(spark, monkeypatch):
+    import tiktoken
+
+    path, pattern = _bpe()
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.ranks(path), special_tokens={})
+    texts = ["a  b", " a b", "a \n b", "a\n\n\nb", "a\tb  c\r\n d ", "\x1ca \x1c\x1d b", "a　 b", "it's we'LL 12,3", "x\u0085​ y", "<|endoftext|>", "日本語" * 2000, " " * 3000 + "x", "ab" * 5000]
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 50)
+    monkeypatch.setattr(bpe, "SLICE", 7)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = bpe.encode_blocks(docs, path, pattern)
+    assert got.count() > 5
+    got = {r.doc_id: r for r in bpe.decode_blocks(got, path).collect()}
+    for i, text in enumerate(texts):
+        assert list(got[i].ids) == own.encode_ordinary(text) and bytes(got[i].decoded).decode() == text
+
+
+def test_bpe_decode(spark):
+    path, _ = _bpe()
+    rows = [(1, [5, 5, 6]), (2, None), (3, []), (None, [7])]
+    by_id = {i: b for b, i in bpe.ranks(path).items()}
+    got = {r.doc_id: bytes(r.decoded) for r in bpe.decode(spark.createDataFrame(rows, "doc_id long, ids array<int>"), path).collect()}
+    assert got == {d: b"".join(by_id[i] for i in ids or []) for d, ids in rows}
+    with pytest.raises(Exception, match="beyond the vocabulary"):
+        bpe.decode(spark.createDataFrame([(1, [10**6])], "doc_id long, ids array<int>"), path).collect()
+
+
+def test_periods(spark, docs, empty):
+    got = periodic.periodic_runs(docs).collect()
+    assert len(got) == len(TEXTS)
+    assert all(r.runs == [] for r in got if r.doc_id != 5 and r.doc_id != 8)
+    assert sorted(r.n_words for r in got) == sorted(len((t or "").encode().split()) for _, t, _, _ in TEXTS)
+    by_words = {tuple((t or "").split(" ")): d for d, t, _, _ in TEXTS}
+    assert by_words
+    for r in got:
+        if r.doc_id == 8:  # four words, thirty times
+            assert [(x.start, x.length, x.period) for x in r.runs] == brute.periodic(TEXTS[-1][1].encode().split())
+            assert bytes(r.kept).decode() == " ".join(TEXTS[-1][1].split()[: r.runs[0].period])
+    assert periodic.periodic_runs(empty).count() == 0
+
+
+def test_periods_of_texts_of_few_words():
+    import random
+
+    pick = random.Random(7)
+    for _ in range(1500):
+        size, kinds = pick.randrange(0, 80), pick.choice([1, 2, 2, 3, 5, 12])
+        words = [str(pick.randrange(kinds)).encode() for _ in range(size)]
+        for _ in range(pick.randrange(0, 4) if size > 3 else 0):
+            at, q = pick.randrange(size), pick.randrange(1, max(2, size // 3))
+            words[at:at] = (words[at : at + q] * 6)[: pick.randrange(1, 60)]
+        assert [(s, e - s, q) for s, e, q in periodic.runs(words)] == brute.periodic(words)
+
+
+@pytest.mark.parametrize("shape", ["one word", "blocks", "two words", "fibonacci", "squares"])
+def test_periods_of_long_texts(shape):
+    fib = [b"0"], [b"0", b"1"]
+    while len(fib[1]) < 3000:
+        fib = fib[1], fib[1] + fib[0]
+    words = {
+        "one word": [b"a"] * 4000,
+        "blocks": ([b"a"] * 50 + [b"b"]) * 60,
+        "two words": [b"x" if i * i % 7 & 1 else b"y" for i in range(3000)],
+        "fibonacci": fib[1],
+        "squares": [str(i * i % 101).encode() for i in range(3000)],
+    }[shape]
+    found = periodic.runs(words)
+    assert [(s, e - s, q) for s, e, q in found] == brute.periodic(words)
+    gone = set()
+    for s, e, q in found:
+        gone.update(range(s + q, e))
+    assert periodic.collapse(words, found) == [w for i, w in enumerate(words) if i not in gone]
+
+
+def test_re_pair_derives_its_text():
+    words = [i * i % 11 for i in range(500)] + [1, 1, 1, 1, 1, 2, 1, 1]
+    left, rules = periodic.re_pair(words, 11)
+
+    def derived(symbol):
+        return [symbol] if symbol < 11 else [x for part in rules[symbol - 11] for x in derived(part)]
+
+    assert [x for s in left for x in derived(s)] == words
+    pairs = list(zip(left, left[1:]))
+    assert len(set(pairs)) >= len(pairs) - 1  # a a a is one pair twice, overlapping

@@ -116,3 +116,50 @@ def test_op7_lines(spark, docs):
     want = brute.dedup_lines(docs)
     assert sum(r[2] for r in want) > 0
     assert got == want
+
+
+def test_op11_divergence(spark):
+    rows = [(r.text, r.lang, r.source) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    got = sorted(map(tuple, Q.op11_source_divergence(spark, "/root/testdata/sf0.01").collect()))
+    want = brute.divergence(rows)
+    assert got == want
+    assert {r[2] for r in want} == {"pair", "term"} and any(r[4] for r in want if r[2] == "pair")
+
+
+def test_op12_bpe(spark, docs):
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+
+    from stepwise.llm.bpe import ranks
+
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    got = brute.rows_of(Q.op12_byte_bpe(spark, SF), "doc_id")
+    want = []
+    for doc_id, text in sorted(docs):
+        ids = own.encode_ordinary(text or "")
+        listed = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        want.append((doc_id, len(ids), listed, hashlib.sha256((text or "").encode()).hexdigest()))
+    assert got == want
+
+
+def test_op13_periods(spark, docs):
+    got = brute.rows_of(Q.op13_periodic_runs(spark, SF), "doc_id")
+    want = brute.periodic_runs(docs)
+    assert got == want
+    assert sum(r[1] for r in want) > 20
+
+
+@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
+def test_statements(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    got = Q.queries()[name](spark, SF)
+    want = con.execute(Q.oracle_sql()[name])
+    columns = [c[0] for c in want.description]
+    assert sorted(columns) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want.fetchall())
