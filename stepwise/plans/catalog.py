@@ -329,7 +329,6 @@ SHARED: dict[str, dict] = {
     "channel_device_performance": {"events": True},
     "revenue_leakage": {"events": True},
     "friction_score": {"events": True},
-    "category_session_funnel": {"events": False, "items": True},
     "category_performance": {"events": False, "items": True},
     "data_quality_checks": {"events": True, "items": True},
 }

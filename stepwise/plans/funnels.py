@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepwise.functions.columns import flag, funnel_status
-from stepwise.operators.funnel import ordered_funnel, step_time_column
+from stepwise.operators.funnel import step_time_column
+from stepwise.operators.transitions import transition_funnel
 
 # Event names of the two funnels, in step order.
 MAIN_STEPS = ["view_item", "add_to_cart", "begin_checkout", "purchase"]
@@ -40,7 +41,7 @@ def _main_outputs(df: DataFrame, id_cols: list[str]) -> DataFrame:
 
 def user_funnel_steps(stg_events: DataFrame) -> DataFrame:
     """One row per user with at least one product view."""
-    f = ordered_funnel(stg_events, ["user_pseudo_id"], MAIN_STEPS)
+    f = transition_funnel(stg_events, ["user_pseudo_id"], MAIN_STEPS)
     return _main_outputs(f, ["user_pseudo_id"])
 
 
@@ -52,13 +53,13 @@ SESSION = ["session_key", "user_pseudo_id"]
 def session_funnel_steps(stg_events: DataFrame) -> DataFrame:
     """One row per session with at least one product view; every step must
     happen inside the same session."""
-    return _main_outputs(ordered_funnel(stg_events, SESSION, MAIN_STEPS), SESSION)
+    return _main_outputs(transition_funnel(stg_events, SESSION, MAIN_STEPS), SESSION)
 
 
 def checkout_funnel_steps(stg_events: DataFrame) -> DataFrame:
     """One row per session that began checkout (any such session, not only
     those that viewed an item first)."""
-    f = ordered_funnel(stg_events, SESSION, CHECKOUT_STEPS)
+    f = transition_funnel(stg_events, SESSION, CHECKOUT_STEPS)
     times = [F.col(step_time_column(s)) for s in CHECKOUT_STEPS]
     return f.select(
         "session_key",
@@ -72,7 +73,7 @@ def checkout_funnel_steps(stg_events: DataFrame) -> DataFrame:
 def category_session_funnel(stg_items: DataFrame) -> DataFrame:
     """One row per (session, cleaned category) with a product view of that
     category; later steps must involve an item of the same category."""
-    f = ordered_funnel(stg_items, [*SESSION, "cleaned_item_category"], MAIN_STEPS)
+    f = transition_funnel(stg_items, [*SESSION, "cleaned_item_category"], MAIN_STEPS)
     t = [F.col(step_time_column(s)) for s in MAIN_STEPS]
     return f.select(
         "session_key",
