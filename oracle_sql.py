@@ -617,6 +617,62 @@ category_performance("scaled_category_performance", SCALED_VOLUME)
 
 
 RELATIONS["export_marts"] = RELATIONS["category_performance"]
+RELATIONS["view_friction_score"] = RELATIONS["friction_score"]
+RELATIONS["view_data_quality_checks"] = RELATIONS["data_quality_checks"]
+relation(
+    "reloaded_days",
+    """
+    SELECT event_date, count(*) AS event_count, len(list_distinct(list(user_pseudo_id))) AS users,
+      len(list_distinct(list(session_key))) AS sessions, count(*) FILTER (event_name = 'purchase') AS purchase_events,
+      sum(purchase_revenue::DECIMAL(38,10))::DOUBLE AS purchase_revenue
+    FROM stg_events GROUP BY ALL
+    """,
+    "stg_events",
+)
+
+# ------------------------------------------------------------- exports -----
+#: The header line and the order of each exported file.
+_FUNNEL = "funnel_type unit_type step_order"
+_MOVE = f"{_FUNNEL} previous_funnel_step current_funnel_step funnel_transition previous_step_count reached_count dropoff_count dropoff_rate step_conversion_rate overall_conversion_rate"
+_SHARES = "view_to_cart_rate cart_to_checkout_rate checkout_to_purchase_rate view_to_purchase_rate view_to_cart_dropoff_count cart_to_checkout_dropoff_count checkout_to_purchase_dropoff_count view_to_cart_dropoff_rate cart_to_checkout_dropoff_rate checkout_to_purchase_dropoff_rate"
+EXPORTS = {
+    "funnel_summary": (
+        f"{_FUNNEL} funnel_step reached_count previous_step_count step_conversion_rate overall_conversion_rate dropoff_count dropoff_rate",
+        "funnel_type, step_order",
+    ),
+    "channel_device_performance": (
+        f"traffic_channel device_category sessions_entered_funnel unique_users {' '.join(SUMS)} {_SHARES} is_high_volume_segment",
+        "sessions_entered_funnel DESC, traffic_channel, device_category",
+    ),
+    "category_performance": (
+        f"cleaned_item_category category_view_sessions category_view_users {' '.join(SUMS)} {_SHARES} total_item_revenue purchased_item_rows revenue_per_purchasing_session is_high_volume_category is_low_confidence_category",
+        "category_view_sessions DESC, cleaned_item_category",
+    ),
+    "revenue_leakage": (
+        f"{_MOVE} unique_transactions total_purchase_revenue average_order_value estimated_revenue_leakage leakage_rank_within_funnel overall_leakage_rank leakage_priority",
+        "overall_leakage_rank, funnel_type",
+    ),
+    "friction_score": (
+        f"overall_friction_rank friction_rank_within_funnel {_MOVE} average_order_value estimated_revenue_leakage normalized_revenue_leakage friction_score friction_priority likely_business_issue recommended_investigation",
+        "overall_friction_rank, funnel_type",
+    ),
+    "data_quality_checks": ("check_name check_area check_value check_status check_description", "check_area, check_name"),
+}
+
+
+def _cells(mart: str, header: str, order: str) -> str:
+    """One row per value of a file."""
+    numbered = f"(SELECT *, row_number() OVER (ORDER BY {order}) AS row_number FROM {mart})"
+    textual = "typeof({0}) IN ('VARCHAR', 'BOOLEAN')"
+    return "\nUNION ALL ".join(
+        f"SELECT '{mart}' AS mart, row_number, {i} AS position, '{c}' AS column_name, "
+        f"if({textual.format(c)}, {c}::VARCHAR, NULL) AS text_value, "
+        f"if({textual.format(c)}, NULL, try_cast({c} AS DOUBLE)) AS number_value FROM {numbered}"
+        for i, c in enumerate(header.split(), 1)
+    )
+
+
+relation("export_cells", "\nUNION ALL ".join(_cells(m, *spec) for m, spec in EXPORTS.items()), *EXPORTS)
 
 
 def sql_for(target: str) -> str:

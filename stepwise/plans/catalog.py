@@ -11,17 +11,18 @@ need once, in one pass over the raw events per source.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stepwise.operators.staging import stg_events, stg_items
-from stepwise.plans import funnels, performance, profile, quality, revenue, summary
+from stepwise.plans import funnels, performance, profile, quality, revenue, summary, views
 from stepwise.plans.narrow import ITEM_COLUMNS, STEP_COLUMNS, write_once
 from stepwise.session import shared_dir
-from stepwise.sources.export import MART_NAMES, read_csv, write_csv
+from stepwise.sources.export import MART_NAMES, as_cells, export_all, read_csv, read_exports, write_csv
 from stepwise.sources.fixture import load_raw
-from stepwise.sources.ga4 import apply_window, read_raw_events, write_raw_events
+from stepwise.sources.ga4 import apply_window, read_raw_events, replace_days, write_raw_events
 
 
 class Marts:
@@ -308,6 +309,39 @@ def _export_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv("category_performance", marts.category_performance.schema, out, spark)
 
 
+def _export_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All marts written as CSV with a manifest, read back by it and compared
+    with it; every value of every file."""
+    marts = fixture_marts(spark, sf_dir).shared(events=True, items=True).counted()
+    out = export_all({name: getattr(marts, name) for name in MART_NAMES}, shared_dir(spark, "exports"))
+    cells = [as_cells(name, df) for name, df in read_exports(spark, out).items()]
+    return reduce(DataFrame.unionByName, cells)
+
+
+def _view_chain(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    """A mart read through catalog views. The views are first made over a
+    week; then the two staging views are replaced by ones over all days, and the
+    mart, which was not touched, is read."""
+    path = shared_dir(spark, "views")
+    database = path.rsplit("/", 1)[-1].replace("-", "_")
+    views.create_database(spark, database, path)
+    views.save_raw(load_raw(spark, sf_dir), database)
+    views.create_views(spark, database, WINDOW)
+    views.create_views(spark, database, only=["stg_events", "stg_items"])
+    return spark.table(f"{database}.{view}")
+
+
+def _reloaded_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users, sessions and revenue per day of a sharded table whose days of
+    ``WINDOW`` were first loaded without purchases and then loaded again."""
+    raw = load_raw(spark, sf_dir)
+    path = shared_dir(spark, "reloaded")
+    inside = F.col("event_date").between(*WINDOW)
+    write_raw_events(raw.where(~inside | (F.col("event_name") != "purchase") | F.col("event_name").isNull()), path)
+    replace_days(raw.where(inside), path)
+    return profile.daily_totals(Marts(read_raw_events(spark, path, None)).stg_events)
+
+
 def _scaled_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = fixture_marts(spark, sf_dir).shared()
     return revenue.revenue_leakage(m.funnel_transitions, m.revenue_baseline, SCALED_TIERS)
@@ -351,6 +385,10 @@ def query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 OTHER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sharded_window": _sharded_window,
     "export_marts": _export_marts,
+    "export_cells": _export_cells,
+    "view_friction_score": lambda spark, sf_dir: _view_chain(spark, sf_dir, "mart_friction_score"),
+    "view_data_quality_checks": lambda spark, sf_dir: _view_chain(spark, sf_dir, "data_quality_checks"),
+    "reloaded_days": _reloaded_days,
     "scaled_revenue_leakage": _scaled_leakage,
     "scaled_category_performance": _scaled_categories,
 }

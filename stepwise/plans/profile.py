@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stepwise.functions.columns import exact_sum
 from stepwise.plans.funnels import CHECKOUT_STEPS, MAIN_STEPS
 
 # Funnel events audited for session coverage: both funnels' steps.
@@ -33,6 +34,17 @@ def dataset_profile(raw: DataFrame) -> DataFrame:
     )
 
 
+def daily_totals(stg_events: DataFrame) -> DataFrame:
+    """Per day: events, users, sessions, purchases and their revenue."""
+    return stg_events.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.countDistinct("user_pseudo_id").alias("users"),
+        F.countDistinct("session_key").alias("sessions"),
+        F.count_if(F.col("event_name") == "purchase").alias("purchase_events"),
+        exact_sum("purchase_revenue").alias("purchase_revenue"),
+    )
+
+
 def null_session_audit(stg_events: DataFrame) -> DataFrame:
     """Per key funnel event: events, null session ids, null session keys."""
     return (

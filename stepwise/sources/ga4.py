@@ -20,6 +20,8 @@ from stepwise.sources.schema import EVENT_SCHEMA
 
 # The analysis window of the original study.
 DEFAULT_WINDOW = ("20201101", "20210131")
+#: Tasks that write one day in ``replace_days``.
+SHARD_FILES = 16
 
 
 def window_predicate(window: tuple[str, str] | None) -> Column | None:
@@ -66,6 +68,29 @@ def _shards(spark: SparkSession, path: str, window: tuple[str, str]) -> list[str
     return [f"{path.rstrip('/')}/{n}" for n in sorted(inside)]
 
 
+def replace_days(raw: DataFrame, path: str, days: list[str] | None = None) -> None:
+    """Write the days that ``raw`` holds (``days``: those of them only) over the
+    same days of the table at ``path`` and leave every other folder as it is.
+
+    Shards are replaced whole, so loading a day twice, or again after late
+    events have come, gives what one full load of the newest records gives. Each
+    task writes to a staging folder, and folders are exchanged when all tasks have
+    ended: a lost executor costs its tasks, never half a day. A day that
+    ``raw`` has no record of is not touched."""
+    if days is not None:
+        raw = raw.where(F.col("event_date").isin(days))
+    # One shuffle by day and a hash of the record, so that a day is written by
+    # several tasks, each with one file per day it holds.
+    spread = F.pmod(F.xxhash64("event_timestamp", "user_pseudo_id"), F.lit(SHARD_FILES))
+    (
+        raw.repartition("event_date", spread)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(path)
+    )
+
+
 def write_raw_events(raw: DataFrame, path: str) -> None:
     """Write raw events as a date-partitioned table (the layout
     ``read_raw_events`` prunes on)."""
