@@ -7,10 +7,11 @@ set a source off from its language.
   other ASCII byte but a-z to a blank, ``bytes.split`` cuts, and a ``Counter``
   per document gives the words and how often they occur. Bytes from 0x80 are
   kept, so a term is a run of letters a-z and characters beyond ASCII.
-* A task adds its documents up per (language, source) in a memory of bounded
-  bytes and hands on what it holds when that is full: what is shuffled are
-  sparse counts, a few rows per term and task however often a term occurs.
-* A language keeps the terms that ``min_docs`` of its documents hold.
+* A task adds its documents up per language and term in a memory of bounded
+  bytes and hands on what it holds when that is full: one row per term with its
+  documents and its counts by source, however often a term occurs. These rows
+  are written; from them a language keeps the terms that ``min_docs`` of its
+  documents hold, and only of these the counts by source are taken apart.
 * Shares are integers: ``p = 1 + floor(SCALE * (count + PRIOR) / (N + PRIOR *
   V))`` of the N occurrences of V kept terms, in decimals of 38 digits.
 * ``pair``: the distance of two sources is the sum of ``|p - q|`` over all kept
@@ -32,11 +33,13 @@ order; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+import itertools
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,13 +50,13 @@ MIN_DOCS = 30
 PRIOR = 5
 SCALE = 1_000_000_000
 TOP_TERMS = 50
-#: Bytes of counts that a task holds (terms, and about as much again per entry).
-HELD_BYTES, ENTRY_BYTES = 64 << 20, 240
+#: Bytes of counts that a task holds, with so many bytes per term; terms of a batch that it hands on.
+HELD_BYTES, ENTRY_BYTES, ROWS = 160 << 20, 160, 1 << 16
 CHUNK_TERMS, BLOCK_SOURCES = 512, 64
 
 FOLD = bytes(c | 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
-_COUNTS = "lang string, source string, term binary, n long, docs long"
+_COUNTS = "lang string, term binary, docs long, sources array<string>, counts array<long>"
 
 
 def terms(text: bytes) -> Counter:
@@ -61,39 +64,73 @@ def terms(text: bytes) -> Counter:
     return Counter(text.translate(FOLD).split())
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts per (language, source, term), and a row without a term for each
-    group that occurs."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    size = 0
+class _Language:
+    """Counts of one language: terms and sources by number, and per document
+    and term a number of the source, of the term, and how often it occurs."""
 
-    def rows() -> Iterator[pd.DataFrame]:
-        for (lang, source), (n, docs) in held.items():
-            yield pd.DataFrame({
-                "lang": lang,
-                "source": source,
-                "term": pd.Series([None, *n], dtype=object),
-                "n": [0, *n.values()],
-                "docs": [0, *map(docs.__getitem__, n)],
-            })
+    def __init__(self) -> None:
+        self.terms: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
+        self.sources: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self.held: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def add(self, source: str, text: bytes) -> int:
+        """Counts a document; the bytes that it adds."""
+        own, before = terms(text), len(self.terms)
+        numbers = np.fromiter(map(self.terms.__getitem__, own), np.int64, len(own))
+        self.held.append((self.sources[source], numbers, np.fromiter(own.values(), np.int64, len(own))))
+        new = len(self.terms) - before
+        return 16 * len(own) + ENTRY_BYTES * (1 + new) + sum(map(len, itertools.islice(reversed(self.terms), new)))
+
+    def rows(self, lang: str) -> Iterator[pa.RecordBatch]:
+        names, n = pa.array(list(self.sources)), len(self.sources)
+        sizes = [len(x) for _, x, _ in self.held]
+        cell = np.concatenate([x for _, x, _ in self.held]) * n + np.repeat([s for s, _, _ in self.held], sizes)
+        order = np.argsort(cell, kind="stable")
+        cell, times = cell[order], np.concatenate([t for _, _, t in self.held])[order]
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        counts = np.add.reduceat(times, first) if len(first) else times
+        cell, docs = cell[first], np.diff(np.append(first, len(cell)))  # a document has one entry per term
+        of = np.searchsorted(cell, np.arange(len(self.terms) + 1) * n)
+        total = np.concatenate(([0], np.cumsum(docs)))[of]
+        yield self._batch(lang, [None], np.zeros(1, np.int64), np.array([0, n]), names, np.zeros(n, np.int64))
+        held = list(self.terms)
+        for at in range(0, len(held), ROWS):
+            part = of[at : at + ROWS + 1]
+            inside = slice(part[0], part[-1])
+            yield self._batch(
+                lang, held[at : at + ROWS], np.diff(total[at : at + ROWS + 1]), part - part[0], names.take(pa.array(cell[inside] % n)), counts[inside]
+            )
 
+    @staticmethod
+    def _batch(lang: str, names: list, docs: np.ndarray, offsets: np.ndarray, sources: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        at = pa.array(offsets.astype("i4"))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([lang] * len(names), pa.string()),
+                pa.array(names, pa.binary()),
+                pa.array(docs, pa.int64()),
+                pa.ListArray.from_arrays(at, sources),
+                pa.ListArray.from_arrays(at, pa.array(counts, pa.int64())),
+            ],
+            names=["lang", "term", "docs", "sources", "counts"],
+        )
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per (language, term): documents, and counts by source; a row without a
+    term for each language lists the sources that occur."""
+    held: defaultdict[str, _Language] = defaultdict(_Language)
+    size = 0
     for batch in batches:
-        for lang, source, text in zip(batch["lang"], batch["source"], batch["text"]):
-            if (group := held.get((lang, source))) is None:
-                group = held[lang, source] = (Counter(), Counter())
-                size += ENTRY_BYTES
-            n, docs = group
-            own, before = terms(text), len(n)
-            for term, times in own.items():
-                n[term] += times
-            docs.update(own.keys())
-            if len(n) > before:
-                # New terms are the last ones of the dictionary.
-                size += (len(n) - before) * ENTRY_BYTES + sum(map(len, own))
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+            size += held[lang].add(source, text)
             if size > HELD_BYTES:
-                yield from rows()
-                held, size = {}, 0
-    yield from rows()
+                for name, language in held.items():
+                    yield from language.rows(name)
+                held.clear()
+                size = 0
+    for name, language in held.items():
+        yield from language.rows(name)
 
 
 def _share(count: str, total: str, kept: str) -> Column:
@@ -107,7 +144,7 @@ def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for r in batch.itertuples():
             held = [t for cells in (r.a_term, r.b_term) if cells is not None for t in cells]
-            names, number = np.unique(np.array(held, dtype=object), return_inverse=True) if held else ([], np.zeros(0, int))
+            number, names = pd.factorize(np.array(held, dtype=object))
             sides, at = [], 0
             for base, where, share in ((r.a_base, r.a_at, r.a_p), (r.b_base, r.b_at, r.b_p)):
                 table = np.tile(np.asarray(base, np.int64), (len(names), 1))
@@ -191,23 +228,21 @@ def divergence(docs: DataFrame, *, min_docs: int = MIN_DOCS, top_terms: int = TO
         F.coalesce("source", F.lit("")).alias("source"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
-    counts = materialize(
-        texts.mapInPandas(_count, _COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")),
-        "term-counts",
-    )
-    held = counts.where(F.col("term").isNotNull())
-    kept = materialize(
-        held.groupBy("lang", "term")
-        .agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-        .where(F.col("docs") >= min_docs)
-        .drop("docs"),
-        "kept-terms",
+    counts = materialize(texts.mapInArrow(_count, _COUNTS), "term-counts")
+    known = F.col("term").isNotNull()
+    often = counts.where(known).groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
+    often = materialize(often.select("lang", "term"), "kept-terms")
+    # Counts by source are taken apart for kept terms only.
+    apart = split_join(counts.where(known).drop("docs"), often, ["lang", "term"]).select(
+        "lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n")))
     )
-    own = materialize(split_join(held.select("lang", "source", "term", "n"), kept, ["lang", "term"]), "kept-counts")
+    own = materialize(apart.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "kept-counts")
+    kept = materialize(own.groupBy("lang", "term").agg(F.sum("n").alias("lang_n")), "kept-totals")
     languages = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
     groups = (
-        counts.where(F.col("term").isNull())
-        .select("lang", "source")
+        counts.where(~known)
+        .select("lang", F.explode("sources").alias("source"))
+        .distinct()
         .join(own.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
         .join(languages, "lang", "left")
         .select(
@@ -218,7 +253,7 @@ def divergence(docs: DataFrame, *, min_docs: int = MIN_DOCS, top_terms: int = TO
     base = F.coalesce(_share("0L", "total", "nullif(kept, 0)"), F.lit(0)).cast("long")
     groups = materialize(groups.withColumn("base", base), "groups")
     cells = materialize(
-        split_join(own, groups, ["lang", "source"]).select(
+        split_join(split_join(own, kept, ["lang", "term"]), groups, ["lang", "source"]).select(
             "lang", "source", F.col("term").cast("string").alias("term"),
             _share("n", "total", "kept").cast("long").alias("p"),
             _share("lang_n", "lang_total", "kept").cast("long").alias("q"),
