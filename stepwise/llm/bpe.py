@@ -6,16 +6,18 @@ word of the whole corpus is encoded once:
 * A task packs its documents into blocks of about ``BLOCK_BYTES`` of text (a
   longer document is a block of its own). A block holds its distinct words and,
   per word of its texts in order, the word's number in the block: the positions
-  of the exploded words, packed. Blocks are written, so a lost executor costs a
-  task and the numbers of a block never change afterwards.
+  of the exploded words, packed. Words are written as a table and positions as
+  files beside it, under names of the attempt that the table records, so a lost
+  executor costs a task and numbers never change afterwards.
 * The words of all blocks are exploded and shuffled by word: one row per block
-  and word, not per occurrence. Their distinct ones are encoded by the merge
-  ranks, joined back to the blocks by word (a word that every block holds is
-  split by adaptive execution), and the ids are put together by position.
-* Decoding explodes the distinct ids of a block, joins the token-byte table (one
-  row per rank of the vocabulary), and puts the bytes together by position.
-
-Blocks of ids (``block, doc_ids, n_ids, distinct, ids``) are what both
+  and word, not per occurrence. Sorted by word, each distinct one is encoded once
+  by the merge ranks and its ids go back to all blocks that hold it; a task
+  streams over its rows, however many hold one word.
+* Per block the ids of its words meet its positions and are put together.
+* Decoding joins the token-byte table (a row per vocabulary, so broadcast) and puts
+  the bytes together by position.
+
+Blocks of ids (``block, vocabulary, doc_ids, n_ids, ids``) are what both
 directions share; ``encode`` and ``decode`` give and take one row per document.
 
 Defined results: a null text is an empty one, which has no ids; repeated rows
@@ -27,25 +29,30 @@ error otherwise; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepwise.llm.components import split_join
-from stepwise.llm.scratch import materialize
+from stepwise.llm.scratch import materialize, scratch_dir
+from stepwise.llm.tokens import filesystem, shared_root
 
-#: Bytes of text in a block.
-BLOCK_BYTES = 4 << 20
+#: Characters of text in a block.
+BLOCK_BYTES = 16 << 20
+#: Words of blocks that an encoding task gathers before it hands them on.
+GATHER = 1 << 17
 #: Words or ids that are put together at a time.
 SLICE = 1 << 20
 
-WORDS = "block long, doc_ids array<long>, n_words array<long>, words array<string>, codes binary"
-IDS = "block long, doc_ids array<long>, n_ids array<long>, distinct array<int>, ids binary"
+WORDS = "block long, doc_ids array<long>, n_words array<long>, words array<string>, positions string"
+WORD_IDS = "block long, at binary, sizes binary, ids binary"
+IDS = "block long, vocabulary string, doc_ids array<long>, n_ids array<long>, ids binary"
 DECODED = "doc_id long, ids array<int>, decoded binary"
 
 _loaded: dict = {}
@@ -94,11 +101,13 @@ def _joined(parts: Iterator[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate(held) if held else np.zeros(0, dtype)
 
 
-def _pack(pattern: str):
+def _pack(out_dir: str, pattern: str):
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        cut, block = regex.compile(pattern), TaskContext.get().partitionId() << 32
+        task = TaskContext.get()
+        cut, block = regex.compile(pattern), task.partitionId() << 32
+        files, root = filesystem(out_dir)
         doc_ids: list = []
         n_words: list[int] = []
         number: dict[str, int] = {}
@@ -106,8 +115,10 @@ def _pack(pattern: str):
         size = 0
 
         def row() -> pd.DataFrame:
-            packed = _narrow(np.concatenate(codes), len(number)).tobytes()
-            return pd.DataFrame({"block": [block], "doc_ids": [doc_ids], "n_words": [n_words], "words": [list(number)], "codes": [packed]})
+            name = f"positions-{block}-{task.taskAttemptId()}.bin"
+            with files.open_output_stream(f"{root}/{name}", compression=None) as f:
+                f.write(zstandard.compress(_narrow(np.concatenate(codes), len(number)).tobytes()))
+            return pd.DataFrame({"block": [block], "doc_ids": [doc_ids], "n_words": [n_words], "words": [list(number)], "positions": [name]})
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None), batch["text"]):
@@ -115,8 +126,9 @@ def _pack(pattern: str):
                     yield row()
                     doc_ids, n_words, number, codes, size, block = [], [], {}, [], 0, block + 1
                 words = cut.findall(text)
-                for word in set(words).difference(number):
-                    number[word] = len(number)
+                for word in words:
+                    if word not in number:
+                        number[word] = len(number)
                 codes.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
                 doc_ids.append(doc_id)
                 n_words.append(len(words))
@@ -127,40 +139,70 @@ def _pack(pattern: str):
     return pack
 
 
-def words_of(docs: DataFrame, pattern: str) -> DataFrame:
-    """``docs(doc_id, text)`` in blocks of words."""
+def words_of(docs: DataFrame, pattern: str, out_dir: str) -> DataFrame:
+    """``docs(doc_id, text)`` in blocks of words, positions in files below ``out_dir``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return materialize(texts.mapInPandas(_pack(pattern), WORDS), "words")
-
+    return materialize(texts.mapInPandas(_pack(out_dir, pattern), WORDS), "words")
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """``word, ids`` (32-bit little-endian) for each distinct ``word``."""
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            encode = _word_encoder(path)
-            batch["ids"] = [np.array(encode(word), "<u4").tobytes() for word in batch["word"]]
-            yield batch
+def _encode(path: str, top: int):
+    """Rows sorted by word: each distinct one encoded once, its ids by block."""
 
-    return words.select("word").distinct().mapInPandas(each, "word string, ids binary")
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _word_encoder(path)
+        code = "H" if top <= 1 << 16 else "I"
+        held: dict[int, tuple[array, array, list[bytes]]] = {}
+        n, last, size, ids = 0, None, 0, b""
 
+        def rows() -> pa.RecordBatch:
+            packed = [(b, at.tobytes(), sizes.tobytes(), b"".join(parts)) for b, (at, sizes, parts) in held.items()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in packed], pa.int64() if i == 0 else pa.binary()) for i in range(4)], names=["block", "at", "sizes", "ids"]
+            )
 
-def _assemble(top: int):
+        for batch in batches:
+            for word, block, at in zip(*(batch.column(c).to_pylist() for c in ("word", "block", "at"))):
+                if word != last:
+                    packed = array(code, own(word))
+                    last, size, ids = word, len(packed), packed.tobytes()
+                if (mine := held.get(block)) is None:
+                    mine = held[block] = (array("I"), array("I"), [])
+                mine[0].append(at)
+                mine[1].append(size)
+                mine[2].append(ids)
+            n += batch.num_rows
+            if n >= GATHER:
+                yield rows()
+                held, n = {}, 0
+        if held:
+            yield rows()
+
+    return encode
+
+
+def _assemble(out_dir: str, path: str, top: int):
     """Blocks of ids from blocks of words and the ids of the block's words."""
+    width = "=u2" if top <= 1 << 16 else "=u4"
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, root = filesystem(out_dir)
         for batch in batches:
             for r in batch.itertuples():
-                held = r.ids_of if r.ids_of is not None else []
-                flat, starts, sizes = _ragged(list(held), "<u4")
-                codes = np.frombuffer(r.codes, "<u2" if len(held) <= 1 << 16 else "<u4")
+                held = [] if r.held is None else list(r.held)
+                flat = np.frombuffer(b"".join(h["ids"] for h in held), width)
+                sizes_in = np.frombuffer(b"".join(h["sizes"] for h in held), "=u4").astype(np.int64)
+                at = np.frombuffer(b"".join(h["at"] for h in held), "=u4")
+                starts, sizes = np.zeros((2, r.n), np.int64)
+                starts[at], sizes[at] = np.cumsum(sizes_in) - sizes_in, sizes_in
+                with files.open_input_file(f"{root}/{r.positions}") as f:
+                    codes = np.frombuffer(zstandard.decompress(f.read()), "<u2" if r.n <= 1 << 16 else "<u4")
                 ids = _joined(_gather(flat, starts, sizes, codes), flat.dtype)
                 ends = np.concatenate(([0], np.cumsum(sizes[codes])))[np.cumsum(r.n_words)]
                 yield pd.DataFrame({
                     "block": [r.block],
+                    "vocabulary": [path],
                     "doc_ids": [r.doc_ids],
                     "n_ids": [np.diff(ends, prepend=0)],
-                    "distinct": [np.unique(flat).astype("i4")],
                     "ids": [_narrow(ids, top).tobytes()],
                 })
 
@@ -169,17 +211,19 @@ def _assemble(top: int):
 
 def encode_blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``docs(doc_id, text)`` in blocks of ids."""
-    blocks = words_of(docs, pattern)
-    placed = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    known = encode_words(placed, path)
+    spark = docs.sparkSession
+    out_dir, top = shared_root(spark, scratch_dir(spark, "positions")), _top(path)
+    blocks = words_of(docs, pattern, out_dir)
     ids = (
-        split_join(placed, known, ["word"])
+        blocks.select("block", F.posexplode("words").alias("at", "word"))
+        .repartition("word")
+        .sortWithinPartitions("word")
+        .mapInArrow(_encode(path, top), WORD_IDS)
         .groupBy("block")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("held"))  # the words of one block
-        .select("block", F.col("held.ids").alias("ids_of"))
+        .agg(F.collect_list(F.struct("at", "sizes", "ids")).alias("held"))  # the words of one block
     )
-    whole = blocks.select("block", "doc_ids", "n_words", "codes").join(ids, "block", "left")
-    return materialize(whole.mapInPandas(_assemble(_top(path)), IDS), "ids")
+    whole = blocks.select("block", "doc_ids", "n_words", "positions", F.size("words").alias("n")).join(ids, "block", "left")
+    return whole.mapInPandas(_assemble(out_dir, path, top), IDS)
 
 
 def _top(path: str) -> int:
@@ -188,20 +232,24 @@ def _top(path: str) -> int:
 
 
 def token_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """``id, bytes`` of a vocabulary: a row per rank."""
-    return spark.createDataFrame([(i, bytearray(b)) for b, i in ranks(path).items()], "id int, bytes binary")
+    """``vocabulary, known, tokens``: the ids of a vocabulary and their bytes, in one row."""
+    by_id = sorted((i, bytearray(b)) for b, i in ranks(path).items())
+    row = (path, [i for i, _ in by_id], [b for _, b in by_id])
+    return spark.createDataFrame([row], "vocabulary string, known array<int>, tokens array<binary>")
 
 
 def _spell(top: int, skip_unknown: bool):
-    """Documents from blocks of ids and the bytes of the block's ids."""
+    """Documents from blocks of ids and the token-byte table."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                flat, starts, sizes = _ragged(r["bytes"] or [], "u1")
+                flat, starts, sizes = _ragged(r["tokens"], "u1")
                 ids = np.frombuffer(r["ids"], "<u2" if top <= 1 << 16 else "<u4")
-                known = np.array(r["known"] or [], np.int64)
-                if not skip_unknown and len(known) != len(r["distinct"]):
+                known = np.array(r["known"], np.int64)
+                there = np.zeros(top, bool)
+                there[known] = True
+                if not skip_unknown and not there[ids].all():
                     raise ValueError("ids that the vocabulary lacks")
                 at, size = np.zeros(top, np.int64), np.zeros(top, np.int64)  # ids without bytes have none
                 at[known], size[known] = starts, sizes
@@ -224,16 +272,9 @@ def _spell(top: int, skip_unknown: bool):
 
 def decode_blocks(blocks: DataFrame, path: str, *, skip_unknown: bool = False) -> DataFrame:
     """``doc_id, ids, decoded`` of blocks of ids."""
-    table = token_bytes(blocks.sparkSession, path)
-    # A row per rank: the table's size is that of the vocabulary file.
-    spelt = (
-        blocks.select("block", F.explode("distinct").alias("id"))
-        .join(F.broadcast(table), "id")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("id", "bytes")).alias("held"))  # no more than the vocabulary
-        .select("block", F.col("held.id").alias("known"), F.col("held.bytes").alias("bytes"))
-    )
-    return blocks.join(spelt, "block", "left").mapInArrow(_spell(_top(path), skip_unknown), DECODED)
+    # One row, of the size of the vocabulary file.
+    table = F.broadcast(token_bytes(blocks.sparkSession, path))
+    return blocks.join(table, "vocabulary").mapInArrow(_spell(_top(path), skip_unknown), DECODED)
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -241,7 +282,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return decode_blocks(encode_blocks(docs, path, pattern), path).select("doc_id", "ids")
 
 
-def _repack(top: int):
+def _repack(path: str, top: int):
     def repack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
@@ -251,26 +292,26 @@ def _repack(top: int):
             for doc_id, ids in zip(batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None), batch["ids"]):
                 ids = np.zeros(0, np.int64) if ids is None else np.asarray(ids, np.int64)
                 if held and size + len(ids) > SLICE:
-                    yield _block(block, held, top)
+                    yield _block(block, held, path, top)
                     held, size, block = [], 0, block + 1
                 held.append((doc_id, ids))
                 size += len(ids)
             if held:
-                yield _block(block, held, top)
+                yield _block(block, held, path, top)
                 block += 1
 
     return repack
 
 
-def _block(block: int, held: list, top: int) -> pd.DataFrame:
+def _block(block: int, held: list, path: str, top: int) -> pd.DataFrame:
     ids = np.concatenate([i for _, i in held])
     if len(ids) and not 0 <= ids.min() <= ids.max() < top:
         raise ValueError("ids beyond the vocabulary")
     return pd.DataFrame({
         "block": [block],
+        "vocabulary": [path],
         "doc_ids": [[d for d, _ in held]],
         "n_ids": [[len(i) for _, i in held]],
-        "distinct": [np.unique(ids).astype("i4")],
         "ids": [_narrow(ids, top).tobytes()],
     })
 
@@ -278,5 +319,4 @@ def _block(block: int, held: list, top: int) -> pd.DataFrame:
 def decode(encoded: DataFrame, path: str, *, skip_unknown: bool = False) -> DataFrame:
     """``doc_id, ids, decoded`` of ``encoded(doc_id, ids)``."""
     rows = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids"))
-    blocks = materialize(rows.mapInPandas(_repack(_top(path)), IDS), "ids")
-    return decode_blocks(blocks, path, skip_unknown=skip_unknown)
+    return decode_blocks(rows.mapInPandas(_repack(path, _top(path)), IDS), path, skip_unknown=skip_unknown)
