@@ -11,7 +11,8 @@ Two layers of spans per text (code points, end exclusive):
   values joined by ``+``, ``.`` or ``..``; its first literal may stand on the
   line after the sign or in parentheses; constants
   are propagated in reading order, through names, ``$NAME`` and ``${NAME}``,
-  so a literal is also scored under every name it reaches. Its score is the
+  so a literal is also scored under every name it reaches (a constant is walked
+  again only for a more sensitive name or a stronger whole). Its score is the
   sensitivity of the target name times the strength of the value; a literal
   that scores enough is a span: ``literal`` where it stands in the assignment
   itself, ``flow`` where it reached the name through a constant.
@@ -30,6 +31,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from string import punctuation
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -61,10 +63,21 @@ PAIRS = {
     ("api", "key"): 1.0, ("access", "key"): 1.0, ("private", "key"): 1.0, ("secret", "key"): 1.0, ("signing", "key"): 0.9,
     ("encryption", "key"): 0.9, ("account", "key"): 0.8, ("connection", "string"): 0.6, ("session", "id"): 0.4,
 }
-#: Values that stand for a secret without being one.
+#: Whole values, but for punctuation around them, that stand for a secret without being one.
 PLACEHOLDERS = re.compile(
-    r"(?i)(change.?me|example|placeholder|dummy|sample|your|todo|none|null|undefined|true|false|x{4,}|\*{3,}|test(ing)?$)"
+    r"(?i)change.?me|example|placeholder|dummy|sample|todo|none|null|undefined|true|false|x{4,}|test(?:ing)?|(?:your|insert|enter)[-_ .].*"
 )
+_TEMPLATE = re.compile(r"<[^<>]*>|\{\{?[^{}]*\}?\}|%\(?\w*\)?")
+#: The password of an address with credentials.
+_CREDENTIALS = re.compile(r"[A-Za-z][\w+.-]*://[^/\s:@]*:([^/\s@]+)@")
+PUNCTUATION = punctuation + " \t"
+_URL = re.compile(r"[A-Za-z][\w+.-]*://")
+_PATH = re.compile(r"(?:/[\w.@~-]+)+/?")
+#: Words of a passphrase, at least; it has a digit and doesn't end as a sentence does.
+PASSPHRASE_WORDS = 4
+#: The joint strength of a value's pieces counts in so many steps, so that a
+#: constant is walked again only when what it is part of got a step stronger.
+STEPS = 20
 
 _NAMED = r"""(["'`]?)([A-Za-z_$][\w.$-]*)\1\]?(?:\[\d*\])*"""
 _HEAD = re.compile(rf"""(?<![\w.$-]){_NAMED}[ \t]*(?:=>|:=|=(?![=>])|:(?![:/]))[ \t]*""")
@@ -90,10 +103,43 @@ _REF = re.compile(r"\$\{?([A-Za-z_][\w.]*)\}?")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.?|&)[ \t]*(?=[\"'`A-Za-z_$])")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
-# A piece of a value: where its literal stands, the text, whether it came through a constant.
-Piece = tuple[int, int, str, bool]
-# A value as it is written: its own pieces, and the values of the constants it uses.
-Value = list["Piece | Value"]
+# A piece of a value: where its literal stands, and the text.
+Piece = tuple[int, int, str]
+
+
+class Value:
+    """A value as it is written: its own pieces, and the constants it uses."""
+
+    __slots__ = ("pieces", "constants", "_letters", "credit")
+
+    def __init__(self, pieces: list[Piece], constants: list["Value"]):
+        self.pieces = pieces
+        self.constants = list({id(c): c for c in constants}.values())
+        self._letters: Counter | None = None
+        #: Best (weight, weight x joint strength) that its pieces were given.
+        self.credit = (0.0, 0.0)
+
+    def __bool__(self) -> bool:
+        return bool(self.pieces or self.constants)
+
+    def letters(self) -> Counter:
+        """How often its characters occur, those of its constants included;
+        counted once per constant, from the counts of what it is made of."""
+        stack = [self]
+        while stack:
+            top = stack[-1]
+            missing = [c for c in top.constants if c._letters is None]
+            if top._letters is None and missing:
+                stack += missing
+                continue
+            stack.pop()
+            if top._letters is None:
+                top._letters = Counter()
+                for _, _, text in top.pieces:
+                    top._letters.update(text)
+                for c in top.constants:
+                    top._letters.update(c._letters)
+        return self._letters
 
 
 def name_score(name: str) -> float:
@@ -104,16 +150,46 @@ def name_score(name: str) -> float:
     return max(single, pair)
 
 
+def is_placeholder(value: str) -> bool:
+    core = value.strip(PUNCTUATION)
+    return not core or bool(PLACEHOLDERS.fullmatch(core) or _TEMPLATE.fullmatch(value))
+
+
+def strength(letters: Counter) -> float:
+    """Length, entropy and mixture of characters, 0 to 1."""
+    n = sum(letters.values())
+    entropy = -sum(c / n * math.log2(c / n) for c in letters.values()) if n else 0.0
+    kinds = {0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in letters}
+    return min(1.0, n / 16 if n < 16 else 1.0) * min(1.0, entropy / 3) * min(1.0, 0.4 + 0.2 * len(kinds))
+
+
+def _never(value: str) -> bool:
+    """A piece that no neighbours make a secret: a placeholder or an address."""
+    return is_placeholder(value) or bool(_URL.match(value))
+
+
+def _is_path(value: str) -> bool:
+    """A path of names; a name that mixes small and capital letters with digits
+    is none (base64 may begin with a slash)."""
+    if not _PATH.fullmatch(value):
+        return False
+    mixed = (re.search("[a-z]", n) and re.search("[A-Z]", n) and re.search("[0-9]", n) for n in value.split("/"))
+    return not any(mixed)
+
+
 def value_score(value: str) -> float:
-    """How much a value looks like a secret, 0 to 1: length, entropy and
-    mixture of characters; nothing for placeholders, prose and references."""
-    n = len(value)
-    if n < 6 or " " in value.strip() or PLACEHOLDERS.search(value) or value.startswith(("http://", "https://", "/")):
+    """How much a value looks like a secret, 0 to 1; nothing for placeholders,
+    prose, paths and addresses. Of an address with credentials, its password."""
+    if m := _CREDENTIALS.match(value):
+        value = m[1]
+    elif _URL.match(value) or _is_path(value):
+        return 0.0
+    if len(value) < 6 or is_placeholder(value):
         return 0.0
-    counts = Counter(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
-    classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, n / 16) * min(1.0, entropy / 3) * min(1.0, 0.4 + 0.2 * classes)
+    if len(words := value.split()) > 1:
+        if len(words) < PASSPHRASE_WORDS or value.rstrip()[-1] in ".?!:;," or not re.search(r"\d", value):
+            return 0.0
+    return strength(Counter(value))
 
 
 def _quoted(text: str, at: int) -> tuple[int, int, int] | None:
@@ -134,34 +210,34 @@ def _quoted(text: str, at: int) -> tuple[int, int, int] | None:
         i = end + 1
 
 
-def _refer(text: str, start: int, end: int, known: dict[str, Value]) -> Value:
-    """A literal, and the constants that references in it name."""
+def _refer(text: str, start: int, end: int, known: dict[str, Value], into: Value) -> None:
+    """Adds a literal, and the constants that references in it name."""
     value = text[start:end]
-    parts: Value = [] if _REF.fullmatch(value) else [(start, end, value, False)]
-    return parts + [known[m[1]] for m in _REF.finditer(value) if m[1] in known]
+    if not _REF.fullmatch(value):
+        into.pieces.append((start, end, value))
+    into.constants += [known[m[1]] for m in _REF.finditer(value) if m[1] in known]
 
 
-def _expand(value: Value) -> list[Piece]:
-    """All pieces of a value, each once; every constant is walked once."""
-    pieces: dict[Piece, None] = {}
-    walked = set()
-    stack = [(iter(value), False)]
+def _expand(value: Value, enter=lambda constant: True) -> Iterator[tuple[Piece, bool]]:
+    """The pieces of a value, and whether each came through a constant; every
+    constant that ``enter`` admits is walked once."""
+    yield from ((p, False) for p in value.pieces)
+    walked = {id(value)}
+    stack = [iter(value.constants)]
     while stack:
-        parts, through = stack[-1]
-        part = next(parts, None)
-        if part is None:
+        constant = next(stack[-1], None)
+        if constant is None:
             stack.pop()
-        elif isinstance(part, tuple):
-            pieces[*part[:3], through] = None
-        elif id(part) not in walked:
-            walked.add(id(part))
-            stack.append((iter(part), True))
-    return list(pieces)
+        elif id(constant) not in walked:
+            walked.add(id(constant))
+            if enter(constant):
+                yield from ((p, True) for p in constant.pieces)
+                stack.append(iter(constant.constants))
 
 
 def _expression(text: str, i: int, known: dict[str, Value]) -> tuple[Value, int]:
     """The value that is written at ``i``, and where it ends (``i`` if there is none)."""
-    parts: Value = []
+    pieces, constants = Value([], []), []
     at, join = i, _JOIN
     opened = _OPEN.match(text, i).end()
     if opened > i:
@@ -171,14 +247,14 @@ def _expression(text: str, i: int, known: dict[str, Value]) -> tuple[Value, int]
             i, join = opened, _JOIN_INSIDE if inside else _JOIN
     while True:
         if body := _quoted(text, i):
-            parts += _refer(text, body[0], body[1], known)
+            _refer(text, body[0], body[1], known, pieces)
             i = body[2]
         elif bare := _BARE.match(text, i):
             word = bare[0]
             if _NAME.match(word) and word in known:
-                parts.append(known[word])
+                constants.append(known[word])
             else:
-                parts += _refer(text, bare.start(), bare.end(), known)
+                _refer(text, bare.start(), bare.end(), known, pieces)
             i = bare.end()
         else:
             break
@@ -186,7 +262,7 @@ def _expression(text: str, i: int, known: dict[str, Value]) -> tuple[Value, int]
         if not (j := join.match(text, i)):
             break
         i = j.end()
-    return parts, at
+    return Value(pieces.pieces, pieces.constants + constants), at
 
 
 def _assigned(text: str) -> Iterator[tuple[str, Value]]:
@@ -206,12 +282,12 @@ def _assigned(text: str) -> Iterator[tuple[str, Value]]:
             for name in (declared[1] or declared[3], (declared[2] or declared[4]).lstrip("&*")):
                 found.append((name, value))
         else:
-            name, at, value = m[2], m.end(), []
+            name, at, value = m[2], m.end(), None
             if text[m.start() : at].rstrip().endswith(":") and (typed := _TYPED.match(text, at)):
                 value, end = _expression(text, typed.end(), known)
                 if value:
                     if re.search(r"\d", typed[1]):  # may be a value itself
-                        found.append((name, [(*typed.span(1), typed[1], False)]))
+                        found.append((name, Value([(*typed.span(1), typed[1])], [])))
                     at = end
             if not value:
                 value, at = _expression(text, at, known)
@@ -224,7 +300,7 @@ def _assigned(text: str) -> Iterator[tuple[str, Value]]:
 def assignments(text: str) -> Iterator[tuple[str, list[Piece]]]:
     """Name and pieces of the value of every assignment, in reading order."""
     for name, value in _assigned(text):
-        yield name, _expand(value)
+        yield name, [p for p, _ in _expand(value)]
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -244,15 +320,28 @@ def spans(text: str | None) -> list[tuple[str, int, int, str | None, float | Non
         return []
     found: dict[tuple[str, int, int], tuple[str | None, float | None]] = {s: (None, None) for s in base_spans(text)}
     if "=" in text or ":" in text:
+        scores: dict[Piece, float] = {}
         for name, value in _assigned(text):
             weight = name_score(name)
             if not weight:
                 continue
-            pieces = _expand(value)
             # A secret cut in pieces is as strong as its pieces together.
-            whole = value_score("".join(v for _, _, v, _ in pieces))
-            for start, end, value, through in pieces:
-                score = weight * max(value_score(value), whole if len(value) >= 4 else 0.0)
+            whole = 0.0
+            if value.constants or len(value.pieces) > 1:
+                whole = math.floor(STEPS * strength(value.letters())) / STEPS
+
+            def enter(constant: Value) -> bool:
+                best, joint = constant.credit
+                if weight <= best and weight * whole <= joint:
+                    return False  # all it holds has had as much already
+                constant.credit = max(weight, best), max(weight * whole, joint)
+                return True
+
+            for piece, through in _expand(value, enter):
+                start, end, own = piece
+                if piece not in scores:
+                    scores[piece] = value_score(own)
+                score = weight * max(scores[piece], whole if len(own) >= 4 and not _never(own) else 0.0)
                 key = ("flow" if through else "literal", start, end)
                 if score >= MIN_SCORE and score > (found.get(key, (None, 0.0))[1] or 0.0):
                     found[key] = (name, round(score, 6))
