@@ -30,7 +30,9 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +44,11 @@ from stepwise.llm.scratch import scratch_dir, shuffle_partitions
 
 #: The id appended to each document.
 END_ID = 2
-#: Pieces remembered by a worker before it starts again with an empty memory.
-CACHE_PIECES = 1_000_000
+#: Bytes of pieces and ids that a worker remembers before it starts again with an
+#: empty memory, with so many bytes more per piece; longer pieces aren't kept.
+CACHE_BYTES, CACHE_ENTRY, CACHE_CHARS = 192 << 20, 200, 64
+#: Characters of text that are encoded together.
+GROUP_CHARS = 1 << 20
 #: Token ids gathered before a read-back task hands on a batch.
 READ_TOKENS = 1 << 20
 
@@ -61,7 +66,8 @@ class Encoder:
     single line feed stand alone. Where no two white-space characters meet,
     the ids of a text are therefore the ids of its pieces (cut before every
     space and line feed) in a row; each distinct piece is encoded once.
-    Other texts, and other kinds of tokenizers, are encoded whole.
+    Other texts, and other kinds of tokenizers, are encoded whole. What is new in
+    a group of texts is handed to the library in one call.
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
@@ -81,47 +87,61 @@ class Encoder:
             and not any(" " in t["content"] or "\n" in t["content"] or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", []))
         )
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known = _Pieces(self.ids)
-
-    def ids(self, text: str) -> bytes:
-        """``text`` handed to the library as it is."""
-        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """The ids of ``text``, packed as ``self.dtype``."""
-        if not text:
-            return b""
-        if self.by_piece:
-            head, *pieces = text.replace("\n", " \n").split(" ")
-            if head:
-                try:
-                    return self.ids(head) + b"".join(map(self.known.__getitem__, pieces))
-                except _Whole:
-                    pass
-        return self.ids(text)
-
-
-class _Whole(Exception):
-    """White space that this way of cutting would tear apart."""
-
-
-class _Pieces(dict):
-    """Ids by piece: a word with the space before it (not written), or a line
-    feed with the word after it. Bounded: it starts again when it is full."""
-
-    def __init__(self, ids):
-        super().__init__()
-        self.ids = ids
-
-    def __missing__(self, piece: str) -> bytes:
-        word = piece[piece[:1] == "\n" :]
-        if not word or word[0].isspace():
-            raise _Whole
-        if len(self) >= CACHE_PIECES:
-            self.clear()
-        got = self.ids(piece if piece[0] == "\n" else " " + piece)
-        self[piece] = got
-        return got
+        #: Ids by piece: a word with the space before it (not written), a line
+        #: feed with the word after it, or the first word with a space behind it.
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """``texts`` handed to the library as they are."""
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        packed = [array(code, e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for ids in packed:
+                ids.byteswap()
+        return [ids.tobytes() for ids in packed]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, packed as ``self.dtype``."""
+        if not self.by_piece:
+            return self._whole(texts)
+        known, cut, new = self.known, [], set()
+        for text in texts:
+            pieces = text.replace("\n", " \n").split(" ")
+            pieces[0] += " "
+            cut.append(pieces)
+            new.update(set(pieces).difference(known))
+        torn = {p for p in new if _tears(p)}
+        new -= torn
+        order = [p for p in new if len(p) <= CACHE_CHARS]
+        longer = [p for p in new if len(p) > CACHE_CHARS]
+        fresh = self._whole([p[:-1] if p[-1] == " " else p if p[0] == "\n" else " " + p for p in order + longer])
+        known.update(zip(order, fresh))
+        once = dict(zip(longer, fresh[len(order) :]))
+        out: list[bytes | None] = []
+        for pieces in cut:
+            if torn and not torn.isdisjoint(pieces):
+                out.append(None)
+            elif once:
+                out.append(b"".join([known[p] if p in known else once[p] for p in pieces]))
+            else:
+                out.append(b"".join(map(known.__getitem__, pieces)))
+        whole = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
+            out[i] = ids
+        self.held += sum(2 * len(p) + len(known[p]) for p in order) + CACHE_ENTRY * len(order)
+        if self.held > CACHE_BYTES:
+            known.clear()
+            self.held = 0
+        return out
+
+
+def _tears(piece: str) -> bool:
+    """Whether this way of cutting tears white space apart at this piece."""
+    if piece[-1:] == " ":
+        return len(piece) == 1  # nothing before the first space or line feed
+    word = piece[piece[:1] == "\n" :]
+    return not word or word[0].isspace()
 
 
 def encoder(path: str, special_as_text: bool = False) -> Encoder:
@@ -132,10 +152,34 @@ def encoder(path: str, special_as_text: bool = False) -> Encoder:
     return _loaded[key]
 
 
-def _filesystem(uri: str):
+def filesystem(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    if uri.startswith("s3a://"):
+        uri = "s3://" + uri[6:]
+    return fs.FileSystem.from_uri(uri)
+
+
+def shared_root(spark: SparkSession, out_dir: str) -> str:
+    """``out_dir`` as Spark's file system names it, with its scheme: a path
+    without one is on the cluster's default file system, not on a worker's disk."""
+    mark = f"{out_dir.rstrip('/')}/manifest-schema"
+    spark.createDataFrame([], MANIFEST).coalesce(1).write.mode("overwrite").parquet(mark)
+    return spark.read.parquet(mark).inputFiles()[0].rsplit("/", 2)[0]
+
+
+def _groups(texts) -> Iterator[list[str]]:
+    """The texts in order, about GROUP_CHARS at a time (a longer one by itself)."""
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        if held and size + len(text) > GROUP_CHARS:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
 
 
 def _writer(out_dir: str, tokenizer_path: str, end_id: int, special_as_text: bool):
@@ -144,7 +188,7 @@ def _writer(out_dir: str, tokenizer_path: str, end_id: int, special_as_text: boo
 
         task = TaskContext.get()
         shard, attempt = task.partitionId(), task.taskAttemptId()
-        files, root = _filesystem(out_dir)
+        files, root = filesystem(out_dir)
         names = {k: f"{k}-{shard:05d}.bin" for k in ("tokens", "offsets", "docs")}
         enc, end = None, b""
         streams: dict = {}
@@ -158,10 +202,12 @@ def _writer(out_dir: str, tokenizer_path: str, end_id: int, special_as_text: boo
                 streams = {k: files.open_output_stream(f"{root}/.{v}.{attempt}") for k, v in names.items()}
                 streams["offsets"].write(np.zeros(1, "<i8").tobytes())
             sizes = np.empty(len(batch), "<i8")
-            for i, text in enumerate(batch["text"]):
-                ids = enc.encode(text or "") + end
-                sizes[i] = len(ids) // enc.dtype.itemsize
-                streams["tokens"].write(ids)
+            at = 0
+            for group in _groups(batch["text"]):
+                ids = enc.encode(group)
+                sizes[at : at + len(ids)] = [len(x) // enc.dtype.itemsize + 1 for x in ids]
+                streams["tokens"].write(end.join(ids) + end)
+                at += len(ids)
             streams["offsets"].write((n_tokens + np.cumsum(sizes)).astype("<i8").tobytes())
             streams["docs"].write(batch["doc_id"].fillna(0).astype("<i8").to_numpy().tobytes())
             n_docs += len(batch)
@@ -194,8 +240,7 @@ def write_token_files(
     after it, streaming, so a task holds one Arrow batch of texts.
     """
     spark = docs.sparkSession
-    files, root = _filesystem(out_dir)
-    files.create_dir(root, recursive=True)
+    out_dir = shared_root(spark, out_dir)
     order = ["doc_id", "text_hash"]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -224,7 +269,7 @@ class _Shard:
     one, else read by range."""
 
     def __init__(self, out_dir: str, shard: int, width: int):
-        self.files, self.root = _filesystem(out_dir)
+        self.files, self.root = filesystem(out_dir)
         self.shard, self.width = shard, width
 
     def _array(self, kind: str, dtype: str) -> np.ndarray:
@@ -274,6 +319,7 @@ def read_token_files(spark: SparkSession, out_dir: str) -> DataFrame:
     """Per document, from the files alone: its id, the corpus-wide start of
     its ids, how many they are, and their CRC-32 as little-endian 32-bit
     integers. One task per shard."""
+    out_dir = shared_root(spark, out_dir)
     shards = read_manifest(spark, out_dir)
     return shards.repartition(shuffle_partitions(spark), "shard").mapInPandas(_reader(out_dir), RECORD)
 
