@@ -227,7 +227,9 @@ def dedup_lines(docs: DataFrame, *, similarity: float = SIMILARITY, pairs_up_to:
     (the lines that stay)."""
     kept = materialize(kept_lines(docs, similarity=similarity, pairs_up_to=pairs_up_to), "kept")
     rows = _keyed(docs).withColumn("lines", _lines(F.col("text")))
-    stay = F.expr(r"filter(lines, (l, i) -> not l rlike '\\S' or coalesce(array_contains(kept, i), false))")
+    # Kept and blank lines by number, in order: no search per line.
+    blank = r"filter(sequence(0, size(lines) - 1), i -> not lines[i] rlike '\\S')"
+    stay = F.expr(f"transform(sort_array(concat(coalesce(kept, cast(array() as array<int>)), {blank})), i -> lines[i])")
     out = rows.join(kept, _DOC, "left").withColumn("stay", stay)
     none = F.lit(0)
     return out.select(

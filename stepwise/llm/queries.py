@@ -15,7 +15,7 @@ from stepwise.llm.language import fit, identify, page_columns
 from stepwise.llm.lines import dedup_lines
 from stepwise.llm.mixing import mix
 from stepwise.llm.periodic import longest, periodic_runs
-from stepwise.llm.pii import pseudonymized
+from stepwise.llm.pii import pii_key, pseudonymized
 from stepwise.llm.repeats import remove_repeats
 from stepwise.llm.scratch import read_table
 from stepwise.llm.secrets import BASE_KINDS, KINDS, counted, find_secrets, listed
@@ -85,13 +85,9 @@ def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
-#: The key of the pseudonyms; a deployment sets its own.
-PII_KEY = "stepwise"
-
-
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with personal data replaced by pseudonyms."""
-    return pseudonymized(read_table(spark, sf_dir, "documents"), PII_KEY)
+    return pseudonymized(read_table(spark, sf_dir, "documents"), pii_key(spark))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

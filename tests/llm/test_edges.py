@@ -73,7 +73,19 @@ def test_pieces_are_the_whole_text():
 
     enc = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     for text in ["a  b", " a b", "a \n b", "a\n\n\nb", "a\tb  c\r\n d ", " ", "\n", "a　 b", "it's 12,3", "x\t", "a\x1cb \x1c c", "é ü z !"]:
-        assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == enc.tok.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc.encode([text])[0], enc.dtype).tolist() == enc.tok.encode(text, add_special_tokens=False).ids
+    # Together, with a memory that is emptied, and with pieces too long for it.
+    texts = ["", "one two", "one  two", "x" * 500 + " two", "\nline", "日本語" * 100 + " a\nb", "one two", "<|endoftext|> one"] * 3
+    for size in (1, 10**9):
+        small = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+        tokens.CACHE_BYTES, before = size, tokens.CACHE_BYTES
+        try:
+            for _ in range(2):
+                got = [np.frombuffer(x, enc.dtype).tolist() for x in small.encode(texts)]
+                assert got == [enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+        finally:
+            tokens.CACHE_BYTES = before
+        assert all(len(p) <= tokens.CACHE_CHARS for p in small.known)
 
 
 def test_secrets(spark, docs, empty):
@@ -578,3 +590,168 @@ def test_re_pair_derives_its_text():
     assert [x for s in left for x in derived(s)] == words
     pairs = list(zip(left, left[1:]))
     assert len(set(pairs)) >= len(pairs) - 1  # a a a is one pair twice, overlapping
+
+
+def test_secrets_of_chained_constants_are_linear():
+    import time
+
+    texts = [
+        'password = ""\n' + "".join(f'password = password + "p{i:04d}Zx9"\n' for i in range(4000)),
+        'v = ""\n' + "".join(f'v = v + "p{i:04d}Zx9"\ndb_password_{i} = v\n' for i in range(4000)),
+    ]
+    for text in texts:
+        start = time.perf_counter()
+        found = secrets.spans(text)
+        assert time.perf_counter() - start < 4  # the square of it would take minutes
+        assert {text[a:b] for k, a, b, _, _ in found if k == "flow"} >= {f"p{i:04d}Zx9" for i in range(3999)}
+    for text in ("*" * 200_000 + "a", "password = " + "your-" + "!" * 100_000 + " b", 'password = "' + "x" * 300_000, "a=" * 50_000, "k: " * 50_000):
+        start = time.perf_counter()
+        secrets.spans(text)
+        assert time.perf_counter() - start < 4
+
+
+@pytest.mark.parametrize(
+    "text, literal",
+    [
+        ('key_secret = "/9j/4AAQSkZJRgABAQ4x"', "/9j/4AAQSkZJRgABAQ4x"),
+        ('db_password = "postgres://bob:hV3kq9ZtR2mB@db/x"', "postgres://bob:hV3kq9ZtR2mB@db/x"),
+        ('passphrase = "correct Horse battery 9 staple"', "correct Horse battery 9 staple"),
+        ('api_key = "kTrue9xQz7Lm2"', "kTrue9xQz7Lm2"),
+        ('auth_token = "abcTODOexample99"', "abcTODOexample99"),
+        ('password = "/usr/local/lib/thing"', None),
+        ('password = "https://example.org/reset"', None),
+        ('password = "Please enter your 2 passwords."', None),
+        ('password = "******"', None),
+        ('token = "your-token-here"', None),
+        ('token = "<insert token>"', None),
+        ('secret = "{{ vault.secret }}"', None),
+    ],
+)
+def test_secret_values(text, literal):
+    found = {text[a:b] for k, a, b, _, _ in secrets.spans(text) if k == "literal"}
+    assert found == ({literal} if literal else set())
+
+
+def test_secret_flow_equals_plain_expansion():
+    """Random programs of assignments: spans by walking every value whole."""
+    import random
+
+    pick = random.Random(11)
+    for _ in range(300):
+        names = ["a", "b", "c", "user", "db_password", "api_key", "auth"]
+        text, known, want = "", {}, {}
+        for _ in range(pick.randrange(1, 14)):
+            name = pick.choice(names)
+            parts, pieces, direct, text = [], {}, {}, text + f"{name} = "
+            for j in range(pick.randrange(1, 4)):
+                text += " + " if j else ""
+                ref = pick.choice(names)
+                if pick.random() < 0.5 and ref in known:
+                    text += ref
+                    parts.append(ref)
+                else:
+                    value = "".join(pick.choice("abXY12_") for _ in range(pick.randrange(2, 20)))
+                    direct[len(text) + 1, len(text) + 1 + len(value), value] = None
+                    text += f'"{value}"'
+            text += "\n"
+            for ref in parts:
+                pieces |= known[ref]
+            weight = secrets.name_score(name)
+            every = [*direct, *(p for p in pieces if p not in direct)]
+            if weight:
+                for piece in every:
+                    own = weight * secrets.value_score(piece[2])
+                    if own >= secrets.MIN_SCORE:
+                        key = ("literal" if piece in direct else "flow", *piece[:2])
+                        want[key] = max(want.get(key, 0), round(own, 6))
+            known[name] = dict.fromkeys(every)
+        got = {s[:3]: s[4] for s in secrets.spans(text) if s[0] in ("literal", "flow")}
+        # What a piece scores by itself is there; the strength of a whole may add to it.
+        assert all(got.get(k, 0) >= v for k, v in want.items()), text
+
+
+def _pseudonyms(spark, texts, key="k"):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in pii.pseudonymized(rows, key).orderBy("doc_id").collect()]
+
+
+def test_pii_of_texts_of_any_shape(spark):
+    """Long texts that look like addresses, numbers or groups: read without recursion."""
+    n = 1_000_000
+    shapes = [
+        "x@" + "a." * (n // 2),
+        "x@" + "a.b-" * (n // 4),
+        "a" * n + "@b.com",
+        "1" * n,
+        "1.1." * (n // 4),
+        "+1 " + "23 " * (n // 3),
+        "DE89 " + "3704 " * (n // 5),
+        "a:" * (n // 2) + "1",
+        "1::" * (n // 3),
+        "1/1/" * (n // 4),
+        "@" * n,
+    ]
+    got = _pseudonyms(spark, [*shapes, "bob@mail.example"])
+    assert got[-1] != "bob@mail.example" and got[-1].endswith(".example")
+    assert [len(a) == len(b) for a, b in zip(got, shapes)].count(False) == 0
+
+
+def test_pii_values_stay_linked_however_they_are_written(spark):
+    linked = [
+        ["Bob@Ex.com", "bob@ex.com", "BOB@EX.COM"],
+        ["+1 415 555 0100", "+14155550100", "+1 (415) 555-0100", "(415) 555-0100", "415-555-0100"],
+        ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000"],
+        ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111"],
+        ["2001:db8::ff00:42:8329", "2001:0DB8:0:0:0:ff00:0042:8329"],
+    ]
+    for same in linked:
+        got = _pseudonyms(spark, [f"see {x} there" for x in same])
+        bare = {"".join(c for c in g[4:-6].lower() if c.isalnum())[-10 if "555" in same[0] else 0 :] for g in got}
+        assert len(bare) == 1, got
+        assert not any(x in g for x, g in zip(same, got))
+        assert all(g.startswith("see ") and g.endswith(" there") for g in got)
+    grouped, compact = _pseudonyms(spark, linked[2])
+    assert grouped.replace(" ", "") == compact and [len(x) for x in grouped.split()] == [4, 4, 4, 4, 4, 2]
+
+
+def test_pii_leaves_alone_what_is_none(spark):
+    texts = ["at 12:30:45 sharp", "std::cout << a::b", "face::add", "::1", "10:20", "1:2:3:4:5:6:7:8:9", "DE89 3704 0044 0532 0130 01 EUR", "a@b", "1.2.3.4.5"]
+    assert _pseudonyms(spark, texts) == texts
+
+
+def test_pii_in_the_middle_of_words(spark):
+    got = _pseudonyms(spark, ["IBAN DE89 3704 0044 0532 0130 00 EUR due", "fe80::1ff:fe23:4567:890a."])
+    assert got[0].startswith("IBAN DE") and got[0].endswith(" EUR due") and "3704" not in got[0][:12]
+    assert got[1].endswith(".") and got[1].count(":") == 7
+
+
+def test_pii_leads_back_by_the_key_alone(spark):
+    texts = [
+        "bob.smith7@mail3.example.com or x_1@y.org, +1 (743) 555-3824 and +4930123456, 4111 1111 1111 1111",
+        "10.2.3.255 2001:0db8:0000:0000:0000:ff00:0042:8329 123-45-6789 1987-02-28 05.03.1990 899-01-0001 665-99-9999 667-01-0001",
+        "GB82WEST12345698765432 DE89 3704 0044 0532 0130 00 0.0.0.0 255.255.255.255 2199-12-31 1800-01-01",
+        None,
+        "",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hidden = pii.pseudonymize(rows, "k")
+    assert all(a.text != t for a, t in zip(hidden.orderBy("doc_id").collect(), texts) if t)
+    assert [r.text for r in pii.reveal(hidden, "k").orderBy("doc_id").collect()] == texts
+    assert [r.text for r in pii.reveal(hidden, "other").orderBy("doc_id").collect()][:3] != texts[:3]
+
+
+def test_pii_key_and_column_names(spark):
+    from stepwise.llm import queries
+
+    assert pii.pii_key(spark) == pii.TEST_KEY
+    spark.conf.set(pii.KEY_SETTING, "another")
+    try:
+        assert pii.pii_key(spark) == "another"
+        with_key = {r.doc_id: r.text for r in queries.op9_pii_pseudonyms(spark, "/root/testdata/sf0.001").collect()}
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    without = {r.doc_id: r.text for r in queries.op9_pii_pseudonyms(spark, "/root/testdata/sf0.001").collect()}
+    assert with_key != without
+    clash = spark.createDataFrame([(1, "a@b.cd", 5)], "doc_id long, text string, pii int")
+    assert pii.pseudonymize(clash, "k").first().pii == ["email"]
+    assert pii.reveal(pii.pseudonymize(clash, "k", kinds="found"), "k").first().pii == 5
