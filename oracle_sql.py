@@ -630,6 +630,32 @@ relation(
     "stg_events",
 )
 
+RELATIONS["colocated_channel_device"] = RELATIONS["channel_device_performance"]
+RELATIONS["colocated_category"] = RELATIONS["category_performance"]
+RELATIONS["observed_quality_checks"] = RELATIONS["data_quality_checks"]
+RELATIONS["merged_baseline"] = RELATIONS["revenue_baseline"]
+relation(
+    "merged_distinct",
+    """
+    SELECT date_trunc('week', event_date)::DATE AS week, count(DISTINCT event_date) AS days, count(*) AS event_count,
+      count(DISTINCT user_pseudo_id) AS users, count(DISTINCT session_key) AS sessions,
+      true AS users_near, true AS sessions_near
+    FROM stg_events GROUP BY ALL
+    """,
+    "stg_events",
+)
+relation(
+    "windows_report",
+    """
+    SELECT w.name AS "window", event_name, count(*) AS event_count, count(DISTINCT session_key) AS sessions
+    FROM stg_events, (SELECT min(event_date) AS lo, max(event_date) AS hi FROM stg_events) e,
+      (VALUES ('first week'), ('last week')) w(name)
+    WHERE if(w.name = 'first week', event_date < e.lo + 7, event_date > e.hi - 7)
+    GROUP BY ALL
+    """,
+    "stg_events",
+)
+
 # ------------------------------------------------------------- exports -----
 #: The header line and the order of each exported file.
 _FUNNEL = "funnel_type unit_type step_order"

@@ -16,13 +16,14 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stepwise.functions.columns import param_int, session_key
 from stepwise.operators.staging import stg_events, stg_items
-from stepwise.plans import funnels, performance, profile, quality, revenue, summary, views
+from stepwise.plans import funnels, incremental, performance, profile, quality, revenue, summary, views
 from stepwise.plans.narrow import ITEM_COLUMNS, STEP_COLUMNS, write_once
 from stepwise.session import shared_dir
 from stepwise.sources.export import MART_NAMES, as_cells, export_all, read_csv, read_exports, write_csv
 from stepwise.sources.fixture import load_raw
-from stepwise.sources.ga4 import apply_window, read_raw_events, replace_days, write_raw_events
+from stepwise.sources.ga4 import apply_window, events_in_windows, read_raw_events, replace_days, write_raw_events
 
 
 class Marts:
@@ -342,6 +343,77 @@ def _reloaded_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.daily_totals(Marts(read_raw_events(spark, path, None)).stg_events)
 
 
+def _colocated(name: str, tables: list[str]) -> Callable[[SparkSession, str], DataFrame]:
+    """A layer built on tables that are bucketed by its key."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from stepwise.plans.colocated import in_shared_folder
+
+        return getattr(in_shared_folder(fixture_marts(spark, sf_dir), tables), name)
+
+    return run
+
+
+def _observed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality checks, observed while staging and marts are written."""
+    from stepwise.plans.pipeline import run_checked
+
+    return run_checked(load_raw(spark, sf_dir), None, shared_dir(spark, "exports"))
+
+
+def _merged_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue baseline of a state that was loaded in three parts which
+    overlap, one of them twice and late."""
+    events = fixture_marts(spark, sf_dir).stg_events
+    state = incremental.TransactionState(spark, shared_dir(spark, "transactions")).create()
+    day = F.col("event_date")
+    lo, hi = (F.to_date(F.lit(d), "yyyyMMdd") for d in WINDOW)
+    for load, rows in {
+        "after": events.where(day > lo),
+        "before": events.where((day <= hi) | day.isNull()),
+        "again": events.where(day.between(lo, hi)),
+    }.items():
+        state.merge(rows, load)
+    return revenue.revenue_baseline(state.transactions())
+
+
+def _merged_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users and sessions per week: exact, and whether the count of the
+    merged daily sketches is within five standard errors of it."""
+    events = fixture_marts(spark, sf_dir).stg_events
+    path = shared_dir(spark, "sketches")
+    incremental.write_sketches(incremental.daily_sketches(events), path)
+    week = F.date_trunc("week", "event_date").cast("date").alias("week")
+    daily = incremental.read_sketches(spark, path).withColumn("week", week)
+    merged = incremental.merged_counts(daily, "week")
+    names = list(incremental.COUNTED)
+    exact = events.groupBy(week).agg(*[F.countDistinct(c).alias(n) for n, c in incremental.COUNTED.items()])
+    bound = 5 * incremental.STANDARD_ERROR
+    near = [(F.abs(F.col(f"estimated_{n}") - F.col(n)) <= bound * F.col(n) + 1).alias(f"{n}_near") for n in names]
+    return merged.join(exact, "week").select("week", "days", "event_count", *names, *near)
+
+
+def _windows_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and sessions of windows that are only known from the data: the
+    first and the last week of the table."""
+    path = shared_dir(spark, "sharded")
+    write_raw_events(load_raw(spark, sf_dir), path)
+    raw = read_raw_events(spark, path, None)
+    day = F.to_date("event_date", "yyyyMMdd")
+    ends = raw.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    windows = ends.select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("first week").alias("window"), F.col("first").alias("lo"), F.date_add("first", 6).alias("hi")),
+                F.struct(F.lit("last week").alias("window"), F.date_sub("last", 6).alias("lo"), F.col("last").alias("hi")),
+            )
+        )
+    ).select("window", *[F.date_format(c, "yyyyMMdd").alias(c) for c in ("lo", "hi")])
+    seen = events_in_windows(raw, windows)
+    key = session_key("user_pseudo_id", param_int("event_params", "ga_session_id"))
+    return seen.groupBy("window", "event_name").agg(F.count(F.lit(1)).alias("event_count"), F.countDistinct(key).alias("sessions"))
+
+
 def _scaled_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = fixture_marts(spark, sf_dir).shared()
     return revenue.revenue_leakage(m.funnel_transitions, m.revenue_baseline, SCALED_TIERS)
@@ -389,6 +461,12 @@ OTHER_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "view_friction_score": lambda spark, sf_dir: _view_chain(spark, sf_dir, "mart_friction_score"),
     "view_data_quality_checks": lambda spark, sf_dir: _view_chain(spark, sf_dir, "data_quality_checks"),
     "reloaded_days": _reloaded_days,
+    "colocated_channel_device": _colocated("channel_device_performance", ["session_events"]),
+    "colocated_category": _colocated("category_performance", ["session_items"]),
+    "observed_quality_checks": _observed_checks,
+    "merged_baseline": _merged_baseline,
+    "merged_distinct": _merged_distinct,
+    "windows_report": _windows_report,
     "scaled_revenue_leakage": _scaled_leakage,
     "scaled_category_performance": _scaled_categories,
 }

@@ -20,11 +20,13 @@ from pyspark.sql import types as T
 
 from stepwise.operators.staging import STG_EVENTS_COLUMNS, STG_ITEMS_COLUMNS
 from stepwise.plans.catalog import VIEW_NAMES, Marts
+from stepwise.plans.quality import Observed
 from stepwise.session import shared_dir
 from stepwise.sources.export import MART_NAMES, write_csv
 
 
 def _write_staged(df: DataFrame, path: str) -> None:
+    # Sorting neither drops nor repeats rows, so what is observed of df is what is written.
     (
         df.sortWithinPartitions("event_date", "event_name")
         .write.mode("overwrite")
@@ -39,14 +41,15 @@ def _read_staged(spark: SparkSession, path: str, schema: T.StructType, columns:
     return spark.read.schema(schema).option("basePath", path).parquet(path).select(*columns)
 
 
-def stage(marts: Marts, out_dir: str | None = None) -> Marts:
+def stage(marts: Marts, out_dir: str | None = None, checks: Observed | None = None) -> Marts:
     """Materialise stg_events and stg_items under ``out_dir`` (default: a
     fresh folder under the session's checkpoint dir) and return a ``Marts``
-    that builds on them."""
+    that builds on them. ``checks``: those of the staging layer are observed
+    while it is written."""
     spark = marts.stg_events.sparkSession
     base = (out_dir or shared_dir(spark, "layers")).rstrip("/")
     ev, it = marts.stg_events, marts.stg_items
-    _write_staged(ev, f"{base}/stg_events")
+    _write_staged(checks.watch("stg_events", ev) if checks else ev, f"{base}/stg_events")
     _write_staged(it, f"{base}/stg_items")
     staged = (
         _read_staged(spark, f"{base}/stg_events", ev.schema, STG_EVENTS_COLUMNS),
@@ -95,6 +98,26 @@ def run_pipeline(
     return {name: write_csv(name, getattr(layered, name), export_dir) for name in MART_NAMES}
 
 
+def run_checked(
+    raw: DataFrame,
+    window: tuple[str, str] | None,
+    export_dir: str,
+    stage_dir: str | None = None,
+) -> DataFrame:
+    """``run_pipeline`` with the quality checks observed while staging and
+    marts are written: nothing that was written is read for a check. Returns the
+    checks, which are exported like the other marts."""
+    checks = Observed()
+    staged = stage(Marts(raw, window), stage_dir, checks)
+    layered = stage_intermediate(staged, f"{stage_dir.rstrip('/')}/intermediate" if stage_dir else None)
+    for name in MART_NAMES:
+        if name != "data_quality_checks":
+            write_csv(name, getattr(layered, name), export_dir, checks.watch)
+    result = checks.result(raw.sparkSession)
+    write_csv("data_quality_checks", result, export_dir)
+    return result
+
+
 def _escaped(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 

@@ -9,7 +9,10 @@ which count what is there and pass when it is positive.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stepwise.plans.profile import KEY_FUNNEL_EVENTS
@@ -50,19 +53,12 @@ CHECKS = {
 }
 
 
-def _checks(df: DataFrame, specs: list[tuple[str, Column, bool]]) -> DataFrame:
-    """All checks over one table in ONE aggregate (one pass, one copy of
-    the table's plan), then one row per check.
-
-    ``specs``: (check name, aggregate value, pass when positive).
-    """
-    values = df.agg(
-        *[F.coalesce(v.cast("long"), F.lit(0).cast("long")).alias(f"_v{i}") for i, (_, v, _) in enumerate(specs)]
-    )
+def _rows(names: list[tuple[str, bool]], value: Callable[[int], Column]) -> Column:
+    """An array of result rows; ``value(i)`` is the value of the i-th check."""
     rows = []
-    for i, (name, _, positive) in enumerate(specs):
+    for i, (name, positive) in enumerate(names):
         area, description = CHECKS[name]
-        v = F.col(f"_v{i}")
+        v = value(i)
         ok = (v > 0) if positive else (v == 0)
         rows.append(
             F.struct(
@@ -73,7 +69,22 @@ def _checks(df: DataFrame, specs: list[tuple[str, Column, bool]]) -> DataFrame:
                 F.lit(description).alias("check_description"),
             )
         )
-    return values.select(F.inline(F.array(*rows)))
+    return F.array(*rows)
+
+
+def _checks(df: DataFrame, specs: list[tuple[str, Column, bool]]) -> DataFrame:
+    """All checks over one table in ONE aggregate (one pass, one copy of
+    the table's plan), then one row per check.
+
+    ``specs``: (check name, aggregate value, pass when positive).
+    """
+    values = df.agg(*metrics(specs))
+    return values.select(F.inline(_rows([(name, some) for name, _, some in specs], lambda i: F.col(f"_v{i}"))))
+
+
+def metrics(specs: list[tuple[str, Column, bool]]) -> list[Column]:
+    """The values of checks as aggregates ``_v0``, ``_v1``, ..."""
+    return [F.coalesce(v.cast("long"), F.lit(0).cast("long")).alias(f"_v{i}") for i, (_, v, _) in enumerate(specs)]
 
 
 def _outside(c: str, lo: float, hi: float) -> Column:
@@ -86,6 +97,62 @@ def _not_positive(c: str) -> Column:
     return col.isNull() | (col <= 0)
 
 
+def specs() -> dict[str, list[tuple[str, Column, bool]]]:
+    """Layer -> its checks: (check name, aggregate value, pass when positive)."""
+    key_event = F.col("event_name").isin(KEY_FUNNEL_EVENTS)
+    return {
+        "category_performance": [
+            ("reliable_categories_available", F.count_if(~F.col("is_low_confidence_category")), True),
+        ],
+        "friction_score": [
+            (
+                "friction_scores_between_0_and_100",
+                F.count_if(F.col("friction_score").isNull() | _outside("friction_score", 0, 100)),
+                False,
+            )
+        ],
+        "funnel_summary": [
+            (
+                "funnel_counts_do_not_increase",
+                F.count_if(
+                    (F.col("step_order") > 1)
+                    & F.coalesce(F.col("reached_count") > F.col("previous_step_count"), F.lit(False))
+                ),
+                False,
+            ),
+            (
+                "funnel_rates_between_0_and_1",
+                F.count_if(
+                    _outside("step_conversion_rate", 0, 1)
+                    | _outside("overall_conversion_rate", 0, 1)
+                    | _outside("dropoff_rate", 0, 1)
+                ),
+                False,
+            ),
+        ],
+        "revenue_leakage": [
+            (
+                "estimated_leakage_not_negative",
+                F.count_if(F.coalesce(F.col("estimated_revenue_leakage") < 0, F.lit(False))),
+                False,
+            ),
+            (
+                "revenue_baseline_valid",
+                F.count_if(
+                    _not_positive("unique_transactions")
+                    | _not_positive("total_purchase_revenue")
+                    | _not_positive("average_order_value")
+                ),
+                False,
+            ),
+        ],
+        "stg_events": [
+            ("key_funnel_events_no_null_sessions", F.count_if(key_event & F.col("session_key").isNull()), False),
+            ("stg_events_not_empty", F.count(F.lit(1)), True),
+        ],
+    }
+
+
 def data_quality_checks(
     category_performance: DataFrame,
     friction: DataFrame,
@@ -93,72 +160,38 @@ def data_quality_checks(
     leakage: DataFrame,
     stg_events: DataFrame,
 ) -> DataFrame:
-    key_event = F.col("event_name").isin(KEY_FUNNEL_EVENTS)
-    checks = [
-        _checks(
-            category_performance,
-            [("reliable_categories_available", F.count_if(~F.col("is_low_confidence_category")), True)],
-        ),
-        _checks(
-            friction,
-            [
-                (
-                    "friction_scores_between_0_and_100",
-                    F.count_if(F.col("friction_score").isNull() | _outside("friction_score", 0, 100)),
-                    False,
-                )
-            ],
-        ),
-        _checks(
-            summary,
-            [
-                (
-                    "funnel_counts_do_not_increase",
-                    F.count_if(
-                        (F.col("step_order") > 1)
-                        & F.coalesce(F.col("reached_count") > F.col("previous_step_count"), F.lit(False))
-                    ),
-                    False,
-                ),
-                (
-                    "funnel_rates_between_0_and_1",
-                    F.count_if(
-                        _outside("step_conversion_rate", 0, 1)
-                        | _outside("overall_conversion_rate", 0, 1)
-                        | _outside("dropoff_rate", 0, 1)
-                    ),
-                    False,
-                ),
-            ],
-        ),
-        _checks(
-            leakage,
-            [
-                (
-                    "estimated_leakage_not_negative",
-                    F.count_if(F.coalesce(F.col("estimated_revenue_leakage") < 0, F.lit(False))),
-                    False,
-                ),
-                (
-                    "revenue_baseline_valid",
-                    F.count_if(
-                        _not_positive("unique_transactions")
-                        | _not_positive("total_purchase_revenue")
-                        | _not_positive("average_order_value")
-                    ),
-                    False,
-                ),
-            ],
-        ),
-        _checks(
-            stg_events,
-            [
-                ("key_funnel_events_no_null_sessions", F.count_if(key_event & F.col("session_key").isNull()), False),
-                ("stg_events_not_empty", F.count(F.lit(1)), True),
-            ],
-        ),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.union(c)  # same five columns in the same order
+    layers = (category_performance, friction, summary, leakage, stg_events)
+    out = reduce(DataFrame.union, [_checks(df, own) for df, own in zip(layers, specs().values())])
     return out.orderBy("check_area", "check_name")
+
+
+class Observed:
+    """Checks whose values are observed while their layers are written.
+
+    ``watch`` attaches a layer's checks to the frame that is written anyway;
+    once all layers are written, ``result`` has the rows of
+    ``data_quality_checks`` without a second read of any of them. A layer must be
+    written once, and its frame must reach the writer as it is (what is between
+    ``watch`` and the write must not drop or repeat rows)."""
+
+    def __init__(self) -> None:
+        self.specs = specs()
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, layer: str, df: DataFrame) -> DataFrame:
+        """``df`` as it is, observed if ``layer`` has checks."""
+        if layer not in self.specs:
+            return df
+        if layer in self.seen:
+            raise ValueError(f"{layer} is watched already")
+        self.seen[layer] = Observation(f"checks of {layer}")
+        return df.observe(self.seen[layer], *metrics(self.specs[layer]))
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        missing = sorted(set(self.specs) - set(self.seen))
+        if missing:
+            raise ValueError(f"not written yet: {missing}")
+        found = [(name, some, self.seen[layer].get[f"_v{i}"]) for layer, own in self.specs.items() for i, (name, _, some) in enumerate(own)]
+        # One row per check.
+        rows = _rows([(name, some) for name, some, _ in found], lambda i: F.lit(found[i][2]).cast("long"))
+        return spark.range(1).select(F.inline(rows)).orderBy("check_area", "check_name")

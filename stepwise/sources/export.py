@@ -16,6 +16,7 @@ replaced is refused.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,9 +64,11 @@ def _metrics(columns: list[str]) -> list[Column]:
     return [F.count(F.lit(1)).alias("n_rows"), F.coalesce(checksum, F.lit(0).cast("decimal(38,0)")).alias("checksum")]
 
 
-def write_csv(name: str, df: DataFrame, out_dir: str) -> str:
+def write_csv(name: str, df: DataFrame, out_dir: str, watch: Callable[[str, DataFrame], DataFrame] | None = None) -> str:
+    """``watch``: may observe the frame that is written."""
     path = f"{out_dir.rstrip('/')}/{name}"
-    _write(export_frame(name, df), path)
+    frame = export_frame(name, df)
+    _write(watch(name, frame) if watch else frame, path)
     return path
 
 

@@ -56,6 +56,23 @@ def read_raw_events(
     return apply_window(reader.parquet(*there), window)
 
 
+def events_in_windows(raw: DataFrame, windows: DataFrame) -> DataFrame:
+    """The events of each of ``windows(window, lo, hi)`` with its name (an event
+    of two windows is there twice). ``lo`` and ``hi`` are inclusive days
+    (yyyyMMdd); a window whose ``lo`` is after its ``hi`` has no events.
+
+    The windows are known at run time only. Their days are joined to the
+    partition column, so Spark prunes the folders by the days it finds (dynamic
+    partition pruning) and reads no others. A table of days is small: a row per
+    window and day, far below any broadcast threshold; it is not hinted, so a
+    long list of windows is left to Spark's measure."""
+    first, last = (F.to_date(c, "yyyyMMdd") for c in ("lo", "hi"))
+    days = windows.where(F.col("lo") <= F.col("hi")).select(
+        "window", F.explode(F.transform(F.sequence(first, last), lambda d: F.date_format(d, "yyyyMMdd"))).alias("event_date")
+    )
+    return raw.join(days, "event_date")
+
+
 def _shards(spark: SparkSession, path: str, window: tuple[str, str]) -> list[str]:
     """The ``event_date=`` folders of ``path`` inside the window; one listing of its first level."""
     lo, hi = window
