@@ -45,13 +45,15 @@ from stepwise.llm.tokens import filesystem, shared_root
 
 #: Characters of text in a block.
 BLOCK_BYTES = 16 << 20
+#: A task numbers its blocks from its own number times this; both fit 31 bits.
+BLOCKS = 1 << 11
 #: Words of blocks that an encoding task gathers before it hands them on.
 GATHER = 1 << 17
 #: Words or ids that are put together at a time.
 SLICE = 1 << 20
 
 WORDS = "block long, doc_ids array<long>, n_words array<long>, words array<string>, positions string"
-WORD_IDS = "block long, at binary, sizes binary, ids binary"
+WORD_IDS = "block long, packed binary"
 IDS = "block long, vocabulary string, doc_ids array<long>, n_ids array<long>, ids binary"
 DECODED = "doc_id long, ids array<int>, decoded binary"
 
@@ -79,6 +81,27 @@ def _narrow(values: np.ndarray, bound: int) -> np.ndarray:
     return values.astype("<u2" if bound <= 1 << 16 else "<u4")
 
 
+def _squeezed(*parts: bytes) -> bytes:
+    """Byte strings as one, compressed each."""
+    packed = [zstandard.compress(p) for p in parts]
+    return np.array([len(p) for p in packed], "<u4").tobytes() + b"".join(packed)
+
+
+def _unsqueezed(packed: bytes, n: int) -> list[bytes]:
+    sizes = np.frombuffer(packed, "<u4", n)
+    ends = 4 * n + np.cumsum(sizes)
+    return [zstandard.decompress(packed[e - s : e]) for s, e in zip(sizes.tolist(), ends.tolist())]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers of 32 bits by significance: all lowest bytes, then the next."""
+    return values.astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, "u1").reshape(4, -1).T).view("<u4").ravel()
+
+
 def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> Iterator[np.ndarray]:
     """The stretches ``flat[starts[c]:][:sizes[c]]`` for the codes in order, a
     slice of codes at a time."""
@@ -106,7 +129,7 @@ def _pack(out_dir: str, pattern: str):
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        cut, block = regex.compile(pattern), task.partitionId() << 32
+        cut, block = regex.compile(pattern), task.partitionId() * BLOCKS
         files, root = filesystem(out_dir)
         doc_ids: list = []
         n_words: list[int] = []
@@ -115,9 +138,11 @@ def _pack(out_dir: str, pattern: str):
         size = 0
 
         def row() -> pd.DataFrame:
+            if block >= (task.partitionId() + 1) * BLOCKS:
+                raise ValueError("a task with too many blocks: read the table in smaller splits")
             name = f"positions-{block}-{task.taskAttemptId()}.bin"
             with files.open_output_stream(f"{root}/{name}", compression=None) as f:
-                f.write(zstandard.compress(_narrow(np.concatenate(codes), len(number)).tobytes()))
+                f.write(_squeezed(_planes(np.concatenate(codes))))
             return pd.DataFrame({"block": [block], "doc_ids": [doc_ids], "n_words": [n_words], "words": [list(number)], "positions": [name]})
 
         for batch in batches:
@@ -155,13 +180,18 @@ def _encode(path: str, top: int):
         n, last, size, ids = 0, None, 0, b""
 
         def rows() -> pa.RecordBatch:
-            packed = [(b, at.tobytes(), sizes.tobytes(), b"".join(parts)) for b, (at, sizes, parts) in held.items()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in packed], pa.int64() if i == 0 else pa.binary()) for i in range(4)], names=["block", "at", "sizes", "ids"]
-            )
+            packed = []
+            for at, sizes, parts in held.values():
+                numbers = np.array(at, np.uint32)
+                order = np.argsort(numbers)  # by number: small differences
+                steps = np.diff(numbers[order], prepend=np.uint32(0))
+                ids_of = b"".join([parts[i] for i in order.tolist()])
+                packed.append(_squeezed(_planes(steps), _planes(np.array(sizes, np.uint32)[order]), ids_of))
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(packed, pa.binary())], names=["block", "packed"])
 
         for batch in batches:
-            for word, block, at in zip(*(batch.column(c).to_pylist() for c in ("word", "block", "at"))):
+            for word, place in zip(*(batch.column(c).to_pylist() for c in ("word", "place"))):
+                block, at = place >> 32, place & 0xFFFFFFFF
                 if word != last:
                     packed = array(code, own(word))
                     last, size, ids = word, len(packed), packed.tobytes()
@@ -188,14 +218,14 @@ def _assemble(out_dir: str, path: str, top: int):
         files, root = filesystem(out_dir)
         for batch in batches:
             for r in batch.itertuples():
-                held = [] if r.held is None else list(r.held)
-                flat = np.frombuffer(b"".join(h["ids"] for h in held), width)
-                sizes_in = np.frombuffer(b"".join(h["sizes"] for h in held), "=u4").astype(np.int64)
-                at = np.frombuffer(b"".join(h["at"] for h in held), "=u4")
+                held = [] if r.held is None else [_unsqueezed(h, 3) for h in r.held]
+                flat = np.frombuffer(b"".join(h[2] for h in held), width)
+                sizes_in = _joined((_from_planes(h[1]) for h in held), "<u4").astype(np.int64)
+                at = _joined((np.cumsum(_from_planes(h[0]), dtype=np.uint32) for h in held), "<u4")
                 starts, sizes = np.zeros((2, r.n), np.int64)
                 starts[at], sizes[at] = np.cumsum(sizes_in) - sizes_in, sizes_in
                 with files.open_input_file(f"{root}/{r.positions}") as f:
-                    codes = np.frombuffer(zstandard.decompress(f.read()), "<u2" if r.n <= 1 << 16 else "<u4")
+                    codes = _from_planes(*_unsqueezed(f.read(), 1))
                 ids = _joined(_gather(flat, starts, sizes, codes), flat.dtype)
                 ends = np.concatenate(([0], np.cumsum(sizes[codes])))[np.cumsum(r.n_words)]
                 yield pd.DataFrame({
@@ -216,11 +246,12 @@ def encode_blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     blocks = words_of(docs, pattern, out_dir)
     ids = (
         blocks.select("block", F.posexplode("words").alias("at", "word"))
+        .select("word", F.shiftleft("block", 32).bitwiseOR(F.col("at").cast("long")).alias("place"))
         .repartition("word")
         .sortWithinPartitions("word")
         .mapInArrow(_encode(path, top), WORD_IDS)
         .groupBy("block")
-        .agg(F.collect_list(F.struct("at", "sizes", "ids")).alias("held"))  # the words of one block
+        .agg(F.collect_list("packed").alias("held"))  # the words of one block
     )
     whole = blocks.select("block", "doc_ids", "n_words", "positions", F.size("words").alias("n")).join(ids, "block", "left")
     return whole.mapInPandas(_assemble(out_dir, path, top), IDS)
