@@ -46,7 +46,7 @@ from stepwise.llm.scratch import scratch_dir, shuffle_partitions
 END_ID = 2
 #: Bytes of pieces and ids that a worker remembers before it starts again with an
 #: empty memory, with so many bytes more per piece; longer pieces aren't kept.
-CACHE_BYTES, CACHE_ENTRY, CACHE_CHARS = 192 << 20, 200, 64
+CACHE_BYTES, CACHE_ENTRY, CACHE_CHARS = 256 << 20, 160, 64
 #: Characters of text that are encoded together.
 GROUP_CHARS = 1 << 20
 #: Token ids gathered before a read-back task hands on a batch.
@@ -105,31 +105,33 @@ class Encoder:
         """The ids of each text, packed as ``self.dtype``."""
         if not self.by_piece:
             return self._whole(texts)
-        known, cut, new = self.known, [], set()
-        for text in texts:
+        known, get = self.known, self.known.get
+        out: list[bytes | None] = []
+        lacking: list[tuple[int, list[str], list[bytes | None]]] = []
+        new: dict[str, bytes | None] = {}
+        for i, text in enumerate(texts):
             pieces = text.replace("\n", " \n").split(" ")
             pieces[0] += " "
-            cut.append(pieces)
-            new.update(set(pieces).difference(known))
-        torn = {p for p in new if _tears(p)}
-        new -= torn
-        order = [p for p in new if len(p) <= CACHE_CHARS]
-        longer = [p for p in new if len(p) > CACHE_CHARS]
-        fresh = self._whole([p[:-1] if p[-1] == " " else p if p[0] == "\n" else " " + p for p in order + longer])
-        known.update(zip(order, fresh))
-        once = dict(zip(longer, fresh[len(order) :]))
-        out: list[bytes | None] = []
-        for pieces in cut:
-            if torn and not torn.isdisjoint(pieces):
+            got = list(map(get, pieces))  # one look for each piece
+            if None in got:
+                lacking.append((i, pieces, got))
+                new.update((p, None) for p, ids in zip(pieces, got) if ids is None)
                 out.append(None)
-            elif once:
-                out.append(b"".join([known[p] if p in known else once[p] for p in pieces]))
             else:
-                out.append(b"".join(map(known.__getitem__, pieces)))
+                out.append(b"".join(got))
+        order = [p for p in new if not _tears(p)]
+        fresh = self._whole([p[:-1] if p[-1] == " " else p if p[0] == "\n" else " " + p for p in order])
+        new.update(zip(order, fresh))
+        for i, pieces, got in lacking:
+            full = [new[p] if ids is None else ids for p, ids in zip(pieces, got)]
+            if None not in full:  # else a piece that tears white space apart
+                out[i] = b"".join(full)
+        kept = [(p, ids) for p, ids in zip(order, fresh) if len(p) <= CACHE_CHARS]
+        known.update(kept)
         whole = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
-        self.held += sum(2 * len(p) + len(known[p]) for p in order) + CACHE_ENTRY * len(order)
+        self.held += sum(2 * len(p) + len(ids) for p, ids in kept) + CACHE_ENTRY * len(kept)
         if self.held > CACHE_BYTES:
             known.clear()
             self.held = 0
