@@ -755,3 +755,23 @@ def test_pii_key_and_column_names(spark):
     clash = spark.createDataFrame([(1, "a@b.cd", 5)], "doc_id long, text string, pii int")
     assert pii.pseudonymize(clash, "k").first().pii == ["email"]
     assert pii.reveal(pii.pseudonymize(clash, "k", kinds="found"), "k").first().pii == 5
+
+
+def test_language_labels_are_read_once(spark):
+    labelled = spark.createDataFrame([("some text", "en-GB"), ("ein Text", "DEU"), ("x", "und"), ("y", None)], "text string, label string")
+    sample = language._sample(labelled, None, 10)
+    assert sample._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 1
+    assert sorted(r.label for r in sample.collect()) == ["de", "en"]
+
+
+def test_language_pages(spark):
+    pages = [
+        "<p>caf&eacute; &#233;t&eacute;</p>",
+        "<!-- never closed " + "<!-- " * 200_000,
+        "<script>" * 100_000 + "x",
+        "a < b and <i>c</i>",
+        None,
+    ]
+    rows = spark.createDataFrame([(i, "https://h.de/x", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = [r.text.strip() for r in language.page_columns(rows).orderBy("page_id").select("text").collect()]
+    assert got[0] == "café été" and got[1] == "" and got[2] == "" and " ".join(got[3].split()) == "a < b and c" and got[4] == ""
