@@ -49,8 +49,8 @@ BLOCK_BYTES = 16 << 20
 BLOCKS = 1 << 11
 #: Words of blocks that an encoding task gathers before it hands them on.
 GATHER = 1 << 17
-#: Words or ids that are put together at a time.
-SLICE = 1 << 20
+#: Words or ids that are put together at a time, and ids of a block that ``decode`` makes.
+SLICE, DECODE_IDS = 1 << 16, 1 << 20
 
 WORDS = "block long, doc_ids array<long>, n_words array<long>, words array<string>, positions string"
 WORD_IDS = "block long, packed binary"
@@ -112,6 +112,17 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.n
         yield flat[np.arange(ends[-1]) + np.repeat(starts[part] - ends + size, size)]
 
 
+def _ends(sizes: np.ndarray, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The sizes of the first ``n`` codes together, for each ``n`` of ``at`` (ascending)."""
+    out, total = np.zeros(len(at), np.int64), 0
+    for begin in range(0, len(codes), SLICE):
+        sums = total + np.cumsum(sizes[codes[begin : begin + SLICE]])
+        inside = slice(np.searchsorted(at, begin, "right"), np.searchsorted(at, begin + len(sums), "right"))
+        out[inside] = sums[at[inside] - begin - 1]
+        total = int(sums[-1])
+    return out
+
+
 def _ragged(parts: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Values, starts and sizes of byte strings laid end to end."""
     width = np.dtype(dtype).itemsize
@@ -227,7 +238,8 @@ def _assemble(out_dir: str, path: str, top: int):
                 with files.open_input_file(f"{root}/{r.positions}") as f:
                     codes = _from_planes(*_unsqueezed(f.read(), 1))
                 ids = _joined(_gather(flat, starts, sizes, codes), flat.dtype)
-                ends = np.concatenate(([0], np.cumsum(sizes[codes])))[np.cumsum(r.n_words)]
+                ends = _ends(sizes, codes, np.cumsum(r.n_words))
+                del codes, starts
                 yield pd.DataFrame({
                     "block": [r.block],
                     "vocabulary": [path],
@@ -286,7 +298,7 @@ def _spell(top: int, skip_unknown: bool):
                 at[known], size[known] = starts, sizes
                 text = _joined(_gather(flat, at, size, ids), np.uint8)
                 ends = np.concatenate(([0], np.cumsum(r["n_ids"], dtype=np.int64)))
-                bytes_to = np.concatenate(([0], np.cumsum(size[ids])))[ends]
+                bytes_to = _ends(size, ids, ends)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(r["doc_ids"], pa.int64()),
@@ -322,7 +334,7 @@ def _repack(path: str, top: int):
             held, size = [], 0
             for doc_id, ids in zip(batch["doc_id"].astype(object).where(batch["doc_id"].notna(), None), batch["ids"]):
                 ids = np.zeros(0, np.int64) if ids is None else np.asarray(ids, np.int64)
-                if held and size + len(ids) > SLICE:
+                if held and size + len(ids) > DECODE_IDS:
                     yield _block(block, held, path, top)
                     held, size, block = [], 0, block + 1
                 held.append((doc_id, ids))
