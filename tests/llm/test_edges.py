@@ -412,6 +412,44 @@ def test_topk(spark, empty):
     assert [tuple(r) for r in got] == [(q, n, i, max(-limit - 1, min(limit, s))) for q, n, i, s in want]
     none = vectors.limit(0)
     assert topk.top_k(none, none).count() == 0
+    assert topk.top_k(none, vectors).count() == 0
+    assert topk.top_k(vectors, none).count() == 0
+
+
+def test_topk_shards_rounds_and_copies(spark, monkeypatch):
+    """Many shards, blocks and rounds give what all inner products give; a shard's
+    tree is written once, and clustered vectors are not sent to every shard."""
+    draw = np.random.default_rng(5)
+    mids = draw.normal(size=(12, 6)) * 4
+    rows = [(i, (mids[i % 12] + draw.normal(size=6) * 0.1).tolist()) for i in range(900)]
+    rows += [(i, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]) for i in range(900, 1300)]  # a third are one vector
+    rows += [(1301, [0.5] * 6)] * 7 + [(1350, []), (1351, []), (1400, [2.0] * 3), (1401, [-2.0] * 3)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    kept = {}
+
+    def seen(df, tag):
+        kept[tag] = materialize(df, tag)
+        return kept[tag]
+
+    materialize = topk.materialize
+    monkeypatch.setattr(topk, "materialize", seen)
+    got = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), shard_rows=40, block_queries=7, block_shards=5)
+    assert sorted(map(tuple, got.collect())) == brute.top_k(rows)
+    trees = kept["trees"]
+    assert trees.count() == trees.select("shard").distinct().count() > 20
+    sent = sum(kept[f"routes-{n}"].count() for n in range(len(topk.ROUNDS)))
+    assert sent < 0.7 * trees.count() * kept["queries"].count()
+
+
+def test_topk_bound_holds():
+    draw = np.random.default_rng(6)
+    rows = np.floor(256 * draw.normal(size=(500, 9)))
+    tree = topk.BallTree(rows, leaf=16)
+    queries = np.floor(256 * draw.normal(size=(20, 9)))
+    bounds = topk._bounds(tree.centers, tree.radii, queries)
+    for node, (lo, hi) in enumerate(tree.spans):
+        assert ((tree.rows[lo:hi] @ queries.T).max(axis=0) <= bounds[node]).all()
+    assert sorted(tree.order.tolist()) == list(range(500))
 
 
 def test_pii(spark, docs, empty):
