@@ -49,7 +49,7 @@ SCALE = 256
 SHARD_ROWS = 8192
 BLOCK_QUERIES = 2048
 BLOCK_SHARDS = 1024
-LEAF = 48
+LEAF = 256
 #: Vectors that the centres of the cells are fitted on, and how many centres.
 CELL_SAMPLE, CELLS = 4096, 256
 #: Shards that a query is sent to in each round (None: all that are left).
@@ -107,9 +107,9 @@ def _bounds(centers: np.ndarray, radii: np.ndarray, queries: np.ndarray) -> np.n
     return reach + 1e-9 * (np.abs(reach) + size * (radii[:, None] + 1)) + 1e-6
 
 
-def _exact(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Inner products as 64-bit integers."""
-    if len(q) * max(np.abs(rows).max(initial=0), 1) * max(np.abs(q).max(initial=0), 1) < 2**53:
+def _exact(rows: np.ndarray, q: np.ndarray, most: float) -> np.ndarray:
+    """Inner products as 64-bit integers; no component of a row is over ``most``."""
+    if len(q) * max(most, 1) * max(np.abs(q).max(initial=0), 1) < 2**53:
         return (rows @ q).astype(np.int64)
     whole = [int(x) for x in q]
     sums = (sum(int(x) * y for x, y in zip(r, whole)) for r in rows)
@@ -121,7 +121,7 @@ def search(tree: dict, q: np.ndarray, own: int, k: int, floor: int | None) -> li
     higher scores first, ties to the smaller id. ``tree`` holds the arrays of a
     ball tree and, in its order, the ``ids`` and ``copies`` of the rows."""
     bounds = _bounds(tree["centers"], tree["radii"], q[None, :])[:, 0].tolist()
-    kids, spans = tree["kids"], tree["spans"]
+    kids, spans, most = tree["kids"], tree["spans"], float(tree["most"])
     best: list[tuple[int, int]] = []  # min-heap of (score, -id)
     nodes = [(-bounds[0], 0)]
     while nodes:
@@ -136,7 +136,7 @@ def search(tree: dict, q: np.ndarray, own: int, k: int, floor: int | None) -> li
                 heapq.heappush(nodes, (-bounds[kid], kid))
             continue
         lo, hi = spans[node]
-        scores, near = _exact(tree["rows"][lo:hi], q), tree["ids"][lo:hi]
+        scores, near = _exact(tree["rows"][lo:hi], q, most), tree["ids"][lo:hi]
         ok = near != own
         if need is not None:
             ok &= scores >= need
@@ -178,6 +178,7 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
     np.savez(
         held,
         rows=made.rows,
+        most=np.abs(made.rows).max(initial=0),
         ids=group["vec_id"].to_numpy(np.int64)[made.order],
         copies=group["copies"].to_numpy(np.int64)[made.order],
         **{name: getattr(made, name) for name in ("centers", "radii", "spans", "kids")},
