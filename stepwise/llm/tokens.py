@@ -46,7 +46,7 @@ from stepwise.llm.scratch import scratch_dir, shuffle_partitions
 END_ID = 2
 #: Bytes of pieces and ids that a worker remembers before it starts again with an
 #: empty memory, with so many bytes more per piece; longer pieces aren't kept.
-CACHE_BYTES, CACHE_ENTRY, CACHE_CHARS = 256 << 20, 160, 64
+CACHE_BYTES, CACHE_ENTRY, CACHE_CHARS = 160 << 20, 160, 64
 #: Characters of text that are encoded together.
 GROUP_CHARS = 1 << 20
 #: Token ids gathered before a read-back task hands on a batch.
