@@ -13,9 +13,11 @@ word of the whole corpus is encoded once:
   and word, not per occurrence. Sorted by word, each distinct one is encoded once
   by the merge ranks and its ids go back to all blocks that hold it; a task
   streams over its rows, however many hold one word.
-* Per block the ids of its words meet its positions and are put together.
+* Per block the ids of its words meet its positions and are put together, in
+  rows of up to ``DECODE_IDS`` ids (or one document), so that neither a worker
+  nor the batch that goes to the next one holds a whole block of ids.
 * Decoding joins the token-byte table (a row per vocabulary, so broadcast) and puts
-  the bytes together by position.
+  the bytes together by position, a row at a time.
 
 Blocks of ids (``block, vocabulary, doc_ids, n_ids, ids``) are what both
 directions share; ``encode`` and ``decode`` give and take one row per document.
@@ -49,7 +51,7 @@ BLOCK_BYTES = 16 << 20
 BLOCKS = 1 << 11
 #: Words of blocks that an encoding task gathers before it hands them on.
 GATHER = 1 << 17
-#: Words or ids that are put together at a time, and ids of a block that ``decode`` makes.
+#: Words or ids that are put together at a time, and ids of a row.
 SLICE, DECODE_IDS = 1 << 16, 1 << 20
 
 WORDS = "block long, doc_ids array<long>, n_words array<long>, words array<string>, positions string"
@@ -123,11 +125,22 @@ def _ends(sizes: np.ndarray, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ragged(parts: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values, starts and sizes of byte strings laid end to end."""
-    width = np.dtype(dtype).itemsize
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // width
-    return np.frombuffer(b"".join(parts), dtype), np.cumsum(sizes) - sizes, sizes
+def _runs(ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Stretches of documents of up to ``most`` ids (or one document) by the ids
+    before each and after the last one."""
+    at, n = 0, len(ends) - 1
+    while at < n:
+        to = min(n, max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1))
+        yield at, to
+        at = to
+
+
+def _laid_out(strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts and sizes of an array of byte strings, as it holds them."""
+    _, offsets, data = strings.buffers()
+    ends = np.frombuffer(offsets, "=i8" if pa.types.is_large_binary(strings.type) else "=i4")
+    ends = ends[strings.offset : strings.offset + len(strings) + 1]
+    return np.frombuffer(data or b"", "u1"), ends[:-1], np.diff(ends)
 
 
 def _joined(parts: Iterator[np.ndarray], dtype) -> np.ndarray:
@@ -235,24 +248,28 @@ def _assemble(out_dir: str, path: str, top: int):
                 at = _joined((np.cumsum(_from_planes(h[0]), dtype=np.uint32) for h in held), "<u4")
                 starts, sizes = np.zeros((2, r.n), np.int64)
                 starts[at], sizes[at] = np.cumsum(sizes_in) - sizes_in, sizes_in
+                del held, at, sizes_in
                 with files.open_input_file(f"{root}/{r.positions}") as f:
                     codes = _from_planes(*_unsqueezed(f.read(), 1))
-                ids = _joined(_gather(flat, starts, sizes, codes), flat.dtype)
-                ends = _ends(sizes, codes, np.cumsum(r.n_words))
-                del codes, starts
-                yield pd.DataFrame({
-                    "block": [r.block],
-                    "vocabulary": [path],
-                    "doc_ids": [r.doc_ids],
-                    "n_ids": [np.diff(ends, prepend=0)],
-                    "ids": [_narrow(ids, top).tobytes()],
-                })
+                words_to = np.concatenate(([0], np.cumsum(r.n_words, dtype=np.int64)))
+                ids_to = _ends(sizes, codes, words_to)
+                for a, b in _runs(ids_to, DECODE_IDS):
+                    ids = _joined(_gather(flat, starts, sizes, codes[words_to[a] : words_to[b]]), flat.dtype)
+                    yield pd.DataFrame({
+                        "block": [r.block],
+                        "vocabulary": [path],
+                        "doc_ids": [r.doc_ids[a:b]],
+                        "n_ids": [np.diff(ids_to[a : b + 1])],
+                        "ids": [_narrow(ids, top).tobytes()],
+                    })
+                del codes, starts, sizes, flat
+        pa.default_memory_pool().release_unused()
 
     return assemble
 
 
 def encode_blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``docs(doc_id, text)`` in blocks of ids."""
+    """``docs(doc_id, text)`` in blocks of ids (a block in one or more rows)."""
     spark = docs.sparkSession
     out_dir, top = shared_root(spark, scratch_dir(spark, "positions")), _top(path)
     blocks = words_of(docs, pattern, out_dir)
@@ -286,10 +303,11 @@ def _spell(top: int, skip_unknown: bool):
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                flat, starts, sizes = _ragged(r["tokens"], "u1")
-                ids = np.frombuffer(r["ids"], "<u2" if top <= 1 << 16 else "<u4")
-                known = np.array(r["known"], np.int64)
+            column = {c: batch.column(c) for c in ("doc_ids", "n_ids", "ids", "known", "tokens")}
+            for i in range(batch.num_rows):  # one row's share of the batch at a time, as it lies there
+                flat, starts, sizes = _laid_out(column["tokens"][i].values)
+                ids = np.frombuffer(column["ids"][i].as_buffer(), "<u2" if top <= 1 << 16 else "<u4")
+                known = column["known"][i].values.to_numpy(zero_copy_only=False)
                 there = np.zeros(top, bool)
                 there[known] = True
                 if not skip_unknown and not there[ids].all():
@@ -297,11 +315,12 @@ def _spell(top: int, skip_unknown: bool):
                 at, size = np.zeros(top, np.int64), np.zeros(top, np.int64)  # ids without bytes have none
                 at[known], size[known] = starts, sizes
                 text = _joined(_gather(flat, at, size, ids), np.uint8)
-                ends = np.concatenate(([0], np.cumsum(r["n_ids"], dtype=np.int64)))
+                n_ids = column["n_ids"][i].values.to_numpy(zero_copy_only=False)
+                ends = np.concatenate(([0], np.cumsum(n_ids, dtype=np.int64)))
                 bytes_to = _ends(size, ids, ends)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(r["doc_ids"], pa.int64()),
+                        column["doc_ids"][i].values,
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype("i4"))),
                         pa.Array.from_buffers(
                             pa.binary(), len(ends) - 1, [None, pa.py_buffer(bytes_to.astype("i4")), pa.py_buffer(text)]
@@ -309,6 +328,8 @@ def _spell(top: int, skip_unknown: bool):
                     ],
                     names=["doc_id", "ids", "decoded"],
                 )
+            del batch, column
+        pa.default_memory_pool().release_unused()
 
     return spell
 

@@ -561,6 +561,19 @@ def test_bpe_words_are_cut_as_the_library_cuts(spark, monkeypatch):
         assert list(got[i].ids) == own.encode_ordinary(text) and bytes(got[i].decoded).decode() == text
 
 
+def test_bpe_rows_of_ids_are_bounded(spark, monkeypatch):
+    path, pattern = _bpe()
+    monkeypatch.setattr(bpe, "DECODE_IDS", 20)
+    texts = ["", None, *[f"one two {i}" for i in range(40)], "long " * 60, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = bpe.encode_blocks(docs, path, pattern)
+    held = got.collect()
+    assert {r.block for r in held} == {0} and len(held) > 5  # one block
+    assert all(sum(r.n_ids) <= 20 or len(r.doc_ids) == 1 for r in held)
+    decoded = {r.doc_id: bytes(r.decoded).decode() for r in bpe.decode_blocks(got, path).collect()}
+    assert decoded == {i: text or "" for i, text in enumerate(texts)}
+
+
 def test_bpe_decode(spark):
     path, _ = _bpe()
     rows = [(1, [5, 5, 6]), (2, None), (3, []), (None, [7])]
