@@ -47,8 +47,8 @@ END_ID = 2
 #: Bytes of pieces and ids that a worker remembers before it starts again with an
 #: empty memory, with so many bytes more per piece; longer pieces aren't kept.
 CACHE_BYTES, CACHE_ENTRY, CACHE_CHARS = 160 << 20, 160, 64
-#: Characters of text that are encoded together.
-GROUP_CHARS = 1 << 20
+#: Characters of text that are encoded together, and new pieces in one call's text.
+GROUP_CHARS, JOINED = 1 << 20, 1 << 12
 #: Token ids gathered before a read-back task hands on a batch.
 READ_TOKENS = 1 << 20
 
@@ -67,7 +67,9 @@ class Encoder:
     the ids of a text are therefore the ids of its pieces (cut before every
     space and line feed) in a row; each distinct piece is encoded once.
     Other texts, and other kinds of tokenizers, are encoded whole. What is new in
-    a group of texts is handed to the library in one call.
+    a group of texts is handed to the library in one call, ``JOINED`` pieces to a
+    text: a piece has its space or line feed at its start and nowhere else, so
+    its first id, and no other one, starts with that byte.
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
@@ -87,6 +89,11 @@ class Encoder:
             and not any(" " in t["content"] or "\n" in t["content"] or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", []))
         )
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        #: Ids that start with a space or a line feed.
+        self.opens = np.zeros(self.tok.get_vocab_size(), bool)
+        if self.by_piece and self.tok.truncation is None and self.tok.padding is None:
+            opening = [i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t[:1] in ("\u0120", "\u010a")]
+            self.opens[opening] = True
         #: Ids by piece: a word with the space before it (not written), a line
         #: feed with the word after it, or the first word with a space behind it.
         self.known: dict[str, bytes] = {}
@@ -101,37 +108,58 @@ class Encoder:
                 ids.byteswap()
         return [ids.tobytes() for ids in packed]
 
+    def _apart(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each of ``pieces``, none of which tears white space apart."""
+        out: list[bytes | None] = [None] * len(pieces)
+        led = [i for i, p in enumerate(pieces) if p[0] in " \n"]
+        parts = [led[at : at + JOINED] for at in range(0, len(led), JOINED)]
+        texts = ["".join([pieces[i] for i in part]) for part in parts]
+        for part, e in zip(parts, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            ends = np.append(np.flatnonzero(self.opens[ids]), len(ids)) * self.dtype.itemsize
+            if len(ends) == len(part) + 1 and ends[0] == 0:  # else not to be told apart
+                packed, ends = ids.tobytes(), ends.tolist()
+                for i, a, b in zip(part, ends, ends[1:]):
+                    out[i] = packed[a:b]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self._whole([pieces[i] for i in rest])):
+            out[i] = ids
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, packed as ``self.dtype``."""
         if not self.by_piece:
             return self._whole(texts)
         known, get = self.known, self.known.get
         out: list[bytes | None] = []
-        lacking: list[tuple[int, list[str], list[bytes | None]]] = []
+        lacking: list[tuple[int, list[str], list[bytes | None], list[int]]] = []
         new: dict[str, bytes | None] = {}
         for i, text in enumerate(texts):
             pieces = text.replace("\n", " \n").split(" ")
             pieces[0] += " "
             got = list(map(get, pieces))  # one look for each piece
-            if None in got:
-                lacking.append((i, pieces, got))
-                new.update((p, None) for p, ids in zip(pieces, got) if ids is None)
-                out.append(None)
-            else:
-                out.append(b"".join(got))
+            at = [k for k, ids in enumerate(got) if ids is None]
+            if at:
+                lacking.append((i, pieces, got, at))
+                new.update(dict.fromkeys(map(pieces.__getitem__, at)))
+            out.append(None if at else b"".join(got))
         order = [p for p in new if not _tears(p)]
-        fresh = self._whole([p[:-1] if p[-1] == " " else p if p[0] == "\n" else " " + p for p in order])
+        fresh = self._apart([p[:-1] if p[-1] == " " else p if p[0] == "\n" else " " + p for p in order])
         new.update(zip(order, fresh))
-        for i, pieces, got in lacking:
-            full = [new[p] if ids is None else ids for p, ids in zip(pieces, got)]
-            if None not in full:  # else a piece that tears white space apart
-                out[i] = b"".join(full)
-        kept = [(p, ids) for p, ids in zip(order, fresh) if len(p) <= CACHE_CHARS]
-        known.update(kept)
+        for i, pieces, got, at in lacking:
+            fill = [new[pieces[k]] for k in at]
+            if None not in fill:  # else a piece that tears white space apart
+                for k, ids in zip(at, fill):
+                    got[k] = ids
+                out[i] = b"".join(got)
+        if max(map(len, order), default=0) > CACHE_CHARS:
+            short = [i for i, p in enumerate(order) if len(p) <= CACHE_CHARS]
+            order, fresh = [order[i] for i in short], [fresh[i] for i in short]
+        known.update(zip(order, fresh))
         whole = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
-        self.held += sum(2 * len(p) + len(ids) for p, ids in kept) + CACHE_ENTRY * len(kept)
+        self.held += 2 * sum(map(len, order)) + sum(map(len, fresh)) + CACHE_ENTRY * len(order)
         if self.held > CACHE_BYTES:
             known.clear()
             self.held = 0

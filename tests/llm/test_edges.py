@@ -88,6 +88,19 @@ def test_pieces_are_the_whole_text():
         assert all(len(p) <= tokens.CACHE_CHARS for p in small.known)
 
 
+def test_new_pieces_are_handed_over_together(monkeypatch):
+    import public_tokenizers
+
+    enc = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"First{i} wordé{i} 'll{i}\nline{i}\t {i}日本 <|endoftext|> \u0120{i} \u010a x{i}\t" for i in range(200)] + ["a  b", "\n", " "]
+    handed = []
+    monkeypatch.setattr(tokens.Encoder, "_whole", lambda self, some, own=tokens.Encoder._whole: handed.extend(some) or own(self, some))
+    got = [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)]
+    assert got == [enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    # By themselves: the first words, and the texts whose white space would be torn apart.
+    assert sorted(handed) == sorted([f"First{i}" for i in range(200)] + ["a"] + texts[-3:])
+
+
 def test_secrets(spark, docs, empty):
     got = secrets.find_secrets(docs).collect()
     assert len(got) == len(TEXTS) and all(r.secrets == [] for r in got)
