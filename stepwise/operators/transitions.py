@@ -36,7 +36,7 @@ from stepwise.operators.funnel import _not_null, step_time_column
 #: Seconds of the ranges, finest first.
 RANGES = (300,)
 
-_RANGE, _STEP, _LATER, _TIME, _RUNS = "_range", "_step", "_later", "_time", "_runs"
+_RANGE, _STEP, _LATER, _TIME, _RUNS, _DONE = "_range", "_step", "_later", "_time", "_runs", "_done_in"
 
 
 def _no_times(time_type: str) -> Column:
@@ -60,6 +60,21 @@ def _table(steps: Column, n: int, time_type: str) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(n)), entered)
 
 
+def _by_step(done: Column, n: int) -> Column:
+    """The (nr, time) of a range as an array of (nr, times) for all steps."""
+
+    def at(i: Column) -> Column:
+        times = F.transform(F.filter(done, lambda d: d["nr"] == i), lambda d: d["time"])
+        return F.struct(i.alias("nr"), times.alias("times"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), at)
+
+
+def _single(step: Column, n: int, time_type: str) -> Column:
+    """The table of a range with one step in it, as most ranges have."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: F.when(i == step["nr"], F.array(step["time"])).otherwise(_no_times(time_type)))
+
+
 def _composed(tables: Column, n: int, time_type: str) -> Column:
     """The table of the tables of neighbouring ranges, in the order of time."""
     return F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: _passed(tables, i, time_type))
@@ -107,9 +122,9 @@ def transition_funnel(
         at.alias(_TIME),
     )
     met = rows.groupBy(*keys, _RANGE, _STEP, _LATER).agg(F.min(_TIME).alias(_TIME))
-    times = [F.collect_list(F.when(F.col(_STEP) == i, F.col(_TIME))).alias(f"_t{i}") for i in range(n)]
-    in_steps = F.array(*[F.struct(F.lit(i).alias("nr"), F.col(f"_t{i}").alias("times")) for i in range(n)])
-    tables = met.groupBy(*keys, _RANGE).agg(*times).select(*keys, _RANGE, _table(in_steps, n, time_type).alias(_RUNS))
+    done_in = met.groupBy(*keys, _RANGE).agg(F.collect_list(F.struct(F.col(_STEP).alias("nr"), F.col(_TIME).alias("time"))).alias(_DONE))
+    runs = F.when(F.size(_DONE) == 1, _single(F.get(_DONE, F.lit(0)), n, time_type)).otherwise(_table(_by_step(F.col(_DONE), n), n, time_type))
+    tables = done_in.select(*keys, _RANGE, runs.alias(_RUNS))
     for finer, coarser in zip(ranges, ranges[1:]):
         wide = F.floor(F.col(_RANGE) / (coarser // finer)).alias("_wide")
         tables = tables.groupBy(*keys, wide).agg(_in_order().alias("_tables"))

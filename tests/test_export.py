@@ -37,6 +37,15 @@ def test_every_mart_comes_back_as_it_was(spark, exported):
     assert {r[0] for r in got["category_performance"].select("is_low_confidence_category").collect()} == {True, False}
 
 
+def test_layers_that_several_marts_build_on_are_computed_once(spark):
+    plain = fixture_marts(spark, SMOKE_DIR)
+    marts = plain.for_all_marts()
+    for name in ("session_funnel_steps", "funnel_counts", "revenue_baseline", "category_performance"):
+        got, want = getattr(marts, name), getattr(plain, name)
+        assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()  # read as written
+        assert got.dtypes == want.dtypes and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
 def _file(out, mart):
     return next(os.path.join(out, mart, f) for f in os.listdir(os.path.join(out, mart)) if f.endswith(".csv"))
 

@@ -93,3 +93,14 @@ def test_null_keys_and_times_and_wrong_ranges(spark):
             transition_funnel(df, ["k"], MAIN_STEPS, ranges=ranges)
     with pytest.raises(ValueError, match="distinct"):
         transition_funnel(df, ["k"], ["a", "a"])
+
+
+def test_a_range_gathers_its_steps_once_and_most_hold_one(spark, smoke_marts):
+    funnel = transition_funnel(smoke_marts.stg_events, ["user_pseudo_id"], MAIN_STEPS)
+    # One list per range, however many steps; one per key.
+    assert plan(funnel).count("partial_collect_list(") == 2
+    at = dt.datetime(2024, 1, 1)
+    events = [("a", MAIN_STEPS[0], 0), ("a", MAIN_STEPS[1], 400), ("a", MAIN_STEPS[3], 800), ("a", MAIN_STEPS[2], 1200), ("b", MAIN_STEPS[1], 0), ("b", MAIN_STEPS[0], 400)]
+    rows = [(k, e, at + dt.timedelta(seconds=s)) for k, e, s in events]
+    got = transition_funnel(spark.createDataFrame(rows, "k string, event_name string, event_time timestamp"), ["k"], MAIN_STEPS)
+    assert {(r[0], *[t is not None for t in r[1:]]) for r in got.collect()} == {("a", True, True, True, False), ("b", True, False, False, False)}
