@@ -369,6 +369,35 @@ def test_lines(spark, docs, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def test_lines_that_meet_no_other_are_not_joined(spark, monkeypatch):
+    import random
+
+    joined = []
+
+    def similar(pairs, some, similarity, own=lines._similar):
+        joined.append({r.id for r in some.select("id").collect()})
+        return own(pairs, some, similarity)
+
+    monkeypatch.setattr(lines, "_similar", similar)
+    letters = random.Random(1)
+    rows = [(i, "".join(letters.choices("abcdefghijklmnopqrstuvwxyzé", k=90))) for i in range(40)]
+    rows += [(100, rows[0][1] + "x"), (101, "é" + rows[1][1])]
+    links = lines._links(spark.createDataFrame(rows, "id long, line string"), 0.8, 32)
+    assert {(r.u, r.v) for r in links.collect()} == {(0, 100), (1, 101)}
+    assert joined == [{0, 1, 100, 101}]
+
+
+def test_shingles_of_bytes_and_of_characters(spark):
+    texts = ["abcdefghij", "abcdefgh", "abcdefg", "a", "abcdéfghij", "é" * 8, "日本語" * 4, "tab\tand\rmore", "🎉abcdefgh"]
+    df = lines._with_shingles(spark.createDataFrame(list(enumerate(texts)), "id long, line string"), "line", "hashes")
+    cut = {i: [t[k : k + 8] for k in range(len(t) - 7)] or [t] for i, t in enumerate(texts)}
+    cut[8].insert(1, "?abcdefg")  # a character beyond the basic plane counts as two
+    flat = spark.createDataFrame([(i, k, x) for i, xs in cut.items() for k, x in enumerate(xs)], "id long, k long, x string")
+    want = {(r.id, r.k): r.h for r in flat.select("id", "k", F.xxhash64("x").alias("h")).collect()}
+    assert {(r.id, k): h for r in df.collect() for k, h in enumerate(r.hashes)} == want
+    assert df.columns == ["id", "line", "hashes"]
+
+
 def test_lines_in_a_crowd(spark):
     """A bucket larger than the pairwise bound: stars until no line is left."""
     base = "a line that very many documents hold with one small change in it number"
