@@ -80,11 +80,12 @@ def _trigrams(text: str | None) -> Iterator[np.ndarray]:
 
 
 def _entities(text: Column) -> Column:
-    """Character references (``&eacute;``, ``&#233;``) as the characters they stand for."""
+    """Character references (``&eacute;``, ``&#233;``) as the characters they
+    stand for; an ampersand, which is part of no word, as a blank."""
 
     @F.pandas_udf("string")
     def each(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: html.unescape(t) if t and "&" in t else t)
+        return texts.map(lambda t: html.unescape(t.replace("&amp;", " ")) if t and "&" in t else t)
 
     return each(text)
 
