@@ -4,13 +4,14 @@ of clashing names: the results that the docstrings define."""
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stepwise.llm import bpe, divergence, language, lines, mixing, periodic, pii, repeats, secrets, simhash, tokens, topk
+from stepwise.llm import bpe, divergence, language, lines, mixing, periodic, pii, repeats, secrets, simhash, suffix, tokens, topk
 from stepwise.llm import decontam
 from tests.llm import brute
 
@@ -201,6 +202,21 @@ def test_repeats_on_crafted_overlaps(spark):
         assert [(r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got] == want
 
 
+def test_anchors_take_bounded_memory(monkeypatch):
+    data = np.random.default_rng(3).integers(97, 101, 1 << 20).astype(np.uint8).tobytes()
+    ends = np.array([5000, 5000, 5099, 300_000, len(data)])
+    starts = np.concatenate(([0], ends[:-1]))
+    tracemalloc.start()
+    found = suffix.segments(data, starts, ends, 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * len(data)  # it was 44 with all grams at once
+    # Where the pieces end makes no difference.
+    for piece in (1 << 20, 99_991):
+        monkeypatch.setattr(suffix, "PIECE", piece)
+        assert all((a == b).all() for a, b in zip(found, suffix.segments(data, starts, ends, 100), strict=True))
+
+
 def test_mixing(spark, docs, empty):
     got = mixing.mix(docs).collect()
     assert len(got) == len(TEXTS)
