@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepwise.llm.components import split_join
-from stepwise.llm.scratch import materialize
+from stepwise.llm.scratch import materialize, text_batches
 
 #: Languages that are accepted.
 LANGUAGES = ("de", "en", "es", "fr")
@@ -233,14 +233,13 @@ def identify(
     def top(scores: str) -> Column:
         return F.element_at(F.array(*map(F.lit, names)), F.array_position(scores, F.array_max(scores)).cast("int"))
 
-    scored = materialize(
-        rows.select(*kept, _text_evidence(spark, F.col("text"), table).alias("_llm_text")).withColumns({
-            "text_language": F.when(F.col("_llm_text").isNotNull(), top("_llm_text")),
-            "_llm_declared": F.lower(F.nullif(F.trim("declared"), F.lit(""))),
-            "_llm_host": F.lower(F.nullif(F.trim("host"), F.lit(""))),
-        }).withColumn("_llm_suffix", F.nullif(F.regexp_extract("_llm_host", r"\.([^.]+)$", 1), F.lit(""))),
-        "text-evidence",
-    )
+    scored = rows.select(*kept, _text_evidence(spark, F.col("text"), table).alias("_llm_text")).withColumns({
+        "text_language": F.when(F.col("_llm_text").isNotNull(), top("_llm_text")),
+        "_llm_declared": F.lower(F.nullif(F.trim("declared"), F.lit(""))),
+        "_llm_host": F.lower(F.nullif(F.trim("host"), F.lit(""))),
+    }).withColumn("_llm_suffix", F.nullif(F.regexp_extract("_llm_host", r"\.([^.]+)$", 1), F.lit("")))
+    with text_batches(spark):
+        scored = materialize(scored, "text-evidence")
     counts = materialize(
         scored.where(F.col("text_language").isNotNull())
         .groupBy("_llm_declared", "_llm_suffix", "_llm_host", "text_language")

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepwise.llm.components import connected_components, split_join
-from stepwise.llm.scratch import materialize
+from stepwise.llm.scratch import materialize, text_batches
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -210,14 +210,13 @@ def simhash_groups(docs: DataFrame, *, shingle: int = SHINGLE_WORDS, radius: int
     null ids only has a null ``component_id``); repeated rows each get their
     row; an empty table gives no rows; other columns are ignored.
     """
-    rows = materialize(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"),
-            fingerprints(F.col("text"), shingle).alias("fp"),
-        ),
-        "fingerprints",
+    printed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"),
+        fingerprints(F.col("text"), shingle).alias("fp"),
     )
+    with text_batches(docs.sparkSession):
+        rows = materialize(printed, "fingerprints")
     prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "distinct-fingerprints")
     nodes = materialize(connected_components(fingerprint_links(prints.select("fp"), radius)), "components")
     labelled = prints.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select(

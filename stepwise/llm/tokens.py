@@ -37,16 +37,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stepwise.llm.scratch import scratch_dir, shuffle_partitions
+from stepwise.llm.scratch import scratch_dir, shuffle_partitions, text_batches
 
 #: The id appended to each document.
 END_ID = 2
 #: Bytes of pieces and ids that a worker remembers before it starts again with an
 #: empty memory, with so many bytes more per piece; longer pieces aren't kept.
-CACHE_BYTES, CACHE_ENTRY, CACHE_CHARS = 160 << 20, 160, 64
+CACHE_BYTES, CACHE_ENTRY, CACHE_CHARS = 64 << 20, 160, 64
 #: Characters of text that are encoded together, and new pieces in one call's text.
 GROUP_CHARS, JOINED = 1 << 20, 1 << 12
 #: Token ids gathered before a read-back task hands on a batch.
@@ -213,7 +214,7 @@ def _groups(texts) -> Iterator[list[str]]:
 
 
 def _writer(out_dir: str, tokenizer_path: str, end_id: int, special_as_text: bool):
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get()
@@ -224,30 +225,32 @@ def _writer(out_dir: str, tokenizer_path: str, end_id: int, special_as_text: boo
         streams: dict = {}
         n_docs = n_null = n_tokens = 0
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
             if enc is None:
                 enc = encoder(tokenizer_path, special_as_text)
                 end = np.array([end_id], dtype=enc.dtype).tobytes()
                 streams = {k: files.open_output_stream(f"{root}/.{v}.{attempt}") for k, v in names.items()}
                 streams["offsets"].write(np.zeros(1, "<i8").tobytes())
-            sizes = np.empty(len(batch), "<i8")
+            sizes = np.empty(batch.num_rows, "<i8")
             at = 0
-            for group in _groups(batch["text"]):
+            for group in _groups(map(str, batch.column("text"))):
                 ids = enc.encode(group)
                 sizes[at : at + len(ids)] = [len(x) // enc.dtype.itemsize + 1 for x in ids]
                 streams["tokens"].write(end.join(ids) + end)
                 at += len(ids)
             streams["offsets"].write((n_tokens + np.cumsum(sizes)).astype("<i8").tobytes())
-            streams["docs"].write(batch["doc_id"].fillna(0).astype("<i8").to_numpy().tobytes())
-            n_docs += len(batch)
-            n_null += int(batch["is_null"].sum())
+            streams["docs"].write(batch.column("doc_id").fill_null(0).to_numpy().astype("<i8").tobytes())
+            n_docs += batch.num_rows
+            n_null += batch.column("doc_id").null_count
             n_tokens += int(sizes.sum())
         if enc is not None:
             for k, v in names.items():
                 streams[k].close()
                 files.move(f"{root}/.{v}.{attempt}", f"{root}/{v}")
-            yield pd.DataFrame({"shard": [shard], "n_docs": [n_docs], "n_null_ids": [n_null], "n_tokens": [n_tokens], "width": [enc.dtype.itemsize]})
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+            sums = [shard, n_docs, n_null, n_tokens, enc.dtype.itemsize]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(sums, types)], names=["shard", "n_docs", "n_null_ids", "n_tokens", "width"])
 
     return write
 
@@ -274,15 +277,16 @@ def write_token_files(
     order = ["doc_id", "text_hash"]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("doc_id").isNull().cast("int").alias("is_null"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     ).withColumn("text_hash", F.xxhash64("text"))
-    (
+    written = (
         rows.repartitionByRange(shards or shuffle_partitions(spark), *order)
         .sortWithinPartitions(*order)
-        .mapInPandas(_writer(out_dir, tokenizer_path, end_id, special_as_text), MANIFEST)
-        .write.parquet(f"{out_dir}/manifest")
+        .select("doc_id", "text")
+        .mapInArrow(_writer(out_dir, tokenizer_path, end_id, special_as_text), MANIFEST)
     )
+    with text_batches(spark):
+        written.write.parquet(f"{out_dir}/manifest")
     return read_manifest(spark, out_dir)
 
 

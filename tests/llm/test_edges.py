@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stepwise.llm import bpe, divergence, language, lines, mixing, periodic, pii, repeats, secrets, simhash, suffix, tokens, topk
+from stepwise.llm import bpe, divergence, language, lines, mixing, periodic, pii, repeats, scratch, secrets, simhash, suffix, tokens, topk
 from stepwise.llm import decontam
 from tests.llm import brute
 
@@ -102,6 +102,32 @@ def test_new_pieces_are_handed_over_together(monkeypatch):
     assert sorted(handed) == sorted([f"First{i}" for i in range(200)] + ["a"] + texts[-3:])
 
 
+def test_texts_travel_to_python_in_small_batches(spark, docs, monkeypatch, tmp_path):
+    setting, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(setting)
+    with scratch.text_batches(spark):
+        sizes = spark.range(5000, numPartitions=1).mapInArrow(lambda bs: (b.slice(0, 1) for b in bs), "id long")
+        assert sizes.count() == -(-5000 // scratch.TEXT_ROWS)
+    assert spark.conf.get(setting) == before
+    # The stages of the pipeline that hand whole texts to Python do so.
+    for module in (simhash, language):
+        keep = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, tag, keep=keep: (seen.append((tag, spark.conf.get(setting))), keep(df, tag))[1])
+    simhash.simhash_groups(docs)
+    language.keep_identified(docs)
+    rows = {tag: n for tag, n in seen}
+    assert rows["fingerprints"] == rows["text-evidence"] == str(scratch.TEXT_ROWS)
+    assert rows["components"] == spark.conf.get(setting) == before
+    # More rows than a batch, in order and whole.
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    found = tokens.tokenize_documents(many, path, str(tmp_path / "many"), shards=1).orderBy("doc_id").collect()
+    assert [r.doc_id for r in found] == list(range(3000))
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:]))
+
+
 def test_secrets(spark, docs, empty):
     got = secrets.find_secrets(docs).collect()
     assert len(got) == len(TEXTS) and all(r.secrets == [] for r in got)
