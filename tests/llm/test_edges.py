@@ -8,6 +8,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,31 @@ def test_new_pieces_are_handed_over_together(monkeypatch):
     assert sorted(handed) == sorted([f"First{i}" for i in range(200)] + ["a"] + texts[-3:])
 
 
+def test_words_are_encoded_without_the_marks_behind_them(monkeypatch):
+    """A word is learnt once, whatever marks follow it, and what is asked for
+    again outlives a full memory."""
+    import public_tokenizers
+
+    enc = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    asked = []
+    monkeypatch.setattr(tokens.Encoder, "_apart", lambda self, some, own=tokens.Encoder._apart: asked.extend(some) or own(self, some))
+    marks = [".", ",", "...", "?!", ";:", "***", "$$$", "%#&", "!" * 9, "\u2026"]
+    words = ["Zorblax", "qué", "naïveté", "x1", "don't", "a'", "²", "×", "日本", "ŀ", "\n.", "<|endoftext|>", "(a)", "", "."]
+    texts = [f"{w}{m} {w}{m}\n{w}{m} {m}{w}{m} {w}" for w in words for m in marks]
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == [enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    # Alone: nine marks, and those beyond ASCII, stay with their word.
+    assert sorted(p for p in asked if p.startswith(" Zorblax")) == [" Zorblax", " Zorblax" + "!" * 9, " Zorblax\u2026"]
+    # Two halves: the word asked for each time isn't encoded again, others are.
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 2000)
+    for i in range(50):
+        enc.encode([f"a Zorblax. unseen{i}"])
+    asked.clear()
+    enc.encode(["a Zorblax, unseen0"])
+    assert asked == [" unseen0", ","]
+    flat, sizes = enc.encode_flat(pa.array([], pa.large_string()))
+    assert len(flat) == len(sizes) == 0
+
+
 def test_texts_travel_to_python_in_small_batches(spark, docs, monkeypatch, tmp_path):
     setting, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
     before = spark.conf.get(setting)
