@@ -466,6 +466,43 @@ def test_shingles_of_bytes_and_of_characters(spark):
     assert df.columns == ["id", "line", "hashes"]
 
 
+def test_bands_are_least_hashes_by_generated_code(spark):
+    """The bands of every line, with no function called per element of an array
+    and no second exchange; the bands' keys are counted apart from the bands."""
+    import random
+
+    letters = random.Random(2)
+    texts = ["".join(letters.choices("abcdefgh日é ", k=k)) for k in (1, 7, 8, 9, 60, 700)] + ["🎉abcdefgh" * 3]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    bands = lines._bands(rows)
+    plan = bands._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("Exchange") == 1
+    cut = []
+    for i, t in enumerate(texts):
+        units = t.encode("utf-16-be")
+        cut += [(i, bytearray(units[k : k + 16])) for k in range(0, max(len(units) - 14, 1), 2)]
+    least = {}
+    for r in spark.createDataFrame(cut, "id long, x binary").select("id", F.xxhash64("x").alias("h")).collect():
+        at = ((r.h >> 40) + (1 << 23)) * lines.BANDS * lines.ROWS >> 24
+        band = least.setdefault((r.id, at // lines.ROWS), [None] * lines.ROWS)
+        band[at % lines.ROWS] = min(r.h, band[at % lines.ROWS] or r.h)
+    names = [f"h{k}" for k in range(lines.ROWS)]
+    flat = spark.createDataFrame([(i, b, *hs) for (i, b), hs in least.items()], "id long, band int, " + ", ".join(f"{n} long" for n in names))
+    want = sorted((r.key, r.id) for r in flat.select(F.xxhash64("band", *names).alias("key"), "id").collect())
+    assert sorted((r.key, r.id) for r in bands.collect()) == want
+
+
+def test_lines_are_compared_by_units_or_by_characters(spark):
+    """Pairs with and without characters beyond the basic plane: the same answer as by _with_shingles."""
+    texts = ["abcdefghijkl" * 3 + "é", "abcdefghijkl" * 3 + "éx", "🎉abcdefghijklmnopqrstuvw", "🎈abcdefghijklmnopqrstuvw", "abcdefgh", "abcdefg"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    pairs = rows.select(F.col("id").alias("u")).crossJoin(rows.select(F.col("id").alias("v"))).where("u < v")
+    sets = {r.id: set(r.hashes) for r in lines._with_shingles(rows, "line", "hashes").collect()}
+    got = {(r.u, r.v): r.near for r in lines._similar(pairs, rows, 0.8).collect()}
+    assert got == {(u, v): len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v]) for u in sets for v in sets if u < v}
+    assert got[0, 1] and got[2, 3] and not got[0, 2]
+
+
 def test_lines_in_a_crowd(spark):
     """A bucket larger than the pairwise bound: stars until no line is left."""
     base = "a line that very many documents hold with one small change in it number"
