@@ -532,6 +532,28 @@ def test_lines_in_chains_in_a_crowd(spark, monkeypatch):
     assert sum(r[2] for r in got) == 180
 
 
+def test_lines_in_a_crowd_are_not_all_compared(spark, monkeypatch):
+    """One bucket of many lines that are not similar, with pairs that are: few comparisons, and no link lost."""
+    rng = np.random.default_rng(12)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    rows = []
+    for _ in range(100):
+        text = "".join(rng.choice(letters, 100))
+        rows += [(len(rows), text), (len(rows) + 1, text + "yz")]
+    met = spark.createDataFrame(rows, "id long, line string").select(F.lit(1).cast("long").alias("key"), "id")
+    monkeypatch.setattr(lines, "_bands", lambda _: met)
+    compared = []
+
+    def similar(pairs, some, similarity, own=lines._similar):
+        compared.append(pairs.count())
+        return own(pairs, some, similarity)
+
+    monkeypatch.setattr(lines, "_similar", similar)
+    links = lines._links(spark.createDataFrame(rows, "id long, line string"), 0.8, 32).where("u != v")
+    assert {tuple(sorted((r.u, r.v))) for r in links.collect()} == {(k, k + 1) for k in range(0, 200, 2)}
+    assert sum(compared) < 400  # of 19900
+
+
 def test_lines_buckets_are_not_one_task(spark, monkeypatch):
     """Bucket sizes by partial aggregation; first lines are cut per task before they meet."""
     plans, original = {}, lines.materialize
