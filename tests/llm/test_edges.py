@@ -569,6 +569,95 @@ def test_lines_buckets_are_not_one_task(spark, monkeypatch):
     assert "WindowGroupLimit" in plans["heads"]
 
 
+def test_unlike_lines_of_a_bucket_are_not_compared(spark, monkeypatch):
+    """Short lines that meet by one shingle go by their marks; pairs that are of one group already aren't compared."""
+    rng = np.random.default_rng(13)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    rows = [(i, "the same start " + "".join(rng.choice(letters, 50))) for i in range(24)]
+    rows += [(i, "x" * 9 + "one line of many copies with a small change in it, number " + str(i)) for i in range(24, 32)]
+    met = spark.createDataFrame(rows, "id long, line string").select(F.lit(1).cast("long").alias("key"), "id")
+    monkeypatch.setattr(lines, "_bands", lambda _: met)
+    compared = []
+
+    def similar(pairs, some, similarity, own=lines._similar):
+        compared.append(pairs.count())
+        return own(pairs, some, similarity)
+
+    monkeypatch.setattr(lines, "_similar", similar)
+    links = lines._links(spark.createDataFrame(rows, "id long, line string"), 0.8, 32)
+    groups = {r.node: r.component for r in lines.connected_components(links).collect()}
+    assert groups == dict.fromkeys(range(24, 32), 24)
+    assert sum(compared) < 80  # of 496
+
+
+def test_marks_leave_no_similar_pair_out(spark):
+    rng = np.random.default_rng(14)
+    letters = np.array(list("abcdefgh é日"))
+    texts = ["a", "abcdefgh", "abcdefghi", "x" * 500, "x" * 500 + "y", "🎉abcdefghijklmnopqrstuvw", "🎈abcdefghijklmnopqrstuvw"]
+    for n in (30, 31, 90, 91, 300, 301, 2000):
+        text = list("".join(rng.choice(letters, n)))
+        for changes in range(5):
+            some = text.copy()
+            for at in rng.integers(0, n, changes):
+                some[at] = "q"
+            texts.append("".join(some))
+    texts += ["".join("🎉🎈"[k >> i & 1] + x for i, x in enumerate("abcdefgh")) + "".join(rng.choice(letters, 60)) * 2 for k in range(8)]
+    texts += ["🎉" + "".join(some) + x for x in ("", "🎈", "🎉", "🎈x")]
+    rows = spark.createDataFrame(list(enumerate(dict.fromkeys(texts))), "id long, line string")
+    marked = lines._marked(rows)
+    pairs = rows.select(F.col("id").alias("u")).crossJoin(rows.select(F.col("id").alias("v"))).where("u < v")
+    near = {(r.u, r.v): r.near for r in lines._similar(pairs, rows, 0.8).collect()}
+    assert {(r.u, r.v): r.near for r in lines._similar(pairs, marked, 0.8).collect()} == near
+    a, b = (marked.select(F.col("id").alias(i), F.col("mark").alias(m)) for i, m in (("u", "a"), ("v", "b")))
+    held = a.crossJoin(b).where("u < v").select("u", "v", lines._hopeful("a", "b", 0.8).alias("may"))
+    may = {(r.u, r.v): r.may for r in held.collect()}
+    assert sum(near.values()) > 20 and all(may[p] for p, n in near.items() if n)
+    assert sum(may.values()) < sum(near.values()) + len(may) / 5
+    # The filter of crowds, in one bucket and in groups of their own.
+    rim = rows.select(F.lit(1).alias("key"), "id")
+    alone = spark.createDataFrame([], "node long, component long")
+    with scratch.settings(spark, lines._IN_BUCKETS):
+        asked = {(r.u, r.v) for r in lines._apart(rim, alone, marked, 0.8, crowd=True).collect()}
+    assert asked == {p for p, n in near.items() if n}
+
+
+@pytest.mark.parametrize("pairs_up_to", [0, 1, 32])
+def test_lines_of_groups_are_linked_in_buckets_of_any_size(spark, monkeypatch, pairs_up_to):
+    """By the prefix filter, by marks and 32 bits, and by marks alone: what all pairs give."""
+    rng = np.random.default_rng(15)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    rows = []
+    for _ in range(6):
+        text = "".join(rng.choice(letters, 160))
+        for step in range(5):  # similar to their neighbours only
+            rows.append((len(rows), text[step * 10 : step * 10 + 110]))
+    rows += [(len(rows) + i, "ab" * 60 + "c" * i) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines_of = docs.select(F.xxhash64("text").alias("id"), F.col("text").alias("line"))
+    met = lines_of.select(F.pmod("id", F.lit(2)).alias("key"), "id").union(lines_of.select(F.lit(7).cast("long"), "id"))
+    monkeypatch.setattr(lines, "_bands", lambda _: met)
+    got = brute.rows_of(lines.dedup_lines(docs, pairs_up_to=pairs_up_to), "doc_id")
+    assert got == brute.dedup_lines(rows)
+
+
+def test_shuffle_files_of_line_dedup_go_when_a_table_is_written(spark, docs, monkeypatch):
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+
+    def written(df, tag, own=lines.materialize):
+        seen.append(spark.conf.get(name))
+        return own(df, tag)
+
+    monkeypatch.setattr(lines, "materialize", written)
+    before = spark.conf.get(name)
+    lines.dedup_lines(docs)
+    assert set(seen) == {"true"} and spark.conf.get(name) == before
+
+
+def test_texts_are_shuffled_once_to_drop_their_lines(spark, docs):
+    plan = lines.dedup_lines(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan[plan.index("Join"):]
+
+
 def test_topk(spark, empty):
     rows = [
         (0, [1.0, 2.0]), (50, [0.5, -1.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, None), (3, [None, 1.0]),
